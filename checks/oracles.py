@@ -527,10 +527,10 @@ left join frame_pixels p on p.tile = f.tile and p.patch_id = f.patch_id and p.t
 from series s cross join range(12) a(k)
 left join frame_times f on f.tile = s.tile and f.patch_id = s.patch_id and f.ti = k
 left join frame_pixels p on p.tile = f.tile and p.patch_id = f.patch_id and p.t = f.t and p.pos = 5""",
-    "select_dates": """select s.tile, s.patch_id, 'pixels' as band, at as ti,
+    "select_dates": """select s.tile, s.patch_id, 'pixels' as band, slot as ti,
   coalesce(f.doy, 0) as doy, (f.t is null)::int as padded, cast(i // 8 as int) as y,
   cast(i % 8 as int) as x, coalesce(p.value, 0) as value
-from series s cross join (values (0, 0), (1, 2), (2, 5), (3, -1), (4, -1)) a(at, k)
+from series s cross join (values (0, 0), (1, 2), (2, 5), (3, -1), (4, -1)) a(slot, k)
 cross join range(64) b(i)
 left join frame_times f on f.tile = s.tile and f.patch_id = s.patch_id and f.ti = k
 left join frame_pixels p on p.tile = f.tile and p.patch_id = f.patch_id and p.t = f.t and p.pos = i""",
@@ -573,7 +573,8 @@ where y >= r and y < r + 8 and x >= c and x < c + 8""",
     "load_stored": f"""select s.tile, s.patch_id, 'pixels' as band, cast(k as int) as ti,
   coalesce(f.doy, 0) as doy, (f.t is null)::int as padded, cast(i // 4 as int) as y,
   cast(i % 4 as int) as x,
-  coalesce(round((least(greatest(value, qmin), qmax) - med) / (qmax - qmin), 6), 0) as value
+  case when value is null then 0
+    else round((least(greatest(value, qmin), qmax) - med) / (qmax - qmin), 6) end as value
 from series s cross join range(10) a(k) cross join range(16) b(i) cross join pixel_stats
 left join (select *, row_number() over (partition by tile, patch_id order by t) - 1 as at
   from (select * from frame_times qualify row_number() over (partition by tile, patch_id
@@ -642,6 +643,63 @@ select tile, patch_id, rep, win_start, win_start + days as win_end from (
 """.format(
     u1=_u("months", "tile", "patch_id", "rep"), u2=_u("start", "tile", "patch_id", "rep")
 )
+# Transverse Mercator on WGS84 (third-order series), with the constants written out
+CTES["ellipsoid"] = """
+select 1 / 298.257223563::double / (2 - 1 / 298.257223563::double) as n"""
+CTES["series_terms"] = """
+select n, 6378137.0::double / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996::double as k,
+  2 * sqrt(n) / (1 + n) as e,
+  n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 as a1, 13 * n**2 / 48 - 3 * n**3 / 5 as a2,
+  61 * n**3 / 240 as a3,
+  n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 as b1, n**2 / 48 + n**3 / 15 as b2,
+  17 * n**3 / 480 as b3,
+  2 * n - 2 * n**2 / 3 - 2 * n**3 as d1, 7 * n**2 / 3 - 8 * n**3 / 5 as d2,
+  56 * n**3 / 15 as d3
+from ellipsoid"""
+
+
+def _forward(source: str) -> str:
+    """(tile, corner, zone, east, north) of (tile, corner, zone, lon, lat) rows."""
+    return f"""select tile, corner, zone,
+  500000 + k * (eta + a1 * cos(2*xi) * sinh(2*eta) + a2 * cos(4*xi) * sinh(4*eta)
+    + a3 * cos(6*xi) * sinh(6*eta)) as east,
+  k * (xi + a1 * sin(2*xi) * cosh(2*eta) + a2 * sin(4*xi) * cosh(4*eta)
+    + a3 * sin(6*xi) * cosh(6*eta)) as north
+from (select *, atan2(tt, cos(dl)) as xi, atanh(sin(dl) / sqrt(1 + tt * tt)) as eta
+  from (select *, radians(lon) - radians(zone * 6 - 183) as dl,
+      sinh(atanh(sin(radians(lat))) - e * atanh(e * sin(radians(lat)))) as tt
+    from {source}, series_terms))"""
+
+
+CTES["tile_corners"] = """
+select tile, corner, cast(floor((xmin + 0.5 + 180) / 6) + 1 as int) as zone, xmin + dx as lon,
+  ymin + dy as lat
+from tiles_lonlat, (values (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1)) v(corner, dx, dy)"""
+CTES["tile_origin"] = """
+select tile, 0 as corner, cast(floor((xmin + 180) / 6) + 1 as int) as zone, xmin as lon,
+  ymin as lat from tiles_lonlat"""
+CTES["utm_corners"] = _forward("tile_corners")
+CTES["utm_origin"] = _forward("tile_origin")
+CTES["utm_tiles"] = """
+select tile, zone, min(east) as xmin, min(north) as ymin, max(east) as xmax, max(north) as ymax
+from utm_corners group by all"""
+CTES["utm_rois"] = f"""
+select tile, zone, roi,
+  (xmin + 2560) + {_u('cx', 'tile', 'roi')} * ((xmax - 2560) - (xmin + 2560)) - 2560 as xmin,
+  (ymin + 2560) + {_u('cy', 'tile', 'roi')} * ((ymax - 2560) - (ymin + 2560)) - 2560 as ymin
+from (select *, cast(i as int) as roi from utm_tiles, range(3) r(i))"""
+BODIES["to_utm_roundtrip"] = """select tile, zone, round(east, 3) as east, round(north, 3) as north,
+  1 as returns from utm_origin"""
+BODIES["generate_rois"] = """select tile, roi, zone, round(xmin, 3) as xmin,
+  round(ymin + 5120, 3) as ymax, 5 as corners,
+  round(zone * 6 - 183 + degrees(atan2(sinh(eta0), cos(xi0))), 7) as lon,
+  round(degrees(chi + d1 * sin(2*chi) + d2 * sin(4*chi) + d3 * sin(6*chi)), 7) as lat
+from (select *, asin(sin(xi0) / cosh(eta0)) as chi
+  from (select *, xi - b1 * sin(2*xi) * cosh(2*eta) - b2 * sin(4*xi) * cosh(4*eta)
+      - b3 * sin(6*xi) * cosh(6*eta) as xi0,
+      eta - b1 * cos(2*xi) * sinh(2*eta) - b2 * cos(4*xi) * sinh(4*eta)
+      - b3 * cos(6*xi) * sinh(6*eta) as eta0
+    from (select *, ymin / k as xi, (xmin - 500000) / k as eta from utm_rois, series_terms)))"""
 BODIES["resolve_manifests"] = """select 'vito-j-' || k as job_id, year, tile, title, asset, href,
   target
 from targets join (select s_suppkey as k, length(manifest) as size from manifest_text)

@@ -1,6 +1,7 @@
 """One query per operator, over the given tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import tables as tb
 from checks.tables import FILE_TILES, GRID, OPTICAL_BANDS, TILES
@@ -55,7 +56,9 @@ def _both(spark, sf):
 @query
 def read_cube(spark, sf):
     path = cube_files.write_cube(tb.cube_s2(spark, sf), new_folder(spark, "cube"))
-    schema = cube_schema([*OPTICAL_BANDS]).add("clm", "int").add("scl", "int")
+    schema = cube_schema(OPTICAL_BANDS)
+    for mask in ("clm", "scl"):
+        schema = schema.add(mask, T.IntegerType())
     cube = cube_files.read_cube(spark, path, schema, "s2", ["T1", "T3"], [1996, 1999])
     return cube.drop("modality", "year")
 

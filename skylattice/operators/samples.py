@@ -91,7 +91,8 @@ def flatten_pixels(frames: DataFrame, bands: list[str], crop: int | None = None)
 def crop_frames(frames, bands, row0: Column, col0: Column, size: int) -> DataFrame:
     """Cut all bands of each frame to the same window."""
     cut = {b: crop_pixels(F.col(b), F.col("w"), row0, col0, size) for b in bands}
-    return frames.withColumns({**cut, "h": F.lit(size), "w": F.lit(size)})
+    # the size is replaced in a second step: the crops still need the old width
+    return frames.withColumns(cut).withColumns({"h": F.lit(size), "w": F.lit(size)})
 
 
 def tile_frames(frames, bands, h: int, w: int, size: int, mode="diagonal") -> DataFrame:
