@@ -404,7 +404,7 @@ from (select tile, roi,
     "validate_rois": """select tile, 10::bigint as n_roi,
   (cast(substr(tile, 2) as int) % 7 <> 0)::int as area_ok,
   (cast(substr(tile, 2) as int) % 7 <> 0)::int as perimeter_ok from tiles_metric""",
-    "filter_spatial": f"""select {S2_COLUMNS}, px, py from placed p
+    "filter_spatial": f"""select {S2_COLUMNS} from placed p
 where exists (select 1 from rois r where r.tile = p.tile and px between x0 and x0 + 38
   and py between y0 and y0 + 44 and (px - x0) / 38 + (py - y0) / 44 < 1)""",
     "sample_by_feature": """select tile, roi, t, count(*) as n, round(sum(b03), 2) as b03

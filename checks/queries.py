@@ -31,7 +31,6 @@ SEED = 7
 MAX_CLOUD = 0.5
 SPAN = ("1995-01-01", "2000-12-31")
 PIXEL_GRID = PixelGrid(0.0, 0.0, 10.0)
-CELL = 40.0
 OPTICAL = conv.Modality("s2", OPTICAL_BANDS, "b02", "clm", "scl", "double")
 RADAR = conv.Modality("s1_asc", tb.RADAR_BANDS, None, None, None, "double")
 REGISTRY = {}
@@ -523,18 +522,18 @@ def validate_rois(spark, sf):
     return checked.withColumns({c: F.col(c).cast("int") for c in ("area_ok", "perimeter_ok")})
 
 
-def _placed(spark, sf):
-    return PIXEL_GRID.centers(tb.cube_s2(spark, sf).drop("modality"))
+def _pixels(spark, sf):
+    return tb.cube_s2(spark, sf).drop("modality")
 
 
 @query
 def filter_spatial(spark, sf):
-    return spatial.filter_spatial(_placed(spark, sf), tb.rois(spark, sf), CELL)
+    return spatial.filter_spatial(_pixels(spark, sf), tb.rois(spark, sf), PIXEL_GRID)
 
 
 @query
 def sample_by_feature(spark, sf):
-    cut = spatial.sample_by_feature(_placed(spark, sf), tb.rois(spark, sf), CELL)
+    cut = spatial.sample_by_feature(_pixels(spark, sf), tb.rois(spark, sf), PIXEL_GRID)
     return cut.groupBy("tile", "roi", "t").agg(
         F.count("*").alias("n"), F.round(F.sum("b03"), 2).alias("b03")
     )
@@ -542,7 +541,7 @@ def sample_by_feature(spark, sf):
 
 @query
 def clip_polygon(spark, sf):
-    cut = spatial.clip_polygon(_placed(spark, sf), tb.rois(spark, sf), CELL, ["b02", "b03"], PIXEL_GRID)
+    cut = spatial.clip_polygon(_pixels(spark, sf), tb.rois(spark, sf), ["b02", "b03"], PIXEL_GRID)
     return cut.groupBy("tile", "roi", "y", "x", "h", "w").agg(
         F.count("*").alias("n"),
         F.count("b03").alias("n_inside"),
@@ -1012,8 +1011,8 @@ def create_cubes(spark, sf):
     )
     regions_ = tb.rois(spark, sf)
     cut = merge.union_all(
-        cube_plans.cut_per_region(optical, regions_, CELL, PIXEL_GRID, "S2"),
-        cube_plans.cut_per_region(radar, regions_, CELL, PIXEL_GRID, "S1_ASCENDING"),
+        cube_plans.cut_per_region(optical, regions_, PIXEL_GRID, "S2"),
+        cube_plans.cut_per_region(radar, regions_, PIXEL_GRID, "S1_ASCENDING"),
     )
     return cut.groupBy("target", "roi", "modality").agg(
         F.count("*").alias("n"),
@@ -1039,7 +1038,7 @@ def ingest_stream(spark, sf):
     tb.cube_s2(spark, sf).write.option("maxRecordsPerFile", 20000).parquet(staged)
     source = (
         spark.readStream.schema(tb.cube_s2(spark, sf).schema)
-        .option("maxFilesPerTrigger", 2)
+        .option("maxFilesPerTrigger", 8)
         .parquet(staged)
     )
     ingest.ingest_stream(source, target, OPTICAL_BANDS, "b02").awaitTermination()

@@ -15,12 +15,11 @@ class PixelGrid:
     y0: float = 0.0
     res: float = 10.0
 
-    def centers(self, cube):
-        """``cube`` with the pixel centres px, py."""
-        half = F.lit(0.5)
-        return cube.withColumn(
-            "px", F.lit(self.x0) + (F.col("x") + half) * F.lit(self.res)
-        ).withColumn("py", F.lit(self.y0) + (F.col("y") + half) * F.lit(self.res))
+    def center_x(self, x: Column) -> Column:
+        return F.lit(self.x0) + (x + F.lit(0.5)) * F.lit(self.res)
+
+    def center_y(self, y: Column) -> Column:
+        return F.lit(self.y0) + (y + F.lit(0.5)) * F.lit(self.res)
 
     def index_range(self, low: str, high: str, origin: float) -> tuple[Column, Column]:
         """First and last index whose centre lies within [low, high]."""
@@ -54,22 +53,29 @@ def ring_bounds(ring: Column) -> Column:
     )
 
 
-def point_in_ring(px: Column, py: Column, ring: Column) -> Column:
-    """Even-odd rule: true if a ray from the point crosses the closed ring an odd number of times."""
-    edges = F.zip_with(
-        F.slice(ring, F.lit(1), F.size(ring) - 1),
-        F.slice(ring, F.lit(2), F.size(ring) - 1),
+def _edges(ring: Column) -> Column:
+    n = F.size(ring) - 1
+    return F.zip_with(
+        F.slice(ring, F.lit(1), n),
+        F.slice(ring, F.lit(2), n),
         lambda a, b: F.struct(a.alias("a"), b.alias("b")),
     )
 
-    def crosses(e: Column) -> Column:
+
+def ring_crossings(ring: Column, py: Column) -> Column:
+    """x positions at which the horizontal line through ``py`` crosses a closed ring."""
+    spanning = F.filter(_edges(ring), lambda e: (e["a"]["y"] > py) != (e["b"]["y"] > py))
+
+    def at_x(e: Column) -> Column:
         a, b = e["a"], e["b"]
-        spans = (a["y"] > py) != (b["y"] > py)
-        # nullif keeps horizontal edges from dividing by zero; `spans` is false there
-        at_x = (b["x"] - a["x"]) * (py - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"]
-        return spans & F.coalesce(px < at_x, F.lit(False))
+        return (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"]
 
-    return F.size(F.filter(edges, crosses)) % 2 == 1
+    return F.transform(spanning, at_x)
+
+
+def point_in_ring(px: Column, py: Column, ring: Column) -> Column:
+    """Even-odd rule: true if a ray from the point crosses the closed ring an odd number of times."""
+    return F.size(F.filter(ring_crossings(ring, py), lambda x: px < x)) % 2 == 1
 
 
 def cubic_weight(d: Column) -> Column:

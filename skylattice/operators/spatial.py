@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylattice.functions.draws import uniform, uniform_between, uniform_int
-from skylattice.functions.geometry import PixelGrid, box_ring, point_in_ring, ring_bounds
+from skylattice.functions.geometry import PixelGrid, box_ring, ring_bounds, ring_crossings
 
 # ---------------------------------------------------------------- crops
 
@@ -119,6 +119,51 @@ def validate_rois(rois: DataFrame, size: float) -> DataFrame:
 
 # ---------------------------------------------------------------- polygon selection
 
+CELL_COLUMNS = 64
+
+
+def roi_segments(rois: DataFrame, grid: PixelGrid) -> DataFrame:
+    """Each region as runs of pixels: one row per pixel row and run, ``inside`` or not.
+
+    A pixel row is cut at its crossings with the ring; by the even-odd rule the runs between
+    them lie outside and inside in turn. Ring arithmetic is thus done once per region and
+    pixel row, and a pixel only compares its centre with the two ends of a run. The table
+    is small: the height of a region times its runs. Regions without a ring are boxes.
+
+    ``_cell`` is the block of pixel columns a run reaches into, for use as a join key.
+    """
+    has_ring = "ring" in rois.columns
+    regions = _with_bounds(rois)
+    first_y, last_y = grid.index_range("ymin", "ymax", grid.y0)
+    rows = regions.withColumn("y", F.explode(F.when(first_y <= last_y, F.sequence(first_y, last_y))))
+    if has_ring:
+        cuts = F.array_sort(ring_crossings(F.col("ring"), grid.center_y(F.col("y"))))
+    else:
+        # everything from the left edge of the box on; its right edge is tested by `in_box`
+        cuts = F.array(F.col("xmin"))
+    rows = rows.withColumn("_cuts", cuts)
+    starts = F.concat(F.array(F.lit(float("-inf"))), F.col("_cuts"))
+    ends = F.concat(F.col("_cuts"), F.array(F.lit(float("inf"))))
+    rows = rows.select(
+        "tile",
+        "roi",
+        "y",
+        "xmin",
+        "ymin",
+        "xmax",
+        "ymax",
+        F.posexplode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("_i", "_run"),
+    )
+    first_x, last_x = grid.index_range("xmin", "xmax", grid.x0)
+    cells = F.sequence(F.floor(first_x / CELL_COLUMNS), F.floor(last_x / CELL_COLUMNS))
+    return rows.select(
+        "*",
+        F.col("_run.start").alias("start"),
+        F.col("_run.end").alias("end"),
+        (F.col("_i") % 2 == 1).alias("inside"),
+        F.explode(F.when(first_x <= last_x, cells)).alias("_cell"),
+    ).drop("_i", "_run")
+
 
 def _with_bounds(rois: DataFrame) -> DataFrame:
     """Bounding box columns of each ring; boxes without a ring keep their own."""
@@ -131,95 +176,56 @@ def _with_bounds(rois: DataFrame) -> DataFrame:
     )
 
 
-def _roi_match(cube, rois, step: float, how: str) -> DataFrame:
-    """Join pixels (px, py) with the regions that contain them.
+def _meet(cube, segments, grid: PixelGrid, how: str, own=False) -> DataFrame:
+    """Join pixels with the run of each region that their centre lies in.
 
-    Regions are listed under each grid cell of ``step`` their bounding box touches, pixels
-    under the one cell they lie in. Tile and cell make it an equi-join (a hot cell is split
-    by the adaptive skew handling); the box and ring tests remain as its condition.
+    An equi-join on tile, pixel row and column block with two comparisons left over: no
+    cross product, map-side whenever the runs are small enough to broadcast, and otherwise
+    splittable where one block of a tile is hot. ``own`` also matches the region's number
+    with the patch.
     """
-    cells = [("_gx", "xmin", "xmax"), ("_gy", "ymin", "ymax")]
-    regions = _with_bounds(rois)
-    for cell, low, high in cells:
-        span = F.sequence(
-            F.floor(F.col(low) / F.lit(step)), F.floor(F.col(high) / F.lit(step))
-        )
-        regions = regions.withColumn(cell, F.explode(span))
-    p = cube.withColumn("_gx", F.floor(F.col("px") / F.lit(step))).withColumn(
-        "_gy", F.floor(F.col("py") / F.lit(step))
-    )
-    p, r = p.alias("p"), regions.alias("r")
-    same_cell = (
-        (F.col("p.tile") == F.col("r.tile"))
-        & (F.col("p._gx") == F.col("r._gx"))
-        & (F.col("p._gy") == F.col("r._gy"))
-    )
-    px, py = F.col("p.px"), F.col("p.py")
-    in_box = (
-        (px >= F.col("r.xmin"))
-        & (px <= F.col("r.xmax"))
-        & (py >= F.col("r.ymin"))
-        & (py <= F.col("r.ymax"))
-    )
-    condition = same_cell & in_box
-    if "ring" in regions.columns:
-        condition = condition & point_in_ring(px, py, F.col("r.ring"))
-    return p.join(r, condition, how)
+    pixels = cube.withColumn("_cell", F.floor(F.col("x") / CELL_COLUMNS))
+    p, s = pixels.alias("p"), segments.alias("s")
+    on = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in ("tile", "y", "_cell")]
+    if own:
+        on.append(F.col("p.patch_id") == F.col("s.roi"))
+    px = grid.center_x(F.col("p.x"))
+    on += [px >= F.col("s.start"), px < F.col("s.end")]
+    on += [px >= F.col("s.xmin"), px <= F.col("s.xmax")]
+    return p.join(s, on, how)
 
 
-def filter_spatial(cube: DataFrame, rois: DataFrame, step: float) -> DataFrame:
-    """Pixels whose centre (px, py) lies in any region of their tile."""
-    return _roi_match(cube, rois, step, "left_semi").drop("_gx", "_gy")
+def filter_spatial(cube: DataFrame, rois: DataFrame, grid: PixelGrid) -> DataFrame:
+    """Pixels whose centre lies in any region of their tile."""
+    inside = roi_segments(rois, grid).where("inside")
+    return _meet(cube, inside, grid, "left_semi").drop("_cell")
 
 
-def sample_by_feature(cube, rois, step, keep=("roi",), bounds=False) -> DataFrame:
+def sample_by_feature(cube: DataFrame, rois: DataFrame, grid: PixelGrid) -> DataFrame:
     """One copy of a pixel per region that contains it, with the region's ``roi``."""
-    joined = _roi_match(cube, rois, step, "inner")
-    extra = [*keep, *(("xmin", "ymin", "xmax", "ymax") if bounds else ())]
-    return joined.select(
-        *[F.col(f"p.{c}") for c in cube.columns], *[F.col(f"r.{c}") for c in extra]
-    )
+    inside = roi_segments(rois, grid).where("inside")
+    met = _meet(cube, inside, grid, "inner")
+    return met.select(*[F.col(f"p.{c}") for c in cube.columns], F.col("s.roi"))
 
 
-def clip_polygon(cube, rois, step, bands, grid: PixelGrid) -> DataFrame:
+def clip_polygon(cube, rois, bands, grid: PixelGrid, own=False) -> DataFrame:
     """Cut the cube to the bounding box of each region it meets; pixels of the box that lie
-    outside the ring become no-data. Indices are re-based to the box, whose size is known
-    from the pixel grid, so nothing but the region join moves data."""
-    boxes, keep = _boxes(rois)
-    cut = sample_by_feature(cube, boxes, step, keep=keep, bounds=True)
-    return _rebase(cut, bands, grid)
-
-
-def clip_to_own_roi(cube, rois, bands, grid: PixelGrid) -> DataFrame:
-    """``clip_polygon`` for cubes that are stored per region (``patch_id`` is the region's
-    number): an equi-join on (tile, region)."""
-    boxes, _ = _boxes(rois)
-    own = cube.join(boxes.withColumn("patch_id", F.col("roi")), ["tile", "patch_id"])
-    in_box = F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(
-        F.col("ymin"), F.col("ymax")
-    )
-    return _rebase(own.where(in_box), bands, grid)
-
+    outside the ring become no-data.
 
-def _boxes(rois: DataFrame):
-    boxes = _with_bounds(rois)
-    if "ring" not in rois.columns:
-        return boxes, ("roi",)
-    return boxes.withColumnRenamed("ring", "outline"), ("roi", "outline")
-
-
-def _rebase(cut: DataFrame, bands, grid: PixelGrid) -> DataFrame:
-    if "outline" in cut.columns:
-        inside = point_in_ring(F.col("px"), F.col("py"), F.col("outline"))
-        cut = cut.withColumns({b: F.when(inside, F.col(b)) for b in bands}).drop("outline")
-    first_y, last_y = grid.index_range("ymin", "ymax", grid.y0)
-    first_x, last_x = grid.index_range("xmin", "xmax", grid.x0)
-    return (
-        cut.withColumn("y", F.col("y") - first_y)
-        .withColumn("x", F.col("x") - first_x)
-        .withColumn("h", last_y - first_y + 1)
-        .withColumn("w", last_x - first_x + 1)
-        .drop("xmin", "ymin", "xmax", "ymax")
+    Indices are re-based to the box, whose size is known from the pixel grid, so nothing
+    but the region join moves data. ``own`` is for cubes that are stored per region
+    (``patch_id`` is the region's number): each patch meets its own region only.
+    """
+    met = _meet(cube, roi_segments(rois, grid), grid, "inner", own)
+    first_y, last_y = grid.index_range("s.ymin", "s.ymax", grid.y0)
+    first_x, last_x = grid.index_range("s.xmin", "s.xmax", grid.x0)
+    changed = {b: F.when(F.col("s.inside"), F.col(f"p.{b}")) for b in bands}
+    changed["y"], changed["x"] = F.col("p.y") - first_y, F.col("p.x") - first_x
+    return met.select(
+        *[changed.get(c, F.col(f"p.{c}")).alias(c) for c in cube.columns],
+        F.col("s.roi"),
+        (last_y - first_y + 1).alias("h"),
+        (last_x - first_x + 1).alias("w"),
     )
 
 

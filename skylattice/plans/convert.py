@@ -15,12 +15,13 @@ from skylattice.constants import (
 )
 from skylattice.functions.masks import nan_count_of
 from skylattice.operators.merge import union_all
-from skylattice.operators.quality import clean_missing, usable_pixels
+from skylattice.operators.quality import clean_missing, date_quality, usable_frames
 from skylattice.operators.samples import to_frames, with_time_encoding
 from skylattice.operators.select import cast_bands
 from skylattice.operators.spatial import tile_crops
 from skylattice.operators.timeline import crop_time_random, slice_years
-from skylattice.schema import KEY
+from skylattice.schema import FRAME, KEY
+from skylattice.session import settle
 from skylattice.sources.cubes import pending
 
 
@@ -45,19 +46,32 @@ RADAR_ASC = Modality("s1_asc", S1_BANDS)
 RADAR_DESC = Modality("s1_desc", S1_BANDS)
 
 
-def prepare(cube, m: Modality, max_cloud=None, max_nodata=MAX_NODATA_FRACTION, done=None):
-    """Cleaned pixels of the usable dates of one modality, with the count of missing bands."""
-    rows = cube.where(F.col("modality") == m.name)
-    if done is not None:
-        rows = pending(rows, done, KEY)
-    rows = usable_pixels(
-        rows,
-        nodata_band=m.nodata_band,
-        max_nodata=max_nodata,
-        max_cloud=max_cloud if m.cloud else None,
-        cloud=m.cloud,
-        scene_class=m.scene_class,
+def open_frames(cube, m: Modality, max_cloud=None, max_nodata=MAX_NODATA_FRACTION, done=None):
+    """Keys of the usable frames of one modality that are not done yet.
+
+    They are written once: the true size of the key table then decides whether the pixels
+    meet it by broadcast (no shuffle of the cube) or by a sort-merge join.
+    """
+    wants_cloud = max_cloud is not None and m.cloud is not None
+    quality = date_quality(
+        cube.where(F.col("modality") == m.name),
+        m.nodata_band,
+        m.cloud if wants_cloud else None,
+        m.scene_class if wants_cloud else None,
     )
+    frames = usable_frames(quality, max_nodata, max_cloud if wants_cloud else None)
+    if done is not None:
+        frames = pending(frames, done, KEY)
+    return settle(frames, "open-frames")
+
+
+def prepare(cube, m: Modality, frames: DataFrame) -> DataFrame:
+    """Cleaned pixels of the given frames, with the count of missing bands.
+
+    Columns that ``frames`` has beyond the frame key (repetition, year) come along; a frame
+    that is listed several times gives several copies of its pixels.
+    """
+    rows = cube.where(F.col("modality") == m.name).join(frames, FRAME)
     # clean before casting: a cast would turn missing values into numbers or errors
     rows = clean_missing(rows, m.bands)
     rows = rows.withColumn("mask_nan", nan_count_of(rows, m.bands))
@@ -79,26 +93,25 @@ def convert(
     cube, modalities: list[Modality], h, w, crop, max_cloud=0.5, done=None, tiling="diagonal"
 ) -> DataFrame:
     """Sample frames of every patch and modality that is not in ``done`` yet."""
-    return union_all(
-        *[
-            sample_frames(prepare(cube, m, max_cloud, done=done), m, h, w, crop, tiling)
-            for m in modalities
-        ]
-    )
+
+    def one(m: Modality) -> DataFrame:
+        frames = open_frames(cube, m, max_cloud, done=done)
+        return sample_frames(prepare(cube, m, frames), m, h, w, crop, tiling)
+
+    return union_all(*[one(m) for m in modalities])
 
 
 def yearly_convert(
     cube, modalities, years, h, w, crop, max_cloud=0.5, done=None, tiling="diagonal"
 ) -> DataFrame:
     """One sample per year. Years without dates are listed by ``timeline.missing_years``."""
-    return union_all(
-        *[
-            sample_frames(
-                slice_years(prepare(cube, m, max_cloud, done=done), years), m, h, w, crop, tiling
-            )
-            for m in modalities
-        ]
-    )
+    in_years = slice_years(cube, years).drop("year")
+
+    def one(m: Modality) -> DataFrame:
+        frames = slice_years(open_frames(in_years, m, max_cloud, done=done), years)
+        return sample_frames(prepare(in_years, m, frames), m, h, w, crop, tiling)
+
+    return union_all(*[one(m) for m in modalities])
 
 
 def multimodal_windows(
@@ -118,20 +131,15 @@ def multimodal_windows(
 ) -> DataFrame:
     """``repeat`` samples per patch, each cut to a random window that all its modalities share.
 
-    Dates are tested once, before the rows are repeated.
+    Tests, repetitions and windows are settled on frame keys; pixels are only repeated for
+    the windows they lie in.
     """
-    return union_all(
-        *[
-            sample_frames(
-                crop_time_random(
-                    prepare(cube, m, max_cloud, done=done), seed, repeat, months, begin, end
-                ),
-                m,
-                h,
-                w,
-                crop,
-                tiling,
-            )
-            for m in modalities
-        ]
-    )
+    span = cube.where(F.col("t").between(F.lit(begin).cast("date"), F.lit(end).cast("date")))
+
+    def one(m: Modality) -> DataFrame:
+        frames = open_frames(span, m, max_cloud, done=done)
+        windows = crop_time_random(frames, seed, repeat, months, begin, end)
+        rows = prepare(span, m, windows.drop("win_start", "win_end"))
+        return sample_frames(rows, m, h, w, crop, tiling)
+
+    return union_all(*[one(m) for m in modalities])

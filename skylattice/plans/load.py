@@ -11,6 +11,7 @@ from skylattice.operators.samples import crop_frames
 from skylattice.operators.spatial import center_offset, crop_items
 from skylattice.operators.timeline import subsample_frames
 from skylattice.schema import FRAME
+from skylattice.session import settle
 
 
 def load_direct(
@@ -31,15 +32,16 @@ def load_direct(
 ) -> DataFrame:
     """Pixels of randomly chosen usable dates, cropped, cleaned and normalised.
 
-    Date tests and date sampling are settled on frame keys; the cube meets the result in a
-    single semi join.
+    Date tests and date sampling are settled on frame keys, which are written once so that
+    their true size decides how the cube meets them in the single semi join.
     """
     wants_cloud = max_cloud is not None
     quality = date_quality(
         cube, nodata_band, cloud if wants_cloud else None, scene_class if wants_cloud else None
     )
     usable = usable_frames(quality, max_nodata, max_cloud)
-    rows = keep_frames(cube, subsample_frames(usable, max_len, seed))
+    chosen = settle(subsample_frames(usable, max_len, seed), "chosen-frames")
+    rows = keep_frames(cube, chosen)
     rows = crop_items(rows, h, w, size, crop_mode, seed)
     has_class = scene_class in rows.columns
     nodata = F.col(scene_class) == 0 if has_class else F.lit(False)
@@ -59,7 +61,7 @@ def load_samples(
     if size > h or size > w:
         raise ValueError(f"crop of {size} does not fit into {h} x {w}")
     if max_len is not None:
-        chosen = subsample_frames(frames, max_len, seed)
+        chosen = settle(subsample_frames(frames, max_len, seed), "chosen-frames")
         frames = frames.join(chosen, FRAME, "left_semi")
     if stats is not None:
         frames = transform_frames(frames, stats, bands)
