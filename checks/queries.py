@@ -932,7 +932,6 @@ def load_direct(spark, sf):
         nodata_band="b02",
         stats=_stats_for_norm(spark, sf),
     )
-    out = out.withColumn("mask_nan", F.col("mask_nan").cast("int"))
     return _rounded(out.drop("modality"), OPTICAL_BANDS)
 
 

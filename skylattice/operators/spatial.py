@@ -14,7 +14,8 @@ def crop(cube: DataFrame, row0, col0, size: int) -> DataFrame:
     row0 = row0 if isinstance(row0, Column) else F.lit(row0)
     col0 = col0 if isinstance(col0, Column) else F.lit(col0)
     y, x = F.col("y") - row0, F.col("x") - col0
-    inside = y.between(0, size - 1) & x.between(0, size - 1)
+    # one comparison per axis, so an offset that is drawn in place is drawn once
+    inside = (F.floor(y / size) == 0) & (F.floor(x / size) == 0)
     return cube.where(inside).withColumn("y", y).withColumn("x", x)
 
 
@@ -29,12 +30,13 @@ def _check_fits(h: int, w: int, size: int):
 
 def crop_offsets(items, h, w, size, mode="center", seed=0, keys=None) -> DataFrame:
     """``row0, col0`` of the crop of each item: centred or uniformly random."""
-    _check_fits(h, w, size)
-    row0, col0 = _offset_columns(h, w, size, mode, seed, keys or items.columns)
+    row0, col0 = offset_columns(h, w, size, mode, seed, keys or items.columns)
     return items.withColumn("row0", row0).withColumn("col0", col0)
 
 
-def _offset_columns(h, w, size, mode, seed, keys):
+def offset_columns(h, w, size, mode, seed, keys) -> tuple[Column, Column]:
+    """Crop offset of a row's item."""
+    _check_fits(h, w, size)
     if mode == "center":
         return F.lit(center_offset(h, size)), F.lit(center_offset(w, size))
     if mode == "random":
@@ -48,8 +50,7 @@ def _offset_columns(h, w, size, mode, seed, keys):
 def crop_items(cube, h, w, size, mode="center", seed=0, keys=("tile", "patch_id")) -> DataFrame:
     """Crop every item at its own offset; a random offset is derived from the item keys in
     place, so all bands, masks and modalities of an item share it without a join."""
-    _check_fits(h, w, size)
-    return crop(cube, *_offset_columns(h, w, size, mode, seed, list(keys)), size)
+    return crop(cube, *offset_columns(h, w, size, mode, seed, list(keys)), size)
 
 
 def tile_crops(cube: DataFrame, h: int, w: int, size: int, mode="diagonal") -> DataFrame:

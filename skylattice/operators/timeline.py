@@ -77,12 +77,17 @@ def crop_time_random(
     """``random_windows`` and ``crop_time`` in one narrow step.
 
     The window is a function of the item keys, so each row derives it on the spot; all
-    modalities of an item get the same one without a join or a shuffle.
+    modalities of an item get the same one without a join or a shuffle. Best applied to
+    frame keys, before the pixels join them.
     """
-    rows = repeat_items(cube, repeat)
+    in_span = F.col("t").between(F.lit(begin).cast("date"), F.lit(end).cast("date"))
+    rows = repeat_items(cube.where(in_span), repeat)
     start, stop = _window_columns(seed, months, begin, end, [*on, "rep"])
-    rows = rows.withColumn("win_start", start).withColumn("win_end", stop)
-    return rows.where(F.col("t").between(F.col("win_start"), F.col("win_end")))
+    return (
+        rows.withColumn("win_start", start)
+        .withColumn("win_end", stop)
+        .where(F.col("t").between(F.col("win_start"), F.col("win_end")))
+    )
 
 
 def subsample_frames(cube: DataFrame, max_len: int | None, seed: int) -> DataFrame:

@@ -4,13 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylattice.constants import MAX_NODATA_FRACTION
-from skylattice.functions.draws import uniform, uniform_int
+from skylattice.functions.masks import nan_count_of, scl_nodata
 from skylattice.operators.normalize import transform_frames, transform_modality
-from skylattice.operators.quality import clean_missing, keep_frames, usable_frames, date_quality
+from skylattice.operators.quality import clean_missing, date_quality, usable_frames
 from skylattice.operators.samples import crop_frames
-from skylattice.operators.spatial import center_offset, crop_items
+from skylattice.operators.spatial import crop, offset_columns
 from skylattice.operators.timeline import subsample_frames
-from skylattice.schema import FRAME
+from skylattice.schema import FRAME, SCENE
 from skylattice.session import settle
 
 
@@ -33,20 +33,27 @@ def load_direct(
     """Pixels of randomly chosen usable dates, cropped, cleaned and normalised.
 
     Date tests and date sampling are settled on frame keys, which are written once so that
-    their true size decides how the cube meets them in the single semi join.
+    their true size decides how the cube meets them. The crop offset of an item is drawn on
+    the keys as well. ``mask_nan`` is the scene class's no-data flag, or the number of
+    missing bands where there is no scene class.
     """
     wants_cloud = max_cloud is not None
     quality = date_quality(
         cube, nodata_band, cloud if wants_cloud else None, scene_class if wants_cloud else None
     )
     usable = usable_frames(quality, max_nodata, max_cloud)
-    chosen = settle(subsample_frames(usable, max_len, seed), "chosen-frames")
-    rows = keep_frames(cube, chosen)
-    rows = crop_items(rows, h, w, size, crop_mode, seed)
-    has_class = scene_class in rows.columns
-    nodata = F.col(scene_class) == 0 if has_class else F.lit(False)
-    rows = rows.withColumn("mask_nan", F.coalesce(nodata, F.lit(False)))
-    rows = clean_missing(rows, bands, fill=0)
+    row0, col0 = offset_columns(h, w, size, crop_mode, seed, SCENE)
+    chosen = subsample_frames(usable, max_len, seed)
+    chosen = settle(chosen.withColumn("row0", row0).withColumn("col0", col0), "chosen-frames")
+    rows = crop(cube.join(chosen, FRAME), F.col("row0"), F.col("col0"), size)
+    rows = rows.drop("row0", "col0")
+    if scene_class in rows.columns:
+        nodata = F.coalesce(scl_nodata(F.col(scene_class)), F.lit(False)).cast("int")
+        rows = clean_missing(rows, bands)
+    else:
+        rows = clean_missing(rows, bands)
+        nodata = nan_count_of(rows, bands)
+    rows = rows.withColumn("mask_nan", nodata).fillna(0, bands)
     return rows if stats is None else transform_modality(rows, stats, bands)
 
 
@@ -58,17 +65,10 @@ def load_samples(
     Masks get the same dates and the same window but no transform. Offsets depend on
     (tile, patch), so the modalities of an item are cut alike; pixels never leave their row.
     """
-    if size > h or size > w:
-        raise ValueError(f"crop of {size} does not fit into {h} x {w}")
     if max_len is not None:
         chosen = settle(subsample_frames(frames, max_len, seed), "chosen-frames")
         frames = frames.join(chosen, FRAME, "left_semi")
     if stats is not None:
         frames = transform_frames(frames, stats, bands)
-    if crop_mode == "center":
-        row0, col0 = F.lit(center_offset(h, size)), F.lit(center_offset(w, size))
-    else:
-        keys = ("tile", "patch_id")
-        row0 = uniform_int(0, h - size, uniform(seed, "row", *keys))
-        col0 = uniform_int(0, w - size, uniform(seed, "col", *keys))
+    row0, col0 = offset_columns(h, w, size, crop_mode, seed, SCENE)
     return crop_frames(frames, [*bands, *masks], row0, col0, size)

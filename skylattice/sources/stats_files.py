@@ -16,16 +16,12 @@ def write_stats(stats: DataFrame, bands: list[str], path: str, mode="error") ->
 def read_stats(
     spark: SparkSession, path: str, bands: list[str], modality: str | None = None
 ) -> DataFrame:
-    """(modality, band, med, qmin, qmax)."""
-    columns = "".join(f", `{b}` double" for b in bands)
-    table = (
-        spark.read.schema(f"stat string{columns}, modality string")
-        .option("header", "true")
-        .csv(path)
-    )
+    """(modality, band, med, qmin, qmax) of the listed bands, found by their header."""
+    table = spark.read.option("header", "true").csv(path)
     if modality is not None:
         table = table.where(F.col("modality") == modality)
-    return stats_from_table(table, bands)
+    typed = table.select("modality", "stat", *[F.col(b).cast("double").alias(b) for b in bands])
+    return stats_from_table(typed, bands)
 
 
 def read_merged_stats(spark, paths_and_bands: list[tuple[str, list[str]]], modality="agera5"):
