@@ -19,7 +19,7 @@ from skylattice.functions.masks import (
     nan_count_of,
     scl_nodata,
 )
-from skylattice.schema import FRAME
+from skylattice.schema import FRAME, KEY
 
 
 def date_quality(cube, nodata_band=None, cloud=None, scene_class=None, area=None) -> DataFrame:
@@ -58,8 +58,23 @@ def usable_frames(quality: DataFrame, max_nodata=MAX_NODATA_FRACTION, max_cloud=
     return quality.where(keep).select(*FRAME)
 
 
+def join_frames(cube: DataFrame, frames: DataFrame, how="inner") -> DataFrame:
+    """Pixels of the listed frames, with the further columns of ``frames`` (if inner).
+
+    The date is compared null-safely: a static layer has frames without a date.
+    """
+    c, f = cube.alias("c"), frames.alias("f")
+    same = [F.col(f"c.{k}") == F.col(f"f.{k}") for k in KEY]
+    same.append(F.col("c.t").eqNullSafe(F.col("f.t")))
+    met = c.join(f, same, how)
+    if how == "left_semi":
+        return met.select(*[F.col(f"c.{n}") for n in cube.columns])
+    extra = [n for n in frames.columns if n not in FRAME]
+    return met.select(*[F.col(f"c.{n}") for n in cube.columns], *[F.col(f"f.{n}") for n in extra])
+
+
 def keep_frames(cube: DataFrame, frames: DataFrame) -> DataFrame:
-    return cube.join(frames, FRAME, "left_semi")
+    return join_frames(cube, frames, "left_semi")
 
 
 def usable_pixels(

@@ -110,6 +110,13 @@ def too_short(cube: DataFrame, max_len: int) -> DataFrame:
     return counts.where(F.col("n_dates") < max_len)
 
 
+def check_length(cube: DataFrame, max_len: int):
+    """Raise, naming a few, if there are series with fewer than ``max_len`` dates."""
+    short = too_short(cube, max_len).limit(5).collect()
+    if short:
+        raise ValueError(f"series shorter than {max_len} dates: {short}")
+
+
 def subsample_dates(cube: DataFrame, max_len: int | None, seed: int, strict=False) -> DataFrame:
     """Pixels of at most ``max_len`` dates per series; bands and masks share the dates.
 
@@ -118,7 +125,5 @@ def subsample_dates(cube: DataFrame, max_len: int | None, seed: int, strict=Fals
     if max_len is None:
         return cube
     if strict:
-        short = too_short(cube, max_len).limit(5).collect()
-        if short:
-            raise ValueError(f"series shorter than {max_len} dates: {short}")
+        check_length(cube, max_len)
     return keep_frames(cube, subsample_frames(cube, max_len, seed))

@@ -6,21 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylattice.constants import (
+    DEM_BANDS,
     MAX_NODATA_FRACTION,
+    OPTIONS,
     S1_BANDS,
     S2_BANDS,
     SERIES_END,
     SERIES_START,
+    WEATHER_BANDS,
     WINDOW_MONTHS,
 )
 from skylattice.functions.masks import nan_count_of
 from skylattice.operators.merge import union_all
-from skylattice.operators.quality import clean_missing, date_quality, usable_frames
+from skylattice.operators.quality import (
+    clean_missing,
+    date_quality,
+    join_frames,
+    usable_frames,
+)
 from skylattice.operators.samples import to_frames, with_time_encoding
 from skylattice.operators.select import cast_bands
 from skylattice.operators.spatial import tile_crops
 from skylattice.operators.timeline import crop_time_random, slice_years
-from skylattice.schema import FRAME, KEY
+from skylattice.schema import KEY
 from skylattice.session import settle
 from skylattice.sources.cubes import pending
 
@@ -44,6 +52,14 @@ class Modality:
 OPTICAL = Modality("s2", S2_BANDS, S2_BANDS[0], "CLM", "SCL", "smallint")
 RADAR_ASC = Modality("s1_asc", S1_BANDS)
 RADAR_DESC = Modality("s1_desc", S1_BANDS)
+ELEVATION = Modality("dem", DEM_BANDS)
+WEATHER = Modality("agera5", WEATHER_BANDS)
+BY_NAME = {m.name: m for m in (OPTICAL, RADAR_ASC, RADAR_DESC, ELEVATION, WEATHER)}
+
+
+def modalities_for(opt: str) -> list[Modality]:
+    """The modalities an option selects. Elevation is static: its frames have no date."""
+    return [BY_NAME[name] for name in OPTIONS[opt]]
 
 
 def open_frames(cube, m: Modality, max_cloud=None, max_nodata=MAX_NODATA_FRACTION, done=None):
@@ -71,7 +87,7 @@ def prepare(cube, m: Modality, frames: DataFrame) -> DataFrame:
     Columns that ``frames`` has beyond the frame key (repetition, year) come along; a frame
     that is listed several times gives several copies of its pixels.
     """
-    rows = cube.where(F.col("modality") == m.name).join(frames, FRAME)
+    rows = join_frames(cube.where(F.col("modality") == m.name), frames)
     # clean before casting: a cast would turn missing values into numbers or errors
     rows = clean_missing(rows, m.bands)
     rows = rows.withColumn("mask_nan", nan_count_of(rows, m.bands))

@@ -14,7 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.operators.quality import clean_missing, date_quality, usable_frames
+from skylattice.operators.quality import (
+    clean_missing,
+    date_quality,
+    keep_frames,
+    usable_frames,
+)
 from skylattice.schema import FRAME
 
 
@@ -70,4 +75,4 @@ def ingested_quality(spark: SparkSession, target: IngestTarget) -> DataFrame:
 def ingested_usable(spark, target, max_nodata, max_cloud) -> DataFrame:
     """Pixels taken in so far whose date passes the tests."""
     frames = usable_frames(ingested_quality(spark, target), max_nodata, max_cloud)
-    return ingested_pixels(spark, target).join(frames, FRAME, "left_semi")
+    return keep_frames(ingested_pixels(spark, target), frames)

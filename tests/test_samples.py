@@ -154,3 +154,49 @@ def test_yearly_and_repeated_samples_stay_apart(spark):
     many = conv.multimodal_windows(raw(spark), [S2], 4, 4, 4, seed=1, repeat=6, begin="2018-01-01", end="2020-01-01")
     keys = many.select("patch_id", "rep", "t").collect()
     assert len(keys) == len(set(keys)) and len({k.rep for k in keys}) > 1
+
+
+def test_all_modalities_with_a_static_layer(spark):
+    """Elevation has no date; every other modality keeps its own dates."""
+    modalities = conv.modalities_for("all")
+    assert [m.name for m in modalities] == ["s2", "s1_asc", "s1_desc", "dem", "agera5"]
+    bands = sorted({b for m in modalities for b in m.bands})
+    base = raw(spark).where("patch_id = 0").withColumnsRenamed({"clm": "CLM", "scl": "SCL"})
+    base = base.withColumns({b: F.col("a").cast("double") for b in bands}).drop("a")
+    cube = merge.union_all(
+        *[
+            base.withColumn("modality", F.lit(m.name)).withColumn(
+                "t", F.lit(None).cast("date") if m.name == "dem" else F.col("t")
+            )
+            for m in modalities
+        ]
+    )
+    out = conv.convert(cube, modalities, 4, 4, 2).select("modality", "t", "crop_id", "DEM", "VV").collect()
+    sizes = {}
+    for r in out:
+        sizes[r.modality] = sizes.get(r.modality, 0) + 1
+    # two crops; the optical series loses one date, elevation is a single frame
+    assert sizes == {"s2": 6, "s1_asc": 8, "s1_desc": 8, "dem": 2, "agera5": 8}
+    dem = [r for r in out if r.modality == "dem"]
+    assert all(r.t is None and len(r.DEM) == 4 and r.VV is None for r in dem)
+
+
+def test_direct_load_checks_length(spark):
+    with pytest.raises(ValueError, match="shorter"):
+        load.load_direct(raw(spark), ["a"], 4, 4, 2, 1, max_len=9, strict=True)
+    radar = raw(spark).drop("clm", "scl").withColumn("modality", F.lit("s1_asc"))
+    out = load.load_direct(radar, ["a"], 4, 4, 4, 1, max_len=9).where("mask_nan = 1")
+    assert {r.a for r in out.collect()} == {0.0} and out.count() == 8
+
+
+def test_one_hot_frame(spark):
+    """Half of all rows are copies of one pixel of one frame."""
+    hot = raw(spark).where("patch_id = 1 and y = 0 and x = 1 and year(t) = 2018").limit(1)
+    many = merge.union_all(raw(spark), *[hot] * 8)
+    for _ in range(2):
+        many = many.unionByName(many.where("patch_id = 1 and y = 0 and x = 1 and year(t) = 2018"))
+    plain, heavy = (
+        sorted((r.patch_id, str(r.t), r.crop_id, tuple(r.a)) for r in conv.convert(c, [S2], 4, 4, 2).collect())
+        for c in (raw(spark), many)
+    )
+    assert plain == heavy
