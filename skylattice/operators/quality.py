@@ -4,7 +4,8 @@ The no-data, cloud and scene-class tests are all per date and share one denomina
 they are one aggregate over frames. Only its counters are shuffled (they combine on the
 map side); the pixels then meet the surviving frame keys in a left semi join. The side of
 that join with the pixels can be split when a frame is hot, and the key side holds one
-row per frame. No broadcast is forced: the number of frames grows with the data.
+row per frame. No broadcast is forced, since the number of frames grows with the data: the
+measured size of the key table decides.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from skylattice.functions.masks import (
     scl_nodata,
 )
 from skylattice.schema import FRAME, KEY
+from skylattice.session import settle
 
 
 def date_quality(cube, nodata_band=None, cloud=None, scene_class=None, area=None) -> DataFrame:
@@ -74,7 +76,12 @@ def join_frames(cube: DataFrame, frames: DataFrame, how="inner") -> DataFrame:
 
 
 def keep_frames(cube: DataFrame, frames: DataFrame) -> DataFrame:
-    return join_frames(cube, frames, "left_semi")
+    """Pixels of the listed frames.
+
+    The key table is written first. Its true size is then known before the join is planned:
+    a small one is broadcast and the cube stays where it is, a large one is sort-merged.
+    """
+    return join_frames(cube, settle(frames, "frames"), "left_semi")
 
 
 def usable_pixels(

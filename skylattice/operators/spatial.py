@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skylattice.functions.draws import uniform, uniform_between, uniform_int
 from skylattice.functions.geometry import PixelGrid, box_ring, ring_bounds, ring_crossings
+from skylattice.session import settle
 
 # ---------------------------------------------------------------- crops
 
@@ -180,11 +181,13 @@ def _with_bounds(rois: DataFrame) -> DataFrame:
 def _meet(cube, segments, grid: PixelGrid, how: str, own=False) -> DataFrame:
     """Join pixels with the run of each region that their centre lies in.
 
-    An equi-join on tile, pixel row and column block with two comparisons left over: no
-    cross product, map-side whenever the runs are small enough to broadcast, and otherwise
-    splittable where one block of a tile is hot. ``own`` also matches the region's number
-    with the patch.
+    An equi-join on tile, pixel row and column block with two comparisons left over, and no
+    cross product. The runs are written first: they are many more than the regions they come
+    from, and only their true size may decide on a broadcast. Beyond that the join is
+    sort-merged, and split where one block of a tile is hot. ``own`` also matches the
+    region's number with the patch.
     """
+    segments = settle(segments, "regions")
     pixels = cube.withColumn("_cell", F.floor(F.col("x") / CELL_COLUMNS))
     p, s = pixels.alias("p"), segments.alias("s")
     on = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in ("tile", "y", "_cell")]

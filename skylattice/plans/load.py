@@ -76,8 +76,7 @@ def load_samples(
     (tile, patch), so the modalities of an item are cut alike; pixels never leave their row.
     """
     if max_len is not None:
-        chosen = settle(subsample_frames(frames, max_len, seed), "chosen-frames")
-        frames = keep_frames(frames, chosen)
+        frames = keep_frames(frames, subsample_frames(frames, max_len, seed))
     if stats is not None:
         frames = transform_frames(frames, stats, bands)
     row0, col0 = offset_columns(h, w, size, crop_mode, seed, SCENE)
