@@ -45,10 +45,6 @@ def _direct(rows: DataFrame, keys: list[str], quantiles: list[Quantile]) -> Data
     )
 
 
-def _largest_group(rows: DataFrame, keys: list[str]) -> int:
-    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def exact_quantiles(
     rows: DataFrame, keys: list[str], value: str, quantiles: list[Quantile], method="auto"
 ) -> DataFrame:
@@ -56,12 +52,24 @@ def exact_quantiles(
     small_domain = isinstance(rows.schema[value].dataType, SMALL_DOMAIN)
     rows = rows.select(*keys, F.col(value).cast("double").alias("value"))
     rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    if method == "auto":
-        direct = small_domain or _largest_group(rows, keys) <= EXACT_GROUP_ROWS
-        method = "direct" if direct else "located"
-    if method == "direct":
+    if method == "direct" or (method == "auto" and small_domain):
+        return _direct(rows, keys, quantiles)
+    brackets = _brackets(rows, keys, quantiles)
+    if method == "auto" and _largest_group(brackets) <= EXACT_GROUP_ROWS:
         return _direct(rows, keys, quantiles)
-    return _located(rows, keys, quantiles)
+    return _located(rows, keys, quantiles, brackets)
+
+
+def _brackets(rows, keys, quantiles, accuracy=4000) -> DataFrame:
+    """Per group: its size, and sketched values a little below and above each quantile."""
+    slack = 2.0 / accuracy
+    edges = [p for q in quantiles for p in (max(q.q - slack, 0.0), min(q.q + slack, 1.0))]
+    sketch = F.percentile_approx("value", edges, accuracy).alias("edges")
+    return settle(rows.groupBy(*keys).agg(F.count("*").alias("n"), sketch), "brackets")
+
+
+def _largest_group(brackets: DataFrame) -> int:
+    return brackets.agg(F.max("n")).first()[0] or 0
 
 
 def _ranks(quantile: Quantile) -> tuple[Column, Column]:
@@ -73,18 +81,7 @@ def _ranks(quantile: Quantile) -> tuple[Column, Column]:
     return F.floor(position), position - F.floor(position)
 
 
-def _located(rows, keys, quantiles, cells=2048, accuracy=4000) -> DataFrame:
-    slack = 2.0 / accuracy
-    edges = [
-        p for q in quantiles for p in (max(q.q - slack, 0.0), min(q.q + slack, 1.0))
-    ]
-    brackets = settle(
-        rows.groupBy(*keys).agg(
-            F.count("*").alias("n"),
-            F.percentile_approx("value", edges, accuracy).alias("edges"),
-        ),
-        "brackets",
-    )
+def _located(rows, keys, quantiles, brackets, cells=2048) -> DataFrame:
     targets = _targets(brackets, keys, quantiles)
     celled = rows.join(brackets, keys).select(*keys, "value", _cell(len(quantiles), cells))
 

@@ -54,7 +54,8 @@ def test_located_does_not_depend_on_the_sketch(spark):
     """With a sketch this coarse the brackets miss; the result is exact all the same."""
     df = values_df(spark, GROUPS).select("g", F.col("v").alias("value"))
     df = df.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    out = quantiles._located(df, ["g"], QS, cells=4, accuracy=3)
+    brackets = quantiles._brackets(df, ["g"], QS, accuracy=3)
+    out = quantiles._located(df, ["g"], QS, brackets, cells=4)
     for r in out.collect():
         assert [r.med, r.low, r.a, r.z] == pytest.approx(expected(GROUPS[r.g]), rel=1e-9), r.g
 
@@ -71,8 +72,8 @@ def test_large_groups_are_located(spark, monkeypatch):
     assert {r.g for r in out.collect()} == set(GROUPS)
 
 
-def test_small_integers_need_no_count(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "_largest_group", None)
+def test_small_integers_need_no_sketch(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "_brackets", None)
     df = spark.range(1000).select(F.lit("a").alias("g"), (F.col("id") % 7).cast("smallint").alias("v"))
     assert exact_quantiles(df, ["g"], "v", QS).first().med == 3.0
 
