@@ -33,15 +33,24 @@ class Quantile:
     lower: bool = False
 
 
-def _value_at(quantile: Quantile) -> Column:
-    if quantile.lower:
-        return F.expr(f"percentile_disc({quantile.q}D) within group (order by value)")
-    return F.percentile("value", F.lit(quantile.q))
-
-
 def _direct(rows: DataFrame, keys: list[str], quantiles: list[Quantile]) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        *[_value_at(q).cast("double").alias(q.name) for q in quantiles]
+    """Built-in percentiles; all interpolated ones share one value -> count map."""
+    smooth = [q for q in quantiles if not q.lower]
+    aggs = [
+        F.expr(f"percentile_disc({q.q}D) within group (order by value)").alias(q.name)
+        for q in quantiles
+        if q.lower
+    ]
+    if smooth:
+        aggs.append(F.percentile("value", F.array(*[F.lit(q.q) for q in smooth])).alias("_all"))
+    place = {q.name: i for i, q in enumerate(smooth)}
+    found = rows.groupBy(*keys).agg(*aggs)
+    return found.select(
+        *keys,
+        *[
+            (F.col(q.name) if q.lower else F.col("_all")[place[q.name]]).cast("double").alias(q.name)
+            for q in quantiles
+        ],
     )
 
 
