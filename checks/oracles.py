@@ -291,7 +291,7 @@ from (select distinct 'T' || (o_custkey % 50) as tile, cast(o_orderkey % 900 as
 where t >= date '1996-03-01' and t < date '1998-01-01'""",
     "filter_props": "select * exclude (modality) from cube_s1 where orbit = 'ASCENDING'",
     "filter_scene_cloud": """select tile, t, count(*) as n, round(sum(b03), 2) as b03
-from cube_s2 semi join (select tile, t from scenes where cloud_cover <= 30) using (tile, t)
+from cube_s2 semi join (select tile, t from scenes where cloud_cover <= 33) using (tile, t)
 group by all""",
     "select_modalities": """select modality, tile, count(*) as n from cube_s1 group by all""",
     "split_bands": """select tile, t, band, max(v) as value,
@@ -494,7 +494,7 @@ from (select 's2' as modality, * from global_stats union all
   case variable when 'click' then 0 when 'view' then 1 when 'purchase' then 2
     when 'signup' then 3 else 4 end as ord, 'agera5' as modality
 from weather group by variable""",
-    "approximate_band_stats": """select 1 as med_ok, 1 as qmin_ok, 1 as qmax_ok from cube_s2 limit 1""",
+    "approximate_band_stats": """select count(b03) as n, 1 as med_ok, 1 as qmin_ok, 1 as qmax_ok from cube_s2""",
     "clip_bands": "select tile, patch_id, t, y, x, "
     + ", ".join(f"{_clip(b)} as {b}" for b in OPTICAL)
     + ", clm, scl from cube_s2, norm_wide",
@@ -623,7 +623,7 @@ having coalesce(sum(clm) filter (inside), 0) < 0.02::double *
   count(*) as n, round(sum(value), 2) as total
 from (select p.tile, t, title, modality, roi, value
   from (select tile, t, y, x, 'S2' as title, modality, b03 as value
-      from cube_s2 semi join (select tile, t from scenes where cloud_cover <= 40) using (tile, t)
+      from cube_s2 semi join (select tile, t from scenes where cloud_cover <= 34) using (tile, t)
     union all
     select tile, t, y, x, 'S1_ASCENDING', modality, vv from cube_s1
     where orbit = 'ASCENDING') p

@@ -209,7 +209,7 @@ def filter_props(spark, sf):
 
 @query
 def filter_scene_cloud(spark, sf):
-    kept = select.filter_scene_cloud(tb.cube_s2(spark, sf), tb.scenes(spark, sf), 30.0)
+    kept = select.filter_scene_cloud(tb.cube_s2(spark, sf), tb.scenes(spark, sf), 33.0)
     return kept.groupBy("tile", "t").agg(
         F.count("*").alias("n"), F.round(F.sum("b03"), 2).alias("b03")
     )
@@ -737,11 +737,13 @@ def approximate_band_stats(spark, sf):
         *[
             (F.count_if(F.col("b03") <= F.col(s)) / F.count("b03")).alias(s)
             for s in stats.STAT_NAMES
-        ]
+        ],
+        F.count("b03").alias("n"),
     )
     targets = {"med": 0.5, "qmin": 0.05, "qmax": 0.95}
     return shares.select(
-        *[(F.abs(F.col(s) - q) < 0.01).cast("int").alias(f"{s}_ok") for s, q in targets.items()]
+        "n",
+        *[(F.abs(F.col(s) - q) < 0.01).cast("int").alias(f"{s}_ok") for s, q in targets.items()],
     )
 
 
@@ -994,7 +996,7 @@ def generate_rois(spark, sf):
 def create_cubes(spark, sf):
     """Optical and radar cubes on one grid, cut per region, with their folder."""
     optical = cube_plans.optical_cube(
-        tb.cube_s2(spark, sf), tb.scenes(spark, sf), ["b03"], "1996-01-01", "1998-01-01", 40.0
+        tb.cube_s2(spark, sf), tb.scenes(spark, sf), ["b03"], "1996-01-01", "1998-01-01", 34.0
     )
     radar = cube_plans.aligned_cube(
         tb.cube_s1(spark, sf),

@@ -29,14 +29,6 @@ class PixelGrid:
         return first.cast("int"), last.cast("int")
 
 
-def box_area(b: Column) -> Column:
-    return (b["xmax"] - b["xmin"]) * (b["ymax"] - b["ymin"])
-
-
-def box_perimeter(b: Column) -> Column:
-    return F.lit(2.0) * ((b["xmax"] - b["xmin"]) + (b["ymax"] - b["ymin"]))
-
-
 def box_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     """Closed ring of an axis-aligned box."""
     corners = [(xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin)]

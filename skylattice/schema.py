@@ -12,15 +12,6 @@ KEY = ["tile", "patch_id", "modality"]
 FRAME = [*KEY, "t"]
 PIXEL = [*FRAME, "y", "x"]
 
-CATALOG = T.StructType(
-    [
-        T.StructField("mod", T.StringType()),
-        T.StructField("patch_id", T.StringType()),
-        T.StructField("s2_tile", T.StringType()),
-        T.StructField("sits_path", T.StringType()),
-    ]
-)
-
 MANIFEST = (
     "properties struct<title string, `card4l:processing_chain` struct<process_graph struct<"
     "loadcollection1 struct<arguments struct<temporal_extent array<string>>>, "
