@@ -1,13 +1,17 @@
 """The operators of this subpackage as named queries, with SQL where SQL can say the same."""
 
-from skylattice.llm import exact_dedup, langid, quality
+from skylattice.llm import exact_dedup, langid, packing, quality, simhash, substring
 
 QUERIES = {
     "op3_language_id": langid.query,
+    "op6_substring_dedup": substring.query,
+    "op7_simhash": simhash.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op9_packing": packing.query,
     "op10_quality_rules": quality.query,
 }
 
 ORACLE_SQL = {
+    "op6_substring_dedup": substring.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
