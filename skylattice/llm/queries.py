@@ -1,8 +1,10 @@
 """The operators of this subpackage as named queries, with SQL where SQL can say the same."""
 
-from skylattice.llm import exact_dedup, langid, packing, quality, simhash, substring
+from skylattice.llm import exact_dedup, langid, mixing, packing, quality, secrets, simhash, substring
 
 QUERIES = {
+    "op1_secret_scan": secrets.query,
+    "op2_mixing": mixing.query,
     "op3_language_id": langid.query,
     "op6_substring_dedup": substring.query,
     "op7_simhash": simhash.query,
@@ -12,6 +14,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_secret_scan": secrets.SQL,
+    "op2_mixing": mixing.SQL,
     "op6_substring_dedup": substring.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }

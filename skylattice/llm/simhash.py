@@ -181,8 +181,7 @@ def links(distinct: DataFrame, partitions: int = PARTITIONS, crowd: int = CROWD)
         "simhash-thresholds",
     )
 
-    probes = []
-    for k, bits in enumerate(groups):
+    def probed(k, bits):
         base = _value(F.col("fp"), bits)
         flips = [F.lit(_flip(b)) for b in bits]
         own = F.array(base)
@@ -190,7 +189,9 @@ def links(distinct: DataFrame, partitions: int = PARTITIONS, crowd: int = CROWD)
         two = F.concat(one, F.array(*[base.bitwiseXOR(F.lit(_flip(b) ^ _flip(c))) for i, b in enumerate(bits) for c in bits[:i]]))
         t = F.col(f"t{k}")
         values = F.when(t == 0, own).when(t == 1, one).when(t == 2, two).otherwise(F.array().cast("array<long>"))
-        probes.append(F.transform(values, lambda v, k=k: F.struct(F.lit(k).alias("part"), v.alias("value"))))
+        return F.transform(values, lambda v: F.struct(F.lit(k).alias("part"), v.alias("value")))
+
+    probes = [probed(k, bits) for k, bits in enumerate(groups)]
     probe = plan.select("fp", F.explode(F.concat(*probes)).alias("p")).select(F.col("fp").alias("x"), "p.part", "p.value")
 
     few = sizes.where(F.col("size") <= crowd).select("part", "value")
