@@ -91,17 +91,20 @@ def block_count(docs: DataFrame, chars: int = BLOCK_CHARS) -> int:
     return int(total // chars) + 1
 
 
-def blocked(docs: DataFrame, blocks: int) -> DataFrame:
+def blocked(docs: DataFrame, blocks: int, rest: bool = False) -> DataFrame:
     """``block, doc_id, text``: documents dealt to blocks by a hash of id and text.
 
     The block depends on the row alone, so a repeated or re-run task deals it alike. Rows
-    with null ids are dealt by their texts.
+    with null ids are dealt by their texts. With ``rest``, a struct of that name carries
+    all columns but the text.
     """
     text = whole()
+    others = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")] if rest else []
     return docs.select(
         F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
+        *others,
     )
 
 
