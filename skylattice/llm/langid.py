@@ -192,29 +192,40 @@ def infer(like: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return share
 
 
+def _labeller(spark: SparkSession, langs: list[str], model: np.ndarray):
+    """A function from texts to their main language, its share, and all shares."""
+    # Spark sends the model, of fixed size, to each executor once
+    shared = spark.sparkContext.broadcast(model.T.astype(np.float32).copy())
+
+    def label(texts):
+        table = [*shared.value, np.full(BINS, NOISE, np.float32)]
+        names, score, sets = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+        usable = ((i, t) for i, t in enumerate(texts) if langs and t and any(map(str.isalpha, t)))
+        for at, some in chunks(usable):
+            bins, begin, doc = trigrams(some)
+            like = np.stack([np.add.reduceat(t[bins], begin) for t in table])
+            for i, row in zip(at, infer(like, doc, len(some)).T):
+                best = int(row[: len(langs)].argmax())
+                names[i], score[i] = langs[best], min(1.0, row[best])
+                sets[i] = [(langs[k], float(row[k])) for k in np.flatnonzero(row[: len(langs)] > 0)]
+        return names, score, sets
+
+    return label
+
+
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     """``doc_id, lang_pred, score, languages`` per document.
 
     ``lang_pred`` is the language of the largest proportion, ``score`` that proportion,
     ``languages`` all proportions of the chosen set. A null text, one without letters, or a
-    model without languages gives ``und`` with score 0. Other columns are ignored.
+    model without languages gives ``und`` with score 0. Repeated rows are labelled alike.
+    Other columns are ignored; an empty table gives no rows.
     """
-    # Spark sends the model to each executor once
-    shared = docs.sparkSession.sparkContext.broadcast(model.T.astype(np.float32).copy())
+    label = _labeller(docs.sparkSession, langs, model)
 
-    def label(batches):
-        table = [*shared.value, np.full(BINS, NOISE, np.float32)]
+    def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            names, score, sets = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
-            usable = ((i, t) for i, t in enumerate(texts) if langs and t and any(map(str.isalpha, t)))
-            for at, some in chunks(usable):
-                bins, begin, doc = trigrams(some)
-                like = np.stack([np.add.reduceat(t[bins], begin) for t in table])
-                for i, row in zip(at, infer(like, doc, len(some)).T):
-                    best = int(row[: len(langs)].argmax())
-                    names[i], score[i] = langs[best], min(1.0, row[best])
-                    sets[i] = [(langs[k], float(row[k])) for k in np.flatnonzero(row[: len(langs)] > 0)]
+            names, score, sets = label(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -226,7 +237,24 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(label, "doc_id long, lang_pred string, score double, languages map<string,double>")
+    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, languages map<string,double>")
+
+
+def keep_known(docs: DataFrame, langs: list[str], model: np.ndarray, least: float = 0.5) -> DataFrame:
+    """The documents of which at least the share ``least`` is in languages of the model.
+
+    Texts that mix known languages stay; noise, texts without letters and null texts go.
+    All columns are kept.
+    """
+    label = _labeller(docs.sparkSession, langs, model)
+
+    def run(batches):
+        for batch in batches:
+            _, _, sets = label(batch.column("text").to_pylist())
+            known = [sum(share for _, share in found) >= least for found in sets]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out_identify(docs: DataFrame) -> DataFrame:

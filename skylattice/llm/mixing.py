@@ -241,6 +241,35 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
     return rows, spans(rows, draws(sources, seed=seed))
 
 
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
+    """The mix as documents: a row for each document and pass that takes words of it.
+
+    A document that is taken in part has the words of its drawn blocks, with the white space
+    after each word. All columns are kept. Rows that repeat id, source and text stand for
+    each other: there is a row for each draw of any of them.
+    """
+    rows, taken = mix(docs, weights, share, cap)
+    taken = taken.groupBy("sid", "start", "pass").agg(
+        F.sum("words").alias("words"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("cuts")
+    )
+    key = rows.where("size > 0").select("sid", "start", "size", *[F.col(c).alias(f"key_{c}") for c in ("doc_id", "source", "form")])
+    taken = taken.join(key, ["sid", "start"])
+    each = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("key_doc_id"),
+        F.col("source").cast("string").alias("key_source"),
+        F.xxhash64(whole()).alias("key_form"),
+    ).dropDuplicates(["key_doc_id", "key_source", "key_form"])
+    same = [taken[c].eqNullSafe(each[c]) for c in ("key_doc_id", "key_source", "key_form")]
+    found = each.join(taken, same[0] & same[1] & same[2])
+    words = F.regexp_extract_all("row.text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    pieces = F.transform("cuts", lambda c: F.array_join(F.slice("all", (c["from"] + 1).cast("int"), c["words"].cast("int")), ""))
+    part = F.rtrim(F.array_join(pieces, ""))
+    text = F.when(F.col("words") == F.col("size"), F.col("row.text")).otherwise(part)
+    found = found.withColumn("all", F.when(F.col("words") < F.col("size"), words)).withColumn("cut", text)
+    return found.select(*[F.col("cut").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, taken = mix(documents(spark, sf_dir))
     taken = taken.groupBy("sid", "start").agg(F.sum("words").alias("taken"))

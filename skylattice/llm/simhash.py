@@ -16,11 +16,11 @@ the smallest fingerprint of a key. That is linear in the group.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skylattice.llm.components import components
-from skylattice.llm.text import documents, words_of
+from skylattice.llm.text import documents, whole, words_of
 from skylattice.session import settle
 
 BITS = 64
@@ -235,5 +235,25 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The documents without those that are near copies of a kept one, all columns kept.
+
+    Of each component the smallest id stays. Rows without an id stand behind all others,
+    ordered by a hash of their text; of rows that repeat an id the one of the smallest text
+    hash stays.
+    """
+    text = whole()
+    late = F.xxhash64(text).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), late).alias("key"),
+        F.xxhash64(text).alias("form"),
+    )
+    found = near_dedup(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), shingle)
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("form"))
+    return keyed.join(stay, "key", "left_semi").withColumn("turn", turn).where("turn = 1").select("row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir))
