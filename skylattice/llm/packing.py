@@ -7,6 +7,7 @@ left of the histogram is packed greedily. All of this works on the histogram, wh
 fixed. Pieces then get their places by their rank within their bin.
 """
 
+import re
 import zlib
 from functools import cache
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylattice.llm.text import KNOWN_WORDS, documents
+from skylattice.llm.text import WordTable, documents
 from skylattice.session import settle
 
 WINDOW = 4096
@@ -39,33 +40,58 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _plain_words(tokenizer):
+    """A function from a plain word to its ids, or None where the word is not plain.
+
+    Plain is a run of Latin letters, which stay as they are in NFC, and then marks: two
+    pieces that go straight to the vocabulary's model once they are in lower case. None at
+    all if the tokenizer does not treat such words so.
+    """
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and ord(c.lower()) < 0x250]
+    marks = ".,;:!?"
+    try:
+        spelled = {ord(c): tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+    except (AttributeError, IndexError):
+        return None
+    plain = re.compile(f"([{''.join(letters)}]+)([{marks}]*)")
+    model = tokenizer.model
+
+    def ids(word: str):
+        found = plain.fullmatch(word)
+        if not found:
+            return None
+        tokens = model.tokenize(found[1].lower().translate(spelled))
+        return [t.id for t in tokens + (model.tokenize(found[2]) if found[2] else [])]
+
+    probes = ("the", "Über,", "ÉTÉ!?", "niño", "ß", "Thstble.", "ŒUVRE;:")
+    right = all(ids(w) == tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
+    return ids if right else None
+
+
 def encoder(path: str):
     """A function from a text to its ids as little-endian unsigned 32-bit integers.
 
     The tokenizer splits at white space before anything else, so words are encoded once and
-    remembered; new words of a text are encoded in one call.
+    remembered, in bounded memory.
     """
     tokenizer = _tokenizer(path)
+    plain = _plain_words(tokenizer)
 
     def whole(text):
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    known: dict[bytes, bytes] = {}
+    def one(word):
+        text = word.decode()
+        ids = plain(text) if plain else None
+        return whole(text) if ids is None else np.array(ids, "<u4").tobytes()
+
+    known = WordTable(one)
 
     def encode(text: str) -> bytes:
         data = text.encode("utf-8", "replace")
         if SPECIAL in data:
             return whole(data.decode())
-        words = data.split()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            for w, e in zip(new, found):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(known.__getitem__, data.split()))
 
     return encode
 

@@ -45,7 +45,7 @@ def _strings(nodes) -> tuple[set[str] | None, list[set[str]]]:
         elif kind in (op.MAX_REPEAT, op.MIN_REPEAT):
             least, most, item = value
             strings, inner = _strings(item)
-            if strings is not None and (least, most) == (0, 1):
+            if strings is not None and (least, most) == (0, 1) and len(strings) == 1:
                 follow(strings | {""})
             elif strings is not None and least == most and least <= 4:
                 for _ in range(least):
