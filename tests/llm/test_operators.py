@@ -366,7 +366,7 @@ def test_packing_strategy_uses_every_piece():
         for b in combo:
             used[b] += times
     assert (used == histogram).all()
-    assert histogram @ np.arange(65) / (64 * sequences) > 0.97
+    assert histogram @ np.arange(65) / (64 * sequences) > 0.95
 
 
 def test_quality_statistics(docs, rows):
