@@ -132,7 +132,7 @@ from orders group by 1""",
 select case when path like '%Sentinel2%' then 's2' else 's1_asc' end as mod,
   split_part(path, '/', 4) as patch_id, split_part(path, '/', 1) as s2_tile, path as sits_path,
   length
-from scene_files where cast(substr(split_part(path, '/', 1), 2) as int) < 40""",
+from scene_files""",
     "roi_files": """
 select 'T' || (l_suppkey % 5) || '/' || year(l_shipdate) || '/S2/openEO_' || l_suppkey || '.nc'
   as path, count(*) as length
@@ -181,7 +181,7 @@ from usable_s2 group by all""",
     "dense_s2": """
 select k.tile, k.patch_id, k.t, k.crop_id, cast(i as int) as pos,
   coalesce(b02, 0) as b02, coalesce(b03, 0) as b03, coalesce(clm, 0) as clm,
-  coalesce(mask_nan, 0) as mask_nan
+  coalesce(mask_nan, 4) as mask_nan
 from (select distinct tile, patch_id, t, y // 8 as crop_id from prepared_s2 where y // 8 = x // 8) k
 cross join range(64) r(i)
 left join prepared_s2 p on p.tile = k.tile and p.patch_id = k.patch_id and p.t = k.t
@@ -272,7 +272,8 @@ from (select path, split_part(path, '/', 2) as s2_tile,
   case when path like '%s1_asc.pt' then 's1_asc' else 's2' end as mod,
   split_part(path, 'openEO_', 2) as rest from sample_files)
 where s2_tile in ('T0', 'T1', 'T2', 'T3', 'T4')""",
-    "catalog_len": """select 's2' as mod, count(*) as n_items from file_catalog where mod = 's2'""",
+    "catalog_len": """select 's2' as mod, count(distinct (s2_tile, patch_id)) as n_items
+from file_catalog where mod = 's2'""",
     "small_files": "select path, length from scene_files where ceil(length / 1024) < 50",
     "job_ids": "select 'vito-j-' || s_suppkey as job_id from supplier",
     "manifest_assets": """select 'j-' || k as "jobId", year, tile, title, asset, href, target
@@ -558,6 +559,28 @@ from unique_modal where year(t) in (1997, 1999) group by all""",
 from unique_modal m join windows_of_patches w
   on m.tile = w.tile and m.patch_id = w.patch_id and t between win_start and win_end
 where y // 8 = x // 8 group by all""",
+    "windows_resume": """select m.tile, m.patch_id, modality, t, y // 8 as crop_id, w.rep,
+  64 as n_pixels, round(sum(value), 2) as total
+from unique_modal m join windows_of_patches w
+  on m.tile = w.tile and m.patch_id = w.patch_id and t between win_start and win_end
+where y // 8 = x // 8 and w.rep <> 1 group by all""",
+    "nodata_area": """select tile, patch_id, t, 256::bigint as n, greatest(256 - count(b02), 0) as n_nan
+from cube_s2 group by all""",
+    "normalize_other_modality": """select modality, tile, round(sum(case modality
+    when 's2' then (least(greatest(coalesce(b03, 5100.0), 0.0), 5000.0) - 1000.0) / 5000.0
+    when 's2_l1c' then (least(greatest(coalesce(b03, 9100.0), 500.0), 9000.0) - 2000.0) / 8500.0
+    else b03 end), 4) as b03, count(*) as n
+from (select tile, b03, ['s2', 's2_l1c', 's3'][patch_id % 3 + 1] as modality from cube_s2) group by all""",
+    "without_stats": """select * from (values ('s2', 'vv'), ('s1_asc', 'b03'), ('s1_asc', 'vv')) v(modality, band)
+where exists (select 1 from cube_s2)""",
+    "merge_nan": """select tile, t, variable,
+  case when day(t) % 6 <> 0 then v end as v from weather""",
+    "rois_with_holes": """select tile, y, x, count(*) as n from cube_s2
+where (x between 1 and 8 and y between 1 and 8 and not (x between 3 and 5 and y between 3 and 6))
+  or (x between 11 and 14 and y between 10 and 13) group by all""",
+    "manifest_errors": """select 'j-' || s_suppkey as "jobId",
+  case s_suppkey % 5 when 0 then 'malformed' when 1 then 'no assets' else 'absent' end as reason
+from supplier where s_suppkey % 5 < 3""",
     "load_direct": "select tile, patch_id, t, y - r as y, x - c as x, "
     + ", ".join(
         f"round({_norm(b, f'least(greatest(coalesce({b}, 0), {b}_qmin), {b}_qmax)')}, 6) as {b}"

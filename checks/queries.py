@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import tables as tb
-from checks.tables import FILE_TILES, GRID, OPTICAL_BANDS, TILES
+from checks.tables import GRID, OPTICAL_BANDS, TILES
 from skylattice.functions import dates, geometry
-from skylattice.functions.geometry import PixelGrid
+from skylattice.functions.geometry import PixelGrid, join_rings
 from skylattice.operators import (
     merge,
     normalize,
@@ -99,25 +99,25 @@ def pending(spark, sf):
 
 @query
 def scene_catalog(spark, sf):
-    return catalog.scene_catalog(tb.scene_files(spark, sf), "s2", FILE_TILES)
+    return catalog.scene_catalog(tb.scene_files(spark, sf), "s2", tb.file_tiles(spark, sf))
 
 
 @query
 def build_catalog(spark, sf):
-    return catalog.build_catalog(tb.scene_files(spark, sf), ["s2", "s1_asc"], FILE_TILES)
+    return catalog.build_catalog(tb.scene_files(spark, sf), ["s2", "s1_asc"], tb.file_tiles(spark, sf))
 
 
 @query
 def catalog_summary(spark, sf):
-    cat = catalog.build_catalog(tb.scene_files(spark, sf), ["s2", "s1_asc"], FILE_TILES)
+    cat = catalog.build_catalog(tb.scene_files(spark, sf), ["s2", "s1_asc"], tb.file_tiles(spark, sf))
     return catalog.catalog_summary(cat)
 
 
 @query
 def missing_scenes(spark, sf):
     files = tb.scene_files(spark, sf).where("length > 5000")
-    cat = catalog.build_catalog(files, ["s2", "s1_asc"], FILE_TILES)
-    return catalog.missing_scenes(cat, FILE_TILES)
+    cat = catalog.build_catalog(files, ["s2", "s1_asc"], tb.file_tiles(spark, sf))
+    return catalog.missing_scenes(cat, [f"T{i}" for i in range(40)])
 
 
 @query
@@ -130,7 +130,7 @@ def union_catalogs(spark, sf):
 
 @query
 def distinct_patches(spark, sf):
-    cat = catalog.build_catalog(tb.scene_files(spark, sf), ["s2", "s1_asc"], FILE_TILES)
+    cat = catalog.build_catalog(tb.scene_files(spark, sf), ["s2", "s1_asc"], tb.file_tiles(spark, sf))
     return catalog.distinct_patches(cat)
 
 
@@ -141,7 +141,7 @@ def sample_catalog(spark, sf):
 
 @query
 def catalog_len(spark, sf):
-    cat = catalog.build_catalog(tb.scene_files(spark, sf), ["s1_asc", "s2"], FILE_TILES)
+    cat = catalog.build_catalog(tb.scene_files(spark, sf), ["s1_asc", "s2"], tb.file_tiles(spark, sf))
     return catalog.catalog_len(cat)
 
 
@@ -188,7 +188,7 @@ def item_keys(spark, sf):
         F.concat(F.lit("T"), (F.col("o_custkey") % 50).cast("string")).alias("tile"),
         (F.col("o_orderkey") % 900).cast("int").alias("patch_id"),
     )
-    return merge.item_keys(scenes, block=256)
+    return merge.item_keys(scenes)
 
 
 # ------------------------------------------------------------ selection
@@ -879,7 +879,7 @@ def convert(spark, sf):
     done = tb.cube_s2(spark, sf).where("tile = 'T4' and patch_id = 2").select(
         "tile", "patch_id", "modality"
     )
-    fr = conv.convert(tb.cube_s2(spark, sf), [OPTICAL], GRID, GRID, 8, MAX_CLOUD, done)
+    fr = conv.convert(tb.cube_s2(spark, sf), [OPTICAL], GRID, GRID, 8, MAX_CLOUD, done, whole_frames=False)
     out = _frame_sums(fr, ["b02", "b03", "mask_nan", "clm"])
     return out.join(
         fr.select("tile", "patch_id", "t", "crop_id", "doy"), ["tile", "patch_id", "t", "crop_id"]
@@ -889,7 +889,7 @@ def convert(spark, sf):
 @query
 def yearly_convert(spark, sf):
     fr = conv.yearly_convert(
-        _both(spark, sf), [OPTICAL, RADAR], [1997, 1999], GRID, GRID, GRID, MAX_CLOUD
+        _both(spark, sf), [OPTICAL, RADAR], [1997, 1999], GRID, GRID, GRID, MAX_CLOUD, whole_frames=False
     )
     return _modal_sums(fr)
 
@@ -915,10 +915,83 @@ def multimodal_windows(spark, sf):
         begin=SPAN[0],
         end=SPAN[1],
         max_cloud=MAX_CLOUD,
+        whole_frames=False,
     )
     return _modal_sums(fr)
 
 
+@query
+def windows_resume(spark, sf):
+    """A run that finds one repetition of each patch stored gives the others."""
+    done = tb.cube_s2(spark, sf).select("tile", "patch_id", "modality").distinct()
+    done = done.unionByName(tb.cube_s1(spark, sf).select("tile", "patch_id", "modality").distinct())
+    fr = conv.multimodal_windows(
+        _both(spark, sf), [OPTICAL, RADAR], GRID, GRID, 8, SEED, repeat=4, begin=SPAN[0], end=SPAN[1],
+        max_cloud=MAX_CLOUD, done=done.withColumn("rep", F.lit(1)), whole_frames=False,
+    )
+    return _modal_sums(fr)
+
+
+@query
+def nodata_area(spark, sf):
+    """Missing pixels per date of a grid of known size; pixels without a row are missing."""
+    return quality.date_quality(tb.cube_s2(spark, sf), "b02", area=GRID * GRID).drop("modality")
+
+
+@query
+def normalize_other_modality(spark, sf):
+    """Statistics hold for any modality they name; one without statistics stays as it is."""
+    name = F.element_at(F.array(*map(F.lit, ("s2", "s2_l1c", "s3"))), F.col("patch_id") % 3 + 1)
+    cube = tb.cube_s2(spark, sf).withColumn("modality", name)
+    table = [("s2", "b03", 1000.0, 0.0, 5000.0), ("s2_l1c", "b03", 2000.0, 500.0, 9000.0)]
+    table = spark.createDataFrame(table, "modality string, band string, med double, qmin double, qmax double")
+    out = normalize.transform_modality(cube, table, ["b03"])
+    return out.groupBy("modality", "tile").agg(F.round(F.sum("b03"), 4).alias("b03"), F.count("*").alias("n"))
+
+
+@query
+def without_stats(spark, sf):
+    table = spark.createDataFrame([("s2", "b03")], "modality string, band string")
+    return normalize.without_stats(_both(spark, sf), table, ["b03", "vv"])
+
+
+@query
+def merge_nan(spark, sf):
+    """NaN in one file does not hide the value of another."""
+    cube = tb.weather(spark, sf).select("tile", "t", "variable", "v")
+    nan = F.lit(float("nan"))
+    one = cube.withColumn("v", F.when(F.dayofmonth("t") % 2 == 0, nan).otherwise(F.col("v")))
+    two = cube.withColumn("v", F.when(F.dayofmonth("t") % 3 == 0, nan).otherwise(F.col("v")))
+    return merge.merge_series(one, two, keys=["tile", "t", "variable"])
+
+
+@query
+def rois_with_holes(spark, sf):
+    """Pixels in regions of two parts, the first with a hole."""
+    tiles = tb.cube_s2(spark, sf).select("tile").distinct()
+    rings = F.array(*[
+        F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ring])
+        for ring in (
+            [(1.0, 1.0), (9.0, 1.0), (9.0, 9.0), (1.0, 9.0), (1.0, 1.0)],
+            [(3.0, 3.0), (6.0, 3.0), (6.0, 7.0), (3.0, 7.0), (3.0, 3.0)],
+            [(11.0, 10.0), (15.0, 10.0), (15.0, 14.0), (11.0, 14.0), (11.0, 10.0)],
+        )
+    ])
+    regions = tiles.withColumn("roi", F.lit(1)).withColumn("ring", join_rings(rings))
+    inside = spatial.filter_spatial(tb.cube_s2(spark, sf), regions, PixelGrid(0.0, 0.0, 1.0))
+    return inside.groupBy("tile", "y", "x").agg(F.count("*").alias("n"))
+
+
+@query
+def manifest_errors(spark, sf):
+    """Manifests without assets or that cannot be read, with the reason."""
+    rows = tb.manifests(spark, sf)
+    number = F.substring("jobId", 3, 20).cast("int")
+    text = F.when(number % 5 == 0, F.substring("manifest", 1, 40)).when(number % 5 == 1, F.lit('{"assets":{}}'))
+    text = F.when(number % 5 == 2, F.lit(None).cast("string")).otherwise(F.coalesce(text, "manifest"))
+    return manifests.manifest_errors(rows.withColumn("manifest", text)).select("jobId", "reason")
+
+
 @query
 def load_direct(spark, sf):
     out = load.load_direct(
@@ -933,6 +1006,7 @@ def load_direct(spark, sf):
         max_cloud=MAX_CLOUD,
         nodata_band="b02",
         stats=_stats_for_norm(spark, sf),
+        whole_frames=False,
     )
     return _rounded(out.drop("modality"), OPTICAL_BANDS)
 

@@ -192,7 +192,10 @@ def scene_files(spark, sf) -> DataFrame:
     return optical.unionByName(radar)
 
 
-FILE_TILES = [f"T{i}" for i in range(0, 40)]
+def file_tiles(spark, sf) -> list[str]:
+    """All tiles of ``scene_files``: as many as the tables have suppliers and customers."""
+    tile = F.split_part("path", F.lit("/"), F.lit(1))
+    return sorted(r[0] for r in scene_files(spark, sf).select(tile).distinct().collect())
 
 
 def roi_files(spark, sf) -> DataFrame:

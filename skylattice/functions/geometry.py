@@ -35,6 +35,26 @@ def box_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in corners])
 
 
+def join_rings(rings: Column) -> Column:
+    """Several closed rings as one vertex list with a NULL between them.
+
+    The even-odd rule holds for the union of edges, so holes and further parts need no
+    other treatment; the gaps give no edge.
+    """
+    gap = F.array(F.lit(None).cast("struct<x:double,y:double>"))
+    return F.flatten(F.transform(rings, lambda r, i: F.when(i == 0, r).otherwise(F.concat(gap, r))))
+
+
+def split_rings(ring: Column) -> Column:
+    """The closed rings of a vertex list; inverse of ``join_rings``."""
+    gaps = F.filter(
+        F.transform(ring, lambda p, i: F.when(p.isNull(), i)), lambda i: i.isNotNull()
+    )
+    starts = F.concat(F.array(F.lit(0)), F.transform(gaps, lambda i: i + 1))
+    ends = F.concat(gaps, F.array(F.size(ring)))
+    return F.zip_with(starts, ends, lambda a, b: F.slice(ring, a + 1, b - a))
+
+
 def ring_bounds(ring: Column) -> Column:
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     return F.struct(

@@ -5,7 +5,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skylattice.functions.masks import missing
+from skylattice.operators.samples import sample_keys
 from skylattice.schema import PIXEL
+from skylattice.session import settle
 
 
 def union_all(*tables: DataFrame) -> DataFrame:
@@ -17,12 +20,13 @@ def _merged(rows: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
     """Value and conflict flag per key and band.
 
     Min and max of the present values tell both the common value and whether it is common;
-    unlike a distinct count they combine on the map side.
+    unlike a distinct count they combine on the map side. NaN counts as absent.
     """
     aggs = []
     for b in bands:
-        aggs.append(F.max(b).alias(b))
-        aggs.append((F.min(b) != F.max(b)).alias(f"_{b}_differs"))
+        present = F.when(~missing(rows, b), F.col(b))
+        aggs.append(F.max(present).alias(b))
+        aggs.append((F.min(present) != F.max(present)).alias(f"_{b}_differs"))
     return rows.groupBy(*keys).agg(*aggs)
 
 
@@ -66,54 +70,42 @@ def pivot_variables(long: DataFrame, variables: list[str], keys, name="variable"
     return wide
 
 
-def assemble_items(heads: DataFrame, modalities: list[str], on=("tile", "patch_id")) -> DataFrame:
+def assemble_items(heads: DataFrame, modalities: list[str], on=None) -> DataFrame:
     """One row per item with one struct per modality, NULL where the modality is absent.
 
-    ``heads`` has one row per item and modality; every modality keeps its own time axis.
-    Modalities meet by key, never by position.
+    An item is a sample: by default a patch with its crop, repetition, year and region as far
+    as ``heads`` has them. Every modality keeps its own time axis. Modalities meet by key,
+    never by position; two rows of a modality in one item are an error.
     """
+    on = [k for k in (on or sample_keys(heads)) if k != "modality"]
     fields = [c for c in heads.columns if c not in on and c != "modality"]
     pack = F.struct(*fields)
-    return heads.groupBy(*on).agg(
-        *[
-            F.first(F.when(F.col("modality") == m, pack), ignorenulls=True).alias(m)
-            for m in modalities
-        ]
-    )
+
+    def one(m: str):
+        own = F.col("modality") == m
+        name = F.concat_ws(" ", *on)
+        twice = F.raise_error(F.concat(F.lit(f"more than one {m} in item "), F.first(name)))
+        only = F.first(F.when(own, pack), ignorenulls=True)
+        return F.when(F.count_if(own) < 2, only).otherwise(F.when(twice.isNull(), only)).alias(m)
+
+    return heads.groupBy(*on).agg(*[one(m) for m in modalities])
 
 
-def item_keys(catalog: DataFrame, tile="tile", patch="patch_id", block=4096) -> DataFrame:
+def item_keys(catalog: DataFrame, tile="tile", patch="patch_id") -> DataFrame:
     """Consecutive item numbers in (tile, patch) order, as integer ``item``.
 
-    The number is the sum of three counts: items of earlier tiles, items of the tile's
-    earlier blocks of patch numbers, and the rank within the block. No window sees more than
-    one row per tile, one row per block of a tile, or ``block`` distinct patches, so no task
-    receives the whole catalog.
+    Patches may be numbers or names; several files of a patch are one item. The items are
+    written in ranges of their order, and the number is the count of the ranges before plus
+    the rank within the range. A range is what one task sorts; no task receives the whole
+    catalog, however many patches a tile has.
     """
     items = catalog.select(tile, patch).distinct()
-    items = items.withColumn("_block", F.floor(F.col(patch) / F.lit(block)))
-    blocks = items.groupBy(tile, "_block").agg(F.count("*").alias("_n"))
-    tiles = blocks.groupBy(tile).agg(F.sum("_n").alias("_n"))
-    before = (Window.unboundedPreceding, -1)
-    # one row per tile of the tiling grid (56,686 tiles cover the globe)
-    tiles = tiles.select(
-        tile,
-        F.coalesce(F.sum("_n").over(Window.orderBy(tile).rowsBetween(*before)), F.lit(0)).alias(
-            "_tiles_before"
-        ),
-    )
-    in_tile = Window.partitionBy(tile).orderBy("_block").rowsBetween(*before)
-    blocks = blocks.select(
-        tile, "_block", F.coalesce(F.sum("_n").over(in_tile), F.lit(0)).alias("_blocks_before")
-    )
-    rank = F.row_number().over(Window.partitionBy(tile, "_block").orderBy(patch)) - 1
-    return (
-        items.withColumn("_rank", rank)
-        .join(blocks, [tile, "_block"])
-        .join(tiles, tile)
-        .select(
-            (F.col("_tiles_before") + F.col("_blocks_before") + F.col("_rank")).alias("item"),
-            tile,
-            patch,
-        )
-    )
+    ranges = items.repartitionByRange(tile, patch).withColumn("_range", F.spark_partition_id())
+    items = settle(ranges, "items")
+    counts = items.groupBy("_range").agg(F.count("*").alias("_n"))
+    # one row per range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(tile, patch)) - 1
+    numbered = items.withColumn("_rank", rank).join(counts, "_range")
+    return numbered.select((F.col("_before") + F.col("_rank")).alias("item"), tile, patch)

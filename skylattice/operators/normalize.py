@@ -1,23 +1,23 @@
 """Robust clipping and normalisation with per-band statistics.
 
-The statistics meet the cube as one row per modality (a struct per band). Its size is
-bounded by construction: the rows are filtered to the literal lists of modalities and bands
-and grouped by modality, so they are safe to broadcast at any data size.
+The statistics meet the cube as one row per modality (a struct per band), for whatever
+modalities they hold. That table is written first, so its measured size decides whether the
+cube stays where it is.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.constants import CLIP_HEADROOM, MODALITY_TOKENS, OPTIONS
+from skylattice.constants import CLIP_HEADROOM
 from skylattice.functions.masks import missing
-
-KNOWN_MODALITIES = sorted({*MODALITY_TOKENS, *OPTIONS["all"]})
+from skylattice.session import settle
 
 
 def stats_by_modality(stats: DataFrame, bands: list[str], modalities=None) -> DataFrame:
     """(modality, _big, _<band> STRUCT<med, qmin, qmax>), one row per modality."""
-    names = modalities or KNOWN_MODALITIES
-    own = stats.where(F.col("modality").isin(names) & F.col("band").isin(bands))
+    own = stats.where(F.col("band").isin(bands))
+    if modalities is not None:
+        own = own.where(F.col("modality").isin(list(modalities)))
     pack = F.struct("med", "qmin", "qmax")
     return own.groupBy("modality").agg(
         (F.max("qmax") + F.lit(CLIP_HEADROOM)).alias("_big"),
@@ -29,9 +29,10 @@ def stats_by_modality(stats: DataFrame, bands: list[str], modalities=None) -> Da
 
 
 def _with_stats(cube, stats, bands, change, as_type="double") -> DataFrame:
-    """Apply ``change`` to each band; rows without statistics keep their values."""
-    wide = stats_by_modality(stats, bands)
-    joined = cube.join(F.broadcast(wide), "modality", "left")
+    """Apply ``change`` to each band; rows without statistics keep their values and are
+    listed by ``without_stats``."""
+    wide = settle(stats_by_modality(stats, bands), "band-stats")
+    joined = cube.join(wide, "modality", "left")
 
     def changed(b: str) -> Column:
         s = F.col(f"_{b}")
@@ -40,6 +41,13 @@ def _with_stats(cube, stats, bands, change, as_type="double") -> DataFrame:
     return joined.withColumns({b: changed(b) for b in bands}).select(*cube.columns)
 
 
+def without_stats(cube: DataFrame, stats: DataFrame, bands: list[str]) -> DataFrame:
+    """(modality, band) of the cube that have no statistics."""
+    wanted = cube.select("modality").distinct()
+    wanted = wanted.withColumn("band", F.explode(F.array(*[F.lit(b) for b in bands])))
+    return wanted.join(stats.select("modality", "band").distinct(), ["modality", "band"], "left_anti")
+
+
 def clipped(value: Column, is_missing: Column, s: Column, big: Column) -> Column:
     """Clamp to [qmin, qmax]; a missing value counts as larger than every value."""
     present = F.when(~is_missing, value.cast("double"))

@@ -27,11 +27,15 @@ from skylattice.session import settle
 def date_quality(cube, nodata_band=None, cloud=None, scene_class=None, area=None) -> DataFrame:
     """Per frame: grid size ``n`` and the counts the date tests need.
 
-    ``area`` is the grid size h*w when it is known; by default the rows of the frame.
+    ``area`` is the grid size h*w when it is known; by default the rows of the frame. Pixels
+    of the area that have no row count as missing.
     """
     aggs = [(F.count(F.lit(1)) if area is None else F.lit(area).cast("long")).alias("n")]
     if nodata_band:
-        aggs.append(F.count_if(missing(cube, nodata_band)).alias("n_nan"))
+        gone = F.count_if(missing(cube, nodata_band))
+        if area is not None:
+            gone = F.greatest(F.lit(area).cast("long") - F.count_if(~missing(cube, nodata_band)), F.lit(0))
+        aggs.append(gone.alias("n_nan"))
     if cloud:
         aggs.append(F.count_if(F.col(cloud) == 1).alias("n_cld"))
         aggs.append(_sum_present(cube, cloud).alias("cld_sum"))

@@ -1,11 +1,10 @@
 """Exact quantiles per group, for groups of any size.
 
-Three ways, chosen by what is known about the size of a group's state:
+Two ways, chosen by the type of the values and never by their number:
 
 * integer bands of at most 16 bits have at most 65,536 distinct values, so Spark's
   ``percentile`` (a value -> count map) is bounded whatever the number of rows;
-* groups measured to be small (``EXACT_GROUP_ROWS``) also use ``percentile``;
-* otherwise the answer is located step by step. A sketch brackets every wanted rank, an
+* for all other types the answer is located step by step. A sketch brackets every wanted rank, an
   exact histogram over the brackets finds the one cell that holds the rank, and only the
   values of that cell are counted one by one. The sketch affects speed only: values outside
   the brackets have cells of their own, so the result is exact in any case. No task ever
@@ -20,7 +19,6 @@ from pyspark.sql import types as T
 
 from skylattice.session import settle
 
-EXACT_GROUP_ROWS = 250_000
 SMALL_DOMAIN = (T.ByteType, T.ShortType, T.BooleanType)
 
 
@@ -63,10 +61,7 @@ def exact_quantiles(
     rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
     if method == "direct" or (method == "auto" and small_domain):
         return _direct(rows, keys, quantiles)
-    brackets = _brackets(rows, keys, quantiles)
-    if method == "auto" and _largest_group(brackets) <= EXACT_GROUP_ROWS:
-        return _direct(rows, keys, quantiles)
-    return _located(rows, keys, quantiles, brackets)
+    return _located(rows, keys, quantiles, _brackets(rows, keys, quantiles))
 
 
 def _brackets(rows, keys, quantiles, accuracy=4000) -> DataFrame:
@@ -77,10 +72,6 @@ def _brackets(rows, keys, quantiles, accuracy=4000) -> DataFrame:
     return settle(rows.groupBy(*keys).agg(F.count("*").alias("n"), sketch), "brackets")
 
 
-def _largest_group(brackets: DataFrame) -> int:
-    return brackets.agg(F.max("n")).first()[0] or 0
-
-
 def _ranks(quantile: Quantile) -> tuple[Column, Column]:
     """0-based position of the quantile among n sorted values, as (floor, fraction)."""
     n = F.col("n").cast("double")

@@ -35,18 +35,22 @@ def sample_keys(df: DataFrame) -> list[str]:
 # ---------------------------------------------------------------- frames
 
 
-def to_frames(cube, bands, h: int, w: int, fill=0, complete=False) -> DataFrame:
+def to_frames(cube, bands, h: int, w: int, fill=0, complete=False, fills=None) -> DataFrame:
     """One row per frame with one row-major array of h*w pixels per band.
 
     Pixels given several times are combined first (largest value), on the map side, so what
     is collected per frame is the grid and not the rows. Pixels that are absent or NULL
-    become ``fill``. ``complete`` promises that every frame has all its pixels, which spares
+    become ``fill``, or what ``fills`` names for a band. A pixel off the grid is an error.
+    ``complete`` promises that every frame has all its pixels, which spares
     laying out the empty grid.
     """
     keys = frame_keys(cube)
-    pos = (F.col("y") * F.lit(w) + F.col("x")).cast("int").alias("pos")
     on_grid = F.col("y").between(0, h - 1) & F.col("x").between(0, w - 1)
-    rows = cube.where(on_grid).select(*keys, pos, *bands)
+    off = F.concat(F.lit(f"pixel outside the {h} x {w} grid: y, x = "), F.concat_ws(", ", "y", "x"))
+    pos = F.when(on_grid, (F.col("y") * F.lit(w) + F.col("x")).cast("int")).otherwise(
+        F.raise_error(off).cast("int")
+    )
+    rows = cube.select(*keys, pos.alias("pos"), *bands)
     if not complete:
         empty = rows.select(*keys).distinct().withColumn(
             "pos", F.explode(F.sequence(F.lit(0), F.lit(h * w - 1)))
@@ -58,9 +62,10 @@ def to_frames(cube, bands, h: int, w: int, fill=0, complete=False) -> DataFrame:
 
     def layer(band: str) -> Column:
         values = F.col("_grid")[band]
-        if fill is None:
+        own = (fills or {}).get(band, fill)
+        if own is None:
             return values
-        return F.transform(values, lambda v: F.coalesce(v, F.lit(fill).cast(cube.schema[band].dataType)))
+        return F.transform(values, lambda v: F.coalesce(v, F.lit(own).cast(cube.schema[band].dataType)))
 
     return frames.select(
         *keys, F.lit(h).alias("h"), F.lit(w).alias("w"), *[layer(b).alias(b) for b in bands]
@@ -97,7 +102,7 @@ def crop_frames(frames, bands, row0: Column, col0: Column, size: int) -> DataFra
 
 def tile_frames(frames, bands, h: int, w: int, size: int, mode="diagonal") -> DataFrame:
     """Frames cut into crops with a ``crop_id``; no pixel leaves its row."""
-    if w == size:
+    if h == w == size:
         return frames.withColumn("crop_id", F.lit(0))
     if h != w or w % size:
         raise ValueError(f"cannot cut {h} x {w} frames into crops of {size}")
@@ -132,10 +137,15 @@ def frame_quality(frames, nodata_band=None, cloud="clm", scene_class="scl") -> D
 
 
 def sample_heads(frames: DataFrame) -> DataFrame:
-    """One row per sample: its dates, their day numbers and fractions of the year."""
+    """One row per sample: its dates, their day numbers and fractions of the year.
+
+    A static layer is one frame without a date: ``n_dates`` is 1 and the arrays hold NULL.
+    """
     keys = sample_keys(frames)
-    dates = F.array_sort(F.collect_set("t")).alias("dates")
-    heads = frames.select(*keys, "t").distinct().groupBy(*keys).agg(dates)
+    # collect_set leaves out the NULL date of a static layer
+    found = F.array_sort(F.collect_set("t"))
+    dates = F.when(F.count("t") < F.count("*"), F.concat(F.array(F.lit(None).cast("date")), found))
+    heads = frames.select(*keys, "t").distinct().groupBy(*keys).agg(dates.otherwise(found).alias("dates"))
     return heads.select(
         *keys,
         F.size("dates").alias("n_dates"),
@@ -151,14 +161,12 @@ def with_time_encoding(frames: DataFrame) -> DataFrame:
 
 
 def with_time_index(frames: DataFrame) -> DataFrame:
-    """Position ``ti`` of each frame on its sample's time axis.
+    """Position ``ti`` of each frame on its sample's time axis; a static layer is first.
 
-    Ranked on the keys alone; a window holds one entry per date of a sample.
+    A window holds one entry per date of a sample.
     """
-    keys = sample_keys(frames)
-    order = Window.partitionBy(*keys).orderBy("t")
-    ranks = frames.select(*keys, "t").withColumn("ti", F.row_number().over(order) - 1)
-    return frames.join(ranks, [*keys, "t"])
+    order = Window.partitionBy(*sample_keys(frames)).orderBy("t")
+    return frames.withColumn("ti", F.row_number().over(order) - 1)
 
 
 def pad_heads(heads: DataFrame, max_len: int) -> DataFrame:
@@ -177,11 +185,13 @@ def pad_time(frames, bands, h: int, w: int, max_len: int) -> DataFrame:
     """Series of exactly ``max_len`` frames: later ones are cut, missing ones are zero.
 
     Padded frames have no date (``t`` NULL) and ``padded`` true; ``ti`` numbers all frames.
+    A static layer is not padded: its one frame stands for all dates.
     """
     keys = sample_keys(frames)
     encoded = with_time_encoding(with_time_index(frames)).where(F.col("ti") < max_len)
     encoded = encoded.withColumn("padded", F.lit(False))
-    lengths = frames.groupBy(*keys).agg(F.count("*").cast("int").alias("_n"))
+    lengths = frames.groupBy(*keys).agg(F.count("*").cast("int").alias("_n"), F.count("t").alias("_dated"))
+    lengths = lengths.where("_dated > 0").drop("_dated")
     tail = F.when(
         F.col("_n") < max_len, F.sequence(F.col("_n"), F.lit(max_len - 1))
     )

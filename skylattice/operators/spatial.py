@@ -60,7 +60,7 @@ def tile_crops(cube: DataFrame, h: int, w: int, size: int, mode="diagonal") -> D
     ``diagonal`` emits the blocks (n, n); ``grid`` emits every block, row by row.
     """
     y, x = F.col("y"), F.col("x")
-    if w == size:
+    if h == w == size:
         return cube.withColumn("crop_id", F.lit(0))
     if h != w or w % size:
         raise ValueError(f"cannot cut {h} x {w} frames into crops of {size}")

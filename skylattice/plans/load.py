@@ -36,6 +36,7 @@ def load_direct(
     stats=None,
     max_nodata=MAX_NODATA_FRACTION,
     strict=False,
+    whole_frames=True,
 ) -> DataFrame:
     """Pixels of randomly chosen usable dates, cropped, cleaned and normalised.
 
@@ -43,11 +44,16 @@ def load_direct(
     their true size decides how the cube meets them. The crop offset of an item is drawn on
     the keys as well. ``mask_nan`` is the scene class's no-data flag, or the number of
     missing bands where there is no scene class. ``strict`` raises if a series has fewer than
-    ``max_len`` usable dates.
+    ``max_len`` usable dates. With ``whole_frames`` the date tests take a frame as h*w pixels,
+    of which absent ones are missing.
     """
     wants_cloud = max_cloud is not None
     quality = date_quality(
-        cube, nodata_band, cloud if wants_cloud else None, scene_class if wants_cloud else None
+        cube,
+        nodata_band,
+        cloud if wants_cloud else None,
+        scene_class if wants_cloud else None,
+        h * w if whole_frames else None,
     )
     usable = usable_frames(quality, max_nodata, max_cloud)
     if strict and max_len is not None:

@@ -20,7 +20,10 @@ MANIFEST = (
     "assets map<string, struct<href string>>"
 )
 
-FEATURE_GEOMETRY = "struct<type string, coordinates array<array<array<double>>>>"
+# coordinates nest one level deeper in a MultiPolygon; they are parsed by type
+FEATURE_GEOMETRY = "struct<type string, coordinates string>"
+POLYGON = "array<array<array<double>>>"
+MULTI_POLYGON = "array<array<array<array<double>>>>"
 ROI_FEATURE = (
     f"type string, properties struct<Name string, id bigint>, geometry {FEATURE_GEOMETRY}"
 )

@@ -35,11 +35,11 @@ def _file_name(path: str) -> Column:
 
 def _in_requested_tile(files: DataFrame, tiles: list[str]) -> DataFrame:
     """Rows with the requested tile that names one of the path's directories, as ``s2_tile``,
-    and the directories below it, as ``_below``."""
+    and the directories below it, as ``_below``. A path that names two of them is in both."""
     parts = F.split("path", "/")
     dirs = F.slice(parts, F.lit(1), F.size(parts) - 1)
     found = F.array_intersect(dirs, F.array(*[F.lit(t) for t in tiles]))
-    rows = files.withColumn("s2_tile", F.get(found, 0)).where(F.col("s2_tile").isNotNull())
+    rows = files.withColumn("s2_tile", F.explode(found))
     at = F.array_position(dirs, F.col("s2_tile")).cast("int")
     return rows.withColumn("_below", F.slice(dirs, at + 1, F.size(dirs)))
 
@@ -86,11 +86,13 @@ def catalog_summary(catalog: DataFrame) -> DataFrame:
 def missing_scenes(catalog: DataFrame, tiles: list[str]) -> DataFrame:
     """(mod, patch_id, s2_tile) for each requested tile that lacks a patch found elsewhere.
 
+    Patches of all tiles of the catalog count, requested or not.
     Only patches that some tile lacks are expanded to the requested tiles - a literal list,
     so the fan-out per patch is its length.
     """
     present = catalog.select("mod", "patch_id", "s2_tile").distinct()
-    counts = present.groupBy("mod", "patch_id").agg(F.count("*").alias("n_tiles"))
+    requested = F.count_if(F.col("s2_tile").isin(tiles))
+    counts = present.groupBy("mod", "patch_id").agg(requested.alias("n_tiles"))
     incomplete = counts.where(F.col("n_tiles") < len(tiles)).select("mod", "patch_id")
     wanted = incomplete.withColumn("s2_tile", F.explode(F.array(*[F.lit(t) for t in tiles])))
     return wanted.join(present, ["mod", "patch_id", "s2_tile"], "left_anti")
@@ -123,11 +125,11 @@ def sample_catalog(files: DataFrame, tiles: list[str], modalities: list[str]) ->
 
 
 def catalog_len(catalog: DataFrame, priority=RAW_LENGTH_PRIORITY) -> DataFrame:
-    """Number of rows of the first modality of ``priority`` that is present."""
+    """Number of items, a patch of a tile each, of the first modality of ``priority`` that is
+    present; yearly files of a patch are one item."""
     order = F.array_position(F.array(*[F.lit(m) for m in priority]), F.col("mod"))
-    counts = catalog.where(F.col("mod").isin(priority)).groupBy("mod").agg(
-        F.count("*").alias("n_items")
-    )
+    items = catalog.where(F.col("mod").isin(priority)).select("mod", "s2_tile", "patch_id").distinct()
+    counts = items.groupBy("mod").agg(F.count("*").alias("n_items"))
     return counts.withColumn("_order", order).orderBy("_order").limit(1).drop("_order")
 
 

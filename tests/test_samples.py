@@ -67,12 +67,62 @@ def test_permute_is_its_own_inverse(spark):
 
 
 def test_dense_frames_survive_duplicates_and_gaps(spark):
-    rows = [("T", 0, "s2", DAY, 0, 1, 5.0)] * 50 + [("T", 0, "s2", DAY, 1, 0, None), ("T", 0, "s2", DAY, 7, 0, 1.0)]
+    rows = [("T", 0, "s2", DAY, 0, 1, 5.0)] * 50 + [("T", 0, "s2", DAY, 1, 0, None)]
     cube = spark.createDataFrame(
         rows, "tile string, patch_id int, modality string, t date, y int, x int, a double"
     )
     assert samples.to_frames(cube, ["a"], 2, 2).first().a == [0.0, 5.0, 0.0, 0.0]
     assert samples.to_frames(cube, ["a"], 2, 2, fill=None).first().a == [None, 5.0, None, None]
+    assert samples.to_frames(cube, ["a"], 2, 2, fills={"a": 9}).first().a == [9.0, 5.0, 9.0, 9.0]
+    with pytest.raises(Exception, match="outside the 1 x 2 grid"):
+        samples.to_frames(cube, ["a"], 1, 2).collect()
+
+
+def test_frames_that_are_not_square_are_not_one_crop(spark):
+    with pytest.raises(ValueError):
+        samples.tile_frames(frames(spark, [1], 8, 4), ["a"], 8, 4, 4)
+
+
+def test_static_layers_are_one_frame(spark):
+    rows = [("T", 0, "dem", None, y, x, float(y)) for y in range(2) for x in range(2)]
+    rows += [("T", 1, "s2", DAY, y, x, 1.0) for y in range(2) for x in range(2)]
+    cube = spark.createDataFrame(
+        rows, "tile string, patch_id int, modality string, t date, y int, x int, a double"
+    )
+    fr = samples.to_frames(cube, ["a"], 2, 2)
+    heads = {r.modality: r.n_dates for r in samples.sample_heads(fr).collect()}
+    assert heads == {"dem": 1, "s2": 1}
+    out = {r.modality: r for r in samples.to_samples(fr, ["a"], 2, 2, 3).collect()}
+    assert out["dem"].sits == [[[0.0, 0.0, 1.0, 1.0]]] and out["dem"].padd_mask == [False]
+    assert out["s2"].padd_mask == [False, True, True]
+
+
+def test_items_are_samples(spark):
+    rows = [("T", 0, "s2", 0, 5), ("T", 0, "s2", 1, 7), ("T", 0, "dem", 0, 1)]
+    heads = spark.createDataFrame(rows, "tile string, patch_id int, modality string, crop_id int, n_dates int")
+    out = {r.crop_id: r for r in merge.assemble_items(heads, ["s2", "dem"]).collect()}
+    assert out[0].s2.n_dates == 5 and out[1].s2.n_dates == 7 and out[1].dem is None
+    with pytest.raises(Exception, match="more than one s2"):
+        merge.assemble_items(heads, ["s2", "dem"], on=["tile", "patch_id"]).collect()
+
+
+def test_windows_go_on_after_a_stored_repetition(spark):
+    args = dict(seed=1, repeat=3, begin="2018-01-01", end="2020-01-01")
+    full = conv.multimodal_windows(raw(spark), [S2], 4, 4, 4, **args)
+    done = full.where("rep = 0").select("tile", "patch_id", "modality", "rep").distinct()
+    rest = conv.multimodal_windows(raw(spark), [S2], 4, 4, 4, done=done, **args)
+    assert {r.rep for r in rest.select("rep").collect()} == {1, 2}
+
+
+def test_absent_radar_pixels_are_masked(spark):
+    rows = [("T", 0, "s1_asc", DAY, 0, 0, 5.0)]
+    cube = spark.createDataFrame(
+        rows, "tile string, patch_id int, modality string, t date, y int, x int, a double"
+    )
+    radar = conv.Modality("s1_asc", ["a"], dtype="double")
+    assert conv.convert(cube, [radar], 2, 2, 2).first().mask_nan == [0, 1, 1, 1]
+    window = dict(seed=1, repeat=1, begin="2017-01-01", end="2021-01-01")
+    assert conv.multimodal_windows(cube, [radar], 2, 2, 2, **window).count() == 0
 
 
 def test_tile_frames_equals_cropping(spark):
@@ -114,11 +164,25 @@ def test_merge_reports_conflicts(spark):
 def test_item_keys_are_consecutive(spark):
     rows = [(f"T{i % 4}", i * 37 % 1000) for i in range(500)]
     df = spark.createDataFrame(rows + rows[:100], "tile string, patch_id int")
-    out = [(r.item, r.tile, r.patch_id) for r in merge.item_keys(df, block=64).collect()]
+    out = [(r.item, r.tile, r.patch_id) for r in merge.item_keys(df).collect()]
     want = [(i, *k) for i, k in enumerate(sorted(set(rows)))]
     assert sorted(out) == want
 
 
+def test_item_keys_of_named_patches(spark):
+    rows = [(t, f"openEO_{i}_clip.nc") for t in "BA" for i in (10, 9, 9, 2)]
+    out = merge.item_keys(spark.createDataFrame(rows, "tile string, patch_id string")).orderBy("item").collect()
+    assert [(r.tile, r.patch_id) for r in out] == sorted(set(rows)) and [r.item for r in out] == list(range(6))
+
+
+def test_merge_keeps_values_beside_nan(spark):
+    schema = "tile string, t int, a double"
+    one = spark.createDataFrame([("T", 0, float("nan"))], schema)
+    two = spark.createDataFrame([("T", 0, 5.0)], schema)
+    assert merge.merge_series(one, two, keys=["tile", "t"]).first().a == 5.0
+    assert merge.merge_conflicts(one, two, keys=["tile", "t"]).count() == 0
+
+
 def raw(spark):
     rows = []
     for p in range(2):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skylattice import session
-from skylattice.operators import quality
+from skylattice.operators import quality, spatial
 from skylattice.plans import cubes as cube_plans
 from skylattice.plans import regions
 from skylattice.functions.geometry import PixelGrid
@@ -55,7 +55,44 @@ def test_missing_scenes_and_length(spark):
         ("s2", "openEO_1_clip.nc", "B"), ("temp_max", "openEO_0_clip.nc", "A"),
     }
     only = catalog.catalog_len(cat.where("mod = 's2'")).first()
-    assert (only.mod, only.n_items) == ("s2", 4)
+    assert (only.mod, only.n_items) == ("s2", 3)
+    # a patch that only an unrequested tile has is missing in the requested ones
+    one = {(r.mod, r.patch_id) for r in catalog.missing_scenes(cat, ["B"]).collect()}
+    assert one == {("s2", "openEO_1_clip.nc")}
+
+
+def test_path_with_two_requested_tiles(spark):
+    files = paths(spark, ["A/B/2017/Sentinel2_x/openEO_0_clip.nc"])
+    cat = catalog.build_catalog(files, ["s2"], ["A", "B"])
+    assert sorted(r.s2_tile for r in cat.collect()) == ["A", "B"]
+
+
+def test_manifests_without_assets_are_listed(spark):
+    rows = [(1, None), (2, "{broken"), (3, '{"properties":{"title":"x"}}'), (4, '{"assets":{"a":{"href":"u"}}}')]
+    df = spark.createDataFrame(rows, "id int, manifest string")
+    out = {r.id: r.reason for r in manifests.manifest_errors(df).collect()}
+    assert out == {1: "absent", 2: "malformed", 3: "no assets"}
+    assert [r.id for r in manifests.manifest_assets(df, "base").collect()] == [4]
+
+
+def test_rings_of_holes_and_parts(spark, tmp_path):
+    outer, hole = [[0, 0], [9, 0], [9, 9], [0, 9], [0, 0]], [[3, 3], [6, 3], [6, 6], [3, 6], [3, 3]]
+    part = [[20, 20], [22, 20], [22, 22], [20, 22], [20, 20]]
+    features = [
+        {"type": "Feature", "properties": {"Name": "T1", "id": 1}, "geometry": {"type": "Polygon", "coordinates": [outer, hole]}},
+        {"type": "Feature", "properties": {"Name": "T1"}, "geometry": {"type": "MultiPolygon", "coordinates": [[outer, hole], [part]]}},
+    ]
+    (tmp_path / "rois_T1.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    found = rois.read_roi_collections(spark, f"file://{tmp_path}")
+    rois.write_rois(found, f"file://{tmp_path}/out")
+    again = rois.read_rois(spark, f"file://{tmp_path}/out")
+    cells = spark.createDataFrame(
+        [("T1", y, x) for y in range(24) for x in range(24)], "tile string, y int, x int"
+    )
+    inside = lambda r: {(p.roi, p.y, p.x) for p in spatial.sample_by_feature(cells, r, PixelGrid(0.0, 0.0, 1.0)).collect()}
+    square = {(y, x) for y in range(9) for x in range(9)} - {(y, x) for y in range(3, 6) for x in range(3, 6)}
+    more = {(y, x) for y in (20, 21) for x in (20, 21)}
+    assert inside(found) == inside(again) == {(1, *p) for p in square | more} | {(1, *p) for p in square}
 
 
 def test_sample_catalog_patch_numbers(spark):
