@@ -34,14 +34,15 @@ BASE = ("assign", "access", "hex")
 
 
 def build_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """The written index ``trigram, doc_id``, sorted, for the given lower-case trigrams.
+    """The written index ``trigram, doc_id`` for the given lower-case trigrams.
 
+    Its files are sorted by trigram; the postings of a common one are spread over files.
     Lower-casing the text may only add postings: the patterns decide on the text itself.
     """
     low = F.lower(whole())
     present = F.filter(F.array(*[F.when(low.contains(t), F.lit(t)) for t in trigrams]), lambda t: t.isNotNull())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(present).alias("trigram"))
-    return settle(rows.repartitionByRange("trigram", "doc_id").sortWithinPartitions("trigram", "doc_id"), "postings")
+    return settle(rows.repartition("trigram", "doc_id").sortWithinPartitions("trigram", "doc_id"), "postings")
 
 
 def candidates(index: DataFrame, queries: dict[str, list[set[str]]]) -> DataFrame:
