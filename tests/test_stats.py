@@ -60,14 +60,9 @@ def test_located_does_not_depend_on_the_sketch(spark):
         assert [r.med, r.low, r.a, r.z] == pytest.approx(expected(GROUPS[r.g]), rel=1e-9), r.g
 
 
-def test_small_groups_take_the_direct_way(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "_located", None)
-    assert exact_quantiles(values_df(spark, {"a": [1, 2]}), ["g"], "v", QS).count() == 1
-
-
-def test_large_groups_are_located(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "EXACT_GROUP_ROWS", 100)
+def test_groups_of_any_size_are_located(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "_direct", None)
+    assert exact_quantiles(values_df(spark, {"a": [1, 2]}), ["g"], "v", QS).count() == 1
     out = exact_quantiles(values_df(spark, GROUPS), ["g"], "v", QS)
     assert {r.g for r in out.collect()} == set(GROUPS)
 
