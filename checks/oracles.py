@@ -642,6 +642,19 @@ group by c.tile, patch_id, t, x0, y0
 having coalesce(sum(clm) filter (inside), 0) < 0.02::double *
   (floor((y0 + 44) / 10 - 0.5) - ceil(y0 / 10 - 0.5) + 1) *
   (floor((x0 + 38) / 10 - 0.5) - ceil(x0 / 10 - 0.5) + 1)""",
+    "clip_tile_grid": """select c.tile, patch_id as roi, t,
+  cast(floor((y0 + 44) / 10 - 0.5) - ceil(y0 / 10 - 0.5) + 1 as int) as h,
+  cast(floor((x0 + 38) / 10 - 0.5) - ceil(x0 / 10 - 0.5) + 1 as int) as w,
+  count(*) as n, count(*) filter (inside) as n_inside, sum(b02) filter (inside) as b02
+from (select *, (x * 10 + 5 - x0) / 38 + (y * 10 + 5 - y0) / 44 < 1 as inside
+  from region_cube r join rois on r.tile = rois.tile and roi = patch_id
+  where x * 10 + 5 between x0 and x0 + 38 and y * 10 + 5 between y0 and y0 + 44) c
+group by c.tile, patch_id, t, x0, y0""",
+    "sample_shortfall": """select w.tile, count(path) as n_scenes
+from (select 'T' || i as tile from range(0, 200, 3) r(i)) w
+left join scene_files f on split_part(path, '/', 1) = w.tile group by 1 having count(path) < 60""",
+    "missing_tiles": """select 'C' || i as tile from range(0, 2000, 7) r(i)
+where 'C' || i not in (select tile from tiles_metric)""",
     "create_cubes": """select tile || '/' || year(t) || '/' || title as target, roi, modality,
   count(*) as n, round(sum(value), 2) as total
 from (select p.tile, t, title, modality, roi, value
@@ -741,5 +754,10 @@ BODIES["crop_time_random"] = BODIES["crop_time"]
 BODIES["ingest_stream"] = "select modality, tile, patch_id, t, y, x, b02, b03, b04, b08 from usable_s2"
 
 
+BODIES["project_rings"] = f"""select tile, roi, 5120.0::double as w, 5120.0::double as h,
+  0.0::double as away from ({BODIES["generate_rois"]})"""
+BODIES["read_user_stats"] = f"""select * from ({BODIES["stats_roundtrip"]})"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in BODIES.items()}

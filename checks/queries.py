@@ -1055,6 +1055,67 @@ def clip_scenes(spark, sf):
     )
 
 
+@query
+def clip_tile_grid(spark, sf):
+    """Clipping on grids that differ by tile and whose rows run from north to south."""
+    number = F.substring("tile", 2, 9).cast("int")
+    cube = tb.region_cube(spark, sf).withColumn("y", F.lit(999) - F.col("y"))
+    grids = cube.select("tile").distinct().withColumns({"x0": number * 1000.0, "y0": F.lit(10_000.0)})
+    moved = F.transform("ring", lambda p: F.struct((p["x"] + number * 1000.0).alias("x"), p["y"].alias("y")))
+    areas = tb.rois(spark, sf).withColumn("ring", moved)
+    cut = spatial.clip_polygon(
+        regions.with_tile_grid(cube, grids),
+        regions.with_tile_grid(areas, grids),
+        ["b02"],
+        regions.TILE_GRID,
+        own=True,
+    )
+    return cut.groupBy("tile", "roi", "t", "h", "w").agg(
+        F.count("*").alias("n"), F.count("b02").alias("n_inside"), F.sum("b02").alias("b02")
+    )
+
+
+@query
+def project_rings(spark, sf):
+    """Regions written as lon/lat GeoJSON come back to the metres they were made in."""
+    made = regions.generate_rois(tb.tiles_lonlat(spark, sf), 3, 5120, SEED)
+    read = rois.read_rois(spark, rois.write_rois(made, new_folder(spark, "rois")))
+    read = read.join(made.select("tile", "roi", "zone", "south"), ["tile", "roi"])
+    boxes = rois.roi_boxes(regions.project_rings(read))
+    size = [F.round(F.col(a) - F.col(b), 1).alias(n) for a, b, n in (("xmax", "xmin", "w"), ("ymax", "ymin", "h"))]
+    off = made.select("tile", "roi", F.col("xmin").alias("x"), F.col("ymin").alias("y"))
+    met = boxes.join(off, ["tile", "roi"])
+    away = F.round(F.abs(F.col("xmin") - F.col("x")) + F.abs(F.col("ymin") - F.col("y")), 1)
+    return met.select("tile", "roi", *size, away.alias("away"))
+
+
+@query
+def read_user_stats(spark, sf):
+    """Statistics files as users hold them: a file and a header per modality."""
+    folder = new_folder(spark, "user-stats")
+    for name, cube, bands in (
+        ("s2", tb.cube_s2(spark, sf), OPTICAL_BANDS), ("s1_asc", tb.cube_s1(spark, sf), tb.RADAR_BANDS)
+    ):
+        table = stats.stats_table(stats.band_stats(cube, bands), bands)
+        table = table.select(F.col("stat").alias("index"), *bands)
+        header = F.concat(F.lit(""), F.lit("," + ",".join(bands)))
+        lines = table.select(F.concat_ws(",", "index", *bands).alias("value"))
+        lines = table.limit(1).select(header.alias("value"), F.lit(0).alias("i")).unionByName(lines.withColumn("i", F.lit(1)))
+        lines.coalesce(1).sortWithinPartitions("i").select("value").write.text(f"{folder}/dataset_{name}.csv")
+    return _rounded(stats_files.read_user_stats(spark, folder, ["s2", "s1_asc"]), stats.STAT_NAMES)
+
+
+@query
+def sample_shortfall(spark, sf):
+    files = tb.scene_files(spark, sf).withColumn("tile", F.split_part("path", F.lit("/"), F.lit(1)))
+    return stats.sample_shortfall(files, 60, [f"T{i}" for i in range(0, 200, 3)], "tile")
+
+
+@query
+def missing_tiles(spark, sf):
+    return rois.missing_tiles(tb.tiles_metric(spark, sf), [f"C{i}" for i in range(0, 2000, 7)])
+
+
 @query
 def generate_rois(spark, sf):
     out = regions.generate_rois(tb.tiles_lonlat(spark, sf), 3, 5120, SEED)

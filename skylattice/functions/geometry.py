@@ -9,24 +9,43 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class PixelGrid:
-    """Regular grid: pixel i has its centre at origin + (i + 1/2) * res."""
+    """Regular grid: pixel i has its centre at origin + (i + 1/2) * res.
 
-    x0: float = 0.0
-    y0: float = 0.0
+    An origin may be a number, or the name of a column that both pixels and regions have,
+    for grids that differ by tile. With ``north_up`` rows count downwards from ``y0``, as in
+    rasters.
+    """
+
+    x0: float | str = 0.0
+    y0: float | str = 0.0
     res: float = 10.0
+    north_up: bool = False
+
+    def _at(self, origin: float | str) -> Column:
+        return F.col(origin) if isinstance(origin, str) else F.lit(origin)
 
     def center_x(self, x: Column) -> Column:
-        return F.lit(self.x0) + (x + F.lit(0.5)) * F.lit(self.res)
+        return self._at(self.x0) + (x + F.lit(0.5)) * F.lit(self.res)
 
     def center_y(self, y: Column) -> Column:
-        return F.lit(self.y0) + (y + F.lit(0.5)) * F.lit(self.res)
+        down = (y + F.lit(0.5)) * F.lit(self.res)
+        return self._at(self.y0) - down if self.north_up else self._at(self.y0) + down
+
+    def index_of(self, distance: Column, end=F.floor) -> Column:
+        """Index whose centre is the last (``floor``) or first (``ceil``) by that distance."""
+        return end(distance / F.lit(self.res) - F.lit(0.5)).cast("int")
+
+    def range_x(self, low: str, high: str) -> tuple[Column, Column]:
+        """First and last column whose centre lies within [low, high]."""
+        start = self._at(self.x0)
+        return self.index_of(F.col(low) - start, F.ceil), self.index_of(F.col(high) - start)
 
-    def index_range(self, low: str, high: str, origin: float) -> tuple[Column, Column]:
-        """First and last index whose centre lies within [low, high]."""
-        res, half, start = F.lit(self.res), F.lit(0.5), F.lit(origin)
-        first = F.ceil((F.col(low) - start) / res - half)
-        last = F.floor((F.col(high) - start) / res - half)
-        return first.cast("int"), last.cast("int")
+    def range_y(self, low: str, high: str) -> tuple[Column, Column]:
+        """First and last row whose centre lies within [low, high]."""
+        start = self._at(self.y0)
+        if self.north_up:
+            return self.index_of(start - F.col(high), F.ceil), self.index_of(start - F.col(low))
+        return self.index_of(F.col(low) - start, F.ceil), self.index_of(F.col(high) - start)
 
 
 def box_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
@@ -130,7 +149,8 @@ def _atanh(v: Column) -> Column:
 
 
 def utm_zone(lon: Column) -> Column:
-    return (F.floor((lon + F.lit(180.0)) / F.lit(6.0)) + 1).cast("int")
+    """Zone 1 to 60; longitude 180 belongs to the last one."""
+    return F.least(F.floor((lon + F.lit(180.0)) / F.lit(6.0)) + 1, F.lit(60)).cast("int")
 
 
 def _central_meridian(zone: Column) -> Column:

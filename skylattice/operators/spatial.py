@@ -136,7 +136,7 @@ def roi_segments(rois: DataFrame, grid: PixelGrid) -> DataFrame:
     """
     has_ring = "ring" in rois.columns
     regions = _with_bounds(rois)
-    first_y, last_y = grid.index_range("ymin", "ymax", grid.y0)
+    first_y, last_y = grid.range_y("ymin", "ymax")
     rows = regions.withColumn("y", F.explode(F.when(first_y <= last_y, F.sequence(first_y, last_y))))
     if has_ring:
         cuts = F.array_sort(ring_crossings(F.col("ring"), grid.center_y(F.col("y"))))
@@ -154,17 +154,33 @@ def roi_segments(rois: DataFrame, grid: PixelGrid) -> DataFrame:
         "ymin",
         "xmax",
         "ymax",
+        *[c for c in (grid.x0, grid.y0) if isinstance(c, str)],
         F.posexplode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("_i", "_run"),
     )
-    first_x, last_x = grid.index_range("xmin", "xmax", grid.x0)
+    # the part of the run that lies in the box; a run only goes to the blocks it reaches
+    rows = rows.withColumns(
+        {
+            "start": F.col("_run.start"),
+            "end": F.col("_run.end"),
+            "_low": F.greatest(F.col("_run.start"), F.col("xmin")),
+            "_high": F.least(F.col("_run.end"), F.col("xmax")),
+        }
+    )
+    first_x, last_x = grid.range_x("_low", "_high")
     cells = F.sequence(F.floor(first_x / CELL_COLUMNS), F.floor(last_x / CELL_COLUMNS))
     return rows.select(
-        "*",
-        F.col("_run.start").alias("start"),
-        F.col("_run.end").alias("end"),
+        "tile",
+        "roi",
+        "y",
+        "xmin",
+        "ymin",
+        "xmax",
+        "ymax",
+        "start",
+        "end",
         (F.col("_i") % 2 == 1).alias("inside"),
-        F.explode(F.when(first_x <= last_x, cells)).alias("_cell"),
-    ).drop("_i", "_run")
+        F.explode(F.when((F.col("_low") <= F.col("_high")) & (first_x <= last_x), cells)).alias("_cell"),
+    )
 
 
 def _with_bounds(rois: DataFrame) -> DataFrame:
@@ -221,8 +237,8 @@ def clip_polygon(cube, rois, bands, grid: PixelGrid, own=False) -> DataFrame:
     (``patch_id`` is the region's number): each patch meets its own region only.
     """
     met = _meet(cube, roi_segments(rois, grid), grid, "inner", own)
-    first_y, last_y = grid.index_range("s.ymin", "s.ymax", grid.y0)
-    first_x, last_x = grid.index_range("s.xmin", "s.xmax", grid.x0)
+    first_y, last_y = grid.range_y("s.ymin", "s.ymax")
+    first_x, last_x = grid.range_x("s.xmin", "s.xmax")
     changed = {b: F.when(F.col("s.inside"), F.col(f"p.{b}")) for b in bands}
     changed["y"], changed["x"] = F.col("p.y") - first_y, F.col("p.x") - first_x
     return met.select(

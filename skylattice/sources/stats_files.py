@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylattice.operators.merge import union_all
 from skylattice.operators.stats import merge_stats, stats_from_table, stats_table
 
 
@@ -24,6 +25,23 @@ def read_stats(
     return stats_from_table(typed, bands)
 
 
+def read_user_stats(spark: SparkSession, folder: str, modalities: list[str]) -> DataFrame:
+    """Statistics in the layout users hold: one ``dataset_<modality>.csv`` per modality, an
+    unnamed first column with ``med``, ``qmin``, ``qmax``, and the bands of that modality."""
+
+    def one(modality: str) -> DataFrame:
+        table = spark.read.option("header", "true").csv(f"{folder}/dataset_{modality}.csv")
+        index, *bands = table.columns
+        typed = table.select(
+            F.lit(modality).alias("modality"),
+            F.col(f"`{index}`").alias("stat"),
+            *[F.col(f"`{b}`").cast("double").alias(b) for b in bands],
+        )
+        return stats_from_table(typed, bands)
+
+    return union_all(*[one(m) for m in modalities])
+
+
 def read_merged_stats(spark, paths_and_bands: list[tuple[str, list[str]]], modality="agera5"):
     """Per-variable statistics files as the statistics of one modality."""
     return merge_stats([read_stats(spark, p, b) for p, b in paths_and_bands], modality)

@@ -49,8 +49,11 @@ def ingest_stream(
 
     def take_in(batch: DataFrame, batch_id: int):
         clean = clean_missing(batch, bands)
-        clean.write.mode("overwrite").parquet(f"{target.pixels}/batch={batch_id}")
-        counts = date_quality(clean, nodata_band, cloud, scene_class)
+        written = f"{target.pixels}/batch={batch_id}"
+        clean.write.mode("overwrite").parquet(written)
+        # counted on what was written: the batch is evaluated once
+        taken = batch.sparkSession.read.schema(clean.schema).parquet(written)
+        counts = date_quality(taken, nodata_band, cloud, scene_class)
         counts.write.mode("overwrite").parquet(f"{target.counts}/batch={batch_id}")
 
     return (
