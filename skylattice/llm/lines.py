@@ -4,74 +4,116 @@ A line is the set of its words. A line that comes after a line of Jaccard simila
 more goes; lines are ordered by doc_id and then by their place in the document. Every
 comparison is made on the input, so a removed line still counts as an earlier one.
 
-1. Equal sets: each block of documents sends a hash of each different line once. A line that
-   is not the first of its set is a later match.
+1. Equal lines: each block of documents sends a hash of each different line once. A line that
+   is not the first of its kind is a later match.
 2. First lines send their prefix, the ``n - ceil(0.8 n) + 1`` words that come first in an
    order of rarity. Two similar lines share a word of their prefixes. The order is by the
    counts of all words in a fixed number of bins, then by hash: the result does not depend
    on it, only the number of lines that meet.
 3. Lines that meet at a word pass the length filter, the positional filter, and a bound on
-   their difference by the parity of their words' bits. A line proposes the first few earlier
-   ones that are left, so a group of near copies gives few proposals each and not all pairs.
+   their difference by the parity of their words' bits. A line proposes the first earlier
+   one that is left, so a group of near copies gives one proposal each and not all pairs.
 4. Proposals are verified on the words themselves. A line that found no match and had more
    to propose proposes all of it in a second round, so nothing is missed.
 """
 
-import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skylattice.llm.text import block_count, blocked, borders, documents, hash_table, hashes, mix
+from skylattice.llm.text import block_count, blocked, borders, documents, mix, packed, unpacked, whole
 from skylattice.session import settle
 
 SIMILARITY = 0.8
 BINS = 1 << 16  # bins of word counts
 CHUNK = 1024  # bins summed in one row
 BUCKET_BLOCKS = 2  # blocks whose words meet in one bucket, on average
-FIRST = 4  # earlier lines that a line proposes at first
 NEVER = (1 << 63) - 1  # the place of null ids
 LIMIT_N, LIMIT_I = (1 << 20) - 1, (1 << 12) - 1  # larger sizes and places pass the filters
+COMPARED = 1_000_000  # comparisons made at once within a bucket
+BASE = 0x9E3779B97F4A7C15 | 1  # of the words' polynomial hash
+LONG_WORD = 256  # bytes from which on a word is hashed on its own
+STRETCH = 1 << 18  # bytes whose words are hashed in one go
 
-SETS, COUNTS, GONE = 0, 1, 2  # kinds of rows that blocks send
+# kinds of rows that blocks send; GONE lines equal an earlier one, MATCHED are similar to one
+LINES, OPEN, GONE, MATCHED = 0, 1, 2, 3
 ROW = "bucket int, block int, kind int, data binary"
+MARK = "block int, kind int, data binary"
+
+
+@cache
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``BASE`` and of its inverse modulo 2^64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(STRETCH + LONG_WORD, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word of UTF-8 text, and the line it is in, by prefix sums over the bytes."""
+    if not data:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    codes = np.frombuffer(data, np.uint8)
+    space = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    start, end = edge[::2], edge[1::2]
+    line = np.searchsorted(np.flatnonzero(codes == 10), start)
+    forth, back = powers()
+    h = np.empty(len(start), np.uint64)
+    short = np.flatnonzero(end - start < LONG_WORD)
+    for some in np.split(short, np.searchsorted(start[short], np.arange(STRETCH, len(codes), STRETCH))):
+        if len(some):
+            a, b = start[some[0]], end[some[-1]]
+            sums = np.zeros(b - a + 1, np.uint64)
+            np.cumsum((codes[a:b] + np.uint64(1)) * forth[: b - a], out=sums[1:])
+            h[some] = mix((sums[end[some] - a] - sums[start[some] - a]) * back[start[some] - a])
+    for i in np.flatnonzero(end - start >= LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]])
+    return h, line
 
 
 class Lines:
     """The lines of a block's documents, numbered in the order of ids and texts."""
 
     def __init__(self, table: pa.Table):
+        table = unpacked(table)
         ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
+        self.table = table
         self.rows = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.doc_ids = [ids[i] for i in self.rows]
-        self.texts = [texts[i].split("\n") for i in self.rows]
-        self.counts = [len(t) for t in self.texts]
-        self.lines = [line for t in self.texts for line in t]
+        self.texts = [texts[i] for i in self.rows]
+        self.data = "\n".join(self.texts).encode("utf-8", "surrogatepass")
+        self.lines = self.data.split(b"\n")
+        self.counts = [t.count("\n") + 1 for t in self.texts]
+
+    def order(self) -> np.ndarray:
         order = np.array([NEVER if d is None else d for d in self.doc_ids], np.int64)
-        self.order = np.repeat(order, self.counts)
+        return np.repeat(order, self.counts)
 
-    def words(self, numbers) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the different words of the given lines, and how many each line has."""
-        known = hash_table()
-        sets = [set(self.lines[i].encode("utf-8", "surrogatepass").split()) for i in numbers]
-        flat = [w for s in sets for w in s]
-        return hashes(known, flat), np.fromiter(map(len, sets), np.int64, len(sets))
+    def words(self, numbers: np.ndarray, weight=None) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the different words of the given lines, sorted by weight and hash within
+        a line, and how many each line has."""
+        h, line = word_hashes(b"\n".join([self.lines[i] for i in numbers]))
+        keys = (h, line) if weight is None else (h, weight[(h >> np.uint64(48)).astype(np.int64)], line)
+        at = np.lexsort(keys)
+        h, line = h[at], line[at]
+        first = np.ones(len(h), bool)
+        first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+        return h[first], np.bincount(line[first], minlength=len(numbers))
 
 
 def starts_of(sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(sizes) - sizes
 
 
-def summed(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of adjacent runs; runs may be empty."""
-    total = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values, dtype=values.dtype)])
-    starts = starts_of(sizes)
-    return total[starts + sizes] - total[starts]
-
-
 def rows_of(found: list[tuple]) -> pa.Table:
     columns = list(zip(*found)) or [[]] * 4
     return pa.table({
@@ -94,28 +136,29 @@ def parts(data: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-def send_sets(block: int, lines: Lines, buckets: int) -> pa.Table:
-    """Each different line with its first number; later equal ones; counts of words."""
-    h, sizes = lines.words(range(len(lines.lines)))
-    used = np.flatnonzero(sizes)
-    keys = np.stack([summed(mix(h), sizes), summed(mix(h ^ np.uint64(0x2545F4914F6CDD1D)), sizes)], 1)[used]
+def send_lines(block: int, lines: Lines, buckets: int) -> pa.Table:
+    """Each different line with its first number, and the numbers of later equal ones.
+
+    Lines without words take no part.
+    """
+    digests = [xxhash.xxh3_128_digest(line) if line.strip() else None for line in lines.lines]
+    used = np.array([i for i, d in enumerate(digests) if d is not None], np.int64)
+    keys = np.frombuffer(b"".join(d for d in digests if d is not None), ">u8").reshape(-1, 2).astype(np.uint64)
     order = np.lexsort((used, keys[:, 1], keys[:, 0]))
     keys, numbers = keys[order], used[order]
     first = np.ones(len(keys), bool)
     first[1:] = (keys[1:] != keys[:-1]).any(1)
     out = [(block % buckets, block, GONE, np.sort(numbers[~first]).astype("<u4").tobytes())]
     keys, numbers = keys[first], numbers[first]
-    at = borders(keys[:, 0], buckets)
+    at, places = borders(keys[:, 0], buckets), lines.order()
     for b in np.flatnonzero(np.diff(at)):
         s = slice(at[b], at[b + 1])
-        out.append((int(b), block, SETS, columnar(keys[s, 0], keys[s, 1], lines.order[numbers[s]], numbers[s].astype("<u4"))))
-    counts = np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=BINS).astype("<u4")
-    out.append((-1, block, COUNTS, zlib.compress(counts.tobytes(), 1)))
+        out.append((int(b), block, LINES, columnar(keys[s, 0], keys[s, 1], places[numbers[s]], numbers[s].astype("<u4"))))
     return rows_of(out)
 
 
-def meet_sets(table: pa.Table) -> pa.Table:
-    """``block, kind, data``: the lines of each block that are not the first of their set."""
+def meet_lines(table: pa.Table) -> pa.Table:
+    """The lines of each block that are not the first of their kind."""
     out, sent = [], []
     for block, kind, data in zip(*(table.column(c).to_pylist() for c in ("block", "kind", "data"))):
         if kind == GONE:
@@ -139,14 +182,15 @@ def control(found: list[tuple]) -> pa.Table:
     return pa.table({"block": pa.array(columns[0], pa.int32()), "kind": pa.array(columns[1], pa.int32()), "data": pa.array(columns[2], pa.binary())})
 
 
-def word_counts(sent: DataFrame) -> np.ndarray:
+def word_counts(docs: DataFrame) -> np.ndarray:
     """Counts of all words by bin, added up in tasks; the bins reach the driver once."""
 
-    def add(batches):
+    def count(batches):
         total = np.zeros(BINS, np.int64)
         for batch in batches:
-            for data in batch.column("data").to_pylist():
-                total += np.frombuffer(zlib.decompress(data), "<u4")
+            for text in batch.column("text").to_pylist():
+                h, _ = word_hashes(text.encode("utf-8", "surrogatepass"))
+                total += np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=BINS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(BINS // CHUNK), pa.int32()), pa.array([c.tobytes() for c in total.reshape(-1, CHUNK)], pa.binary())],
             ["chunk", "data"],
@@ -156,7 +200,7 @@ def word_counts(sent: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(d, "<i8") for d in table.column("data").to_pylist())
         return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
 
-    rows = sent.where(F.col("kind") == COUNTS).select("data").mapInArrow(add, "chunk int, data binary")
+    rows = docs.select(whole().alias("text")).mapInArrow(count, "chunk int, data binary")
     total = np.zeros((BINS // CHUNK, CHUNK), np.int64)
     for row in rows.groupBy("chunk").applyInArrow(join, "chunk int, data binary").collect():
         total[row["chunk"]] = np.frombuffer(row["data"], "<i8")
@@ -174,78 +218,86 @@ def send_prefixes(block: int, lines: Lines, gone: np.ndarray, again, weight, buc
 
     ``again``: the lines that propose in a second round, or None in the first.
     """
-    stand = np.ones(len(lines.lines), bool)
+    stand = np.array([bool(line.strip()) for line in lines.lines], bool)
     stand[gone] = False
     numbers = np.flatnonzero(stand)
-    h, sizes = lines.words(numbers)
-    kept = sizes > 0
-    numbers, sizes = numbers[kept], sizes[kept]
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    if not len(numbers):
+        return rows_of([])
+    h, sizes = lines.words(numbers, weight)
     starts = starts_of(sizes)
-    order = np.lexsort((h, weight[(h >> np.uint64(48)).astype(np.int64)], owner))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(h)) - starts[owner]
-    bit = np.uint64(1) << (mix(h) >> np.uint64(58))
-    sketch = np.bitwise_xor.reduceat(bit, starts) if len(starts) else np.empty(0, np.uint64)
+    sketch = np.bitwise_xor.reduceat(np.uint64(1) << (mix(h) >> np.uint64(58)), starts)
     length = sizes - np.ceil(SIMILARITY * sizes - 1e-9).astype(np.int64) + 1
-    pick = place < length[owner]
-    word, owner, place = h[order][pick], owner[pick], place[pick]
-    order = np.argsort(word, kind="stable")
-    word, owner, place = word[order], owner[order], place[order]
-    number = numbers[owner].astype(np.int64)
-    asks = np.ones(len(lines.lines), bool) if again is None else np.isin(np.arange(len(lines.lines)), again)
-    tag = number | (asks[number].astype(np.int64) << 31)
-    form = np.minimum(sizes[owner], LIMIT_N) << 12 | np.minimum(place, LIMIT_I)
+    pick = np.flatnonzero(place < length[owner])
+    pick = pick[np.argsort(h[pick])]
+    word, owner, place = h[pick], owner[pick], place[pick]
+    number = numbers[owner]
+    asks = np.full(len(lines.lines), again is None)
+    if again is not None:
+        asks[again] = True
+    tag = (number | (asks[number].astype(np.int64) << 31)).astype("<u4")
+    form = (np.minimum(sizes[owner], LIMIT_N) << 12 | np.minimum(place, LIMIT_I)).astype("<u4")
+    order, sketch, low = lines.order()[number], sketch[owner], word.astype("<u4")
     at, out = borders(word, buckets), []
     for b in np.flatnonzero(np.diff(at)):
         s = slice(at[b], at[b + 1])
-        out.append((int(b), block, SETS, columnar(
-            (word[s] & np.uint64(0xFFFFFFFF)).astype("<u4"), lines.order[number[s]], tag[s].astype("<u4"),
-            form[s].astype("<u4"), sketch[owner[s]],
-        )))
+        out.append((int(b), block, LINES, columnar(low[s], order[s], tag[s], form[s], sketch[s])))
     return rows_of(out)
 
 
-def propose(table: pa.Table, most: int | None) -> pa.Table:
-    """``at_block, data``: pairs of lines that pass the filters, sent to the earlier one.
+def propose(table: pa.Table, all_: bool) -> pa.Table:
+    """Pairs of lines that pass the filters, sent to the earlier one's block.
 
-    A line proposes its first ``most`` earlier ones per word; ``more`` marks that it had
-    others.
+    A line proposes the first earlier one of each word, and marks whether there are more; or
+    ``all_`` of them.
     """
     sent = [(b, *parts(d, "<u4", "<i8", "<u4", "<u4", "<u8")) for b, d in zip(table.column("block").to_pylist(), table.column("data").to_pylist())]
-    block = np.repeat([s[0] for s in sent], [len(s[1]) for s in sent])
+    block = np.repeat(np.array([s[0] for s in sent], np.int64), [len(s[1]) for s in sent])
     word, order, tag, form, sketch = (np.concatenate([s[i] for s in sent]) for i in range(1, 6))
+    # words of one line are left out before anything is ordered
+    at = np.argsort(word)
+    same = word[at][1:] == word[at][:-1]
+    at = at[np.append(same, False) | np.insert(same, 0, False)] if len(at) > 1 else at[:0]
+    block, word, order, tag, form, sketch = (x[at] for x in (block, word, order, tag, form, sketch))
     number = (tag & np.uint32(0x7FFFFFFF)).astype(np.int64)
     at = np.lexsort((number, block, order, word))
-    same = np.concatenate([[False], word[at][1:] == word[at][:-1]])
-    begin = np.flatnonzero(~same)
-    size = np.diff(np.append(begin, len(at)))
-    keep = np.repeat(size > 1, size)
-    at, size = at[keep], size[size > 1]
-    n, place = (form >> 12).astype(np.int64)[at], (form & LIMIT_I).astype(np.int64)[at]
-    block, number, sketch, asks = block[at], number[at], sketch[at], (tag[at] >> np.uint32(31)).astype(bool)
-    start = np.repeat(starts_of(size), size)
-    rank = np.arange(len(at)) - start
-    found, pairs = np.zeros(len(at), np.int64), []
-    live = np.flatnonzero((rank > 0) & asks)
-    j = 0
+    block, number, sketch, form, word = block[at], number[at], sketch[at], form[at], word[at]
+    n, place, asks = (form >> 12).astype(np.int64), (form & LIMIT_I).astype(np.int64), tag[at] >> 31 == 1
+    begin = np.flatnonzero(np.insert(word[1:] != word[:-1], 0, True)) if len(word) else np.empty(0, np.int64)
+    size = np.diff(np.append(begin, len(word)))
+    start = np.repeat(begin, size)
+    rank = np.arange(len(word)) - start
+    live, chosen = np.flatnonzero((rank > 0) & asks), np.full(len(word), -1)
+    more, pairs, j = np.zeros(len(word), bool), [], 0
     while len(live):
-        a, b = live, start[live] + j
-        both = n[a] + n[b]
+        span = max(1, min(64, COMPARED // len(live))) if j > 2 else 1
+        offset = np.arange(j, j + span)
+        a, b = live[:, None], np.minimum(start[live][:, None] + offset, live[:, None] - 1)
+        both, least, most = n[a] + n[b], np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
         need = np.ceil(SIMILARITY / (1 + SIMILARITY) * both - 1e-9)
-        fits = (np.minimum(n[a], n[b]) >= SIMILARITY * np.maximum(n[a], n[b]) - 1e-9) & (
-            np.minimum(n[a] - place[a], n[b] - place[b]) >= need
-        )
-        fits |= np.maximum(n[a], n[b]) >= LIMIT_N
+        fits = (least >= SIMILARITY * most - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need)
+        fits |= most >= LIMIT_N
         fits &= np.bitwise_count(sketch[a] ^ sketch[b]) <= both - 2 * need
-        pick = np.flatnonzero(fits)
-        more = np.zeros(len(pick), np.int64) if most is None else (found[a[pick]] == most).astype(np.int64)
-        pairs.append(np.stack([block[b[pick]], number[b[pick]], block[a[pick]], number[a[pick]], more], 1))
-        found[a[pick]] += 1
-        j += 1
-        live = live[(rank[live] > j) & ((most is None) | (found[live] <= (most or 0)))]
+        fits &= offset < rank[live][:, None]
+        if all_:
+            row, column = np.nonzero(fits)
+            pairs.append((live[row], b[row, column]))
+        else:
+            count = fits.sum(1) + (chosen[live] >= 0)
+            new = (chosen[live] < 0) & fits.any(1)
+            hit = live[new]
+            chosen[hit] = start[hit] + j + fits[new].argmax(1)
+            more[live[count > 1]] = True
+        j += span
+        live = live[(rank[live] > j) & ~more[live]]
+    if not all_:
+        hit = np.flatnonzero(chosen >= 0)
+        pairs = [(hit, chosen[hit])]
     if not pairs:
         return routed(np.empty((0, 5), np.int64))
-    return routed(np.unique(np.concatenate(pairs), axis=0))
+    a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
+    return routed(np.unique(np.stack([block[b], number[b], block[a], number[a], more[a]], 1), axis=0))
 
 
 def routed(pairs: np.ndarray) -> pa.Table:
@@ -277,8 +329,8 @@ def send_words(texts: pa.Table, asked: pa.Table) -> pa.Table:
 
 
 def verify(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """``block, kind, data``: which lines of the block have an earlier match (GONE), and
-    which have none so far but more to propose (SETS)."""
+    """``block, kind, data``: which lines of the block have an earlier match (MATCHED), and
+    which have none so far but more to propose (OPEN)."""
     if not answers.num_rows or not texts.num_rows:
         return control([])
     lines = Lines(texts)
@@ -294,7 +346,7 @@ def verify(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
     h, counts = lines.words(wanted)
     begins = starts_of(counts)
     for i, number in enumerate(wanted):
-        mine[int(number)] = np.sort(h[begins[i] : begins[i] + counts[i]])
+        mine[int(number)] = h[begins[i] : begins[i] + counts[i]]
     for number, flag, local, sizes, words in asked:
         begin = starts_of(sizes)
         for a, extra, b in zip(number.tolist(), flag.tolist(), local.tolist()):
@@ -307,8 +359,8 @@ def verify(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
             if common >= SIMILARITY * (len(own) + len(other) - common) - 1e-9:
                 matched.add(a)
     block = key[0].as_py()
-    packed = [(GONE, matched), (SETS, more - matched)]
-    return control([(block, kind, np.array(sorted(s), "<u4").tobytes()) for kind, s in packed if s])
+    marks = [(MATCHED, matched), (OPEN, more - matched)]
+    return control([(block, kind, np.array(sorted(s), "<u4").tobytes()) for kind, s in marks if s])
 
 
 def line_dedup(docs: DataFrame, blocks: int | None = None, rest: bool = False) -> DataFrame:
@@ -324,47 +376,43 @@ def line_dedup(docs: DataFrame, blocks: int | None = None, rest: bool = False) -
     blocks = blocks or block_count(docs)
     buckets = blocks // BUCKET_BLOCKS + 1
     dealt = blocked(docs, blocks, rest)
-    by_block = dealt.groupBy("block")
-
-    sent = settle(by_block.applyInArrow(lambda key, t: send_sets(key[0].as_py(), Lines(t), buckets), ROW), "line-sets")
-    weight = word_counts(sent)
-    known = "block int, kind int, data binary"
-    gone = settle(sent.where("bucket >= 0").groupBy("bucket").applyInArrow(meet_sets, known), "line-copies")
+    by_block = packed(dealt).groupBy("block")
+    weight = word_counts(docs)
+    sent = by_block.applyInArrow(lambda key, t: send_lines(key[0].as_py(), Lines(t), buckets), ROW)
+    gone = sent.groupBy("bucket").applyInArrow(meet_lines, MARK)
 
-    def round_(marks: DataFrame, most: int | None) -> DataFrame:
+    def round_(marks: DataFrame, all_: bool) -> DataFrame:
         def prefixes(key, texts, marks):
             if not texts.num_rows:
                 return rows_of([])
-            again = None if most is not None else numbers_of(marks, SETS)
+            again = numbers_of(marks, OPEN) if all_ else None
             return send_prefixes(key[0].as_py(), Lines(texts), numbers_of(marks, GONE), again, weight, buckets)
 
         entries = by_block.cogroup(marks.groupBy("block")).applyInArrow(prefixes, ROW)
-        pairs = entries.groupBy("bucket").applyInArrow(lambda t: propose(t, most), "block int, data binary")
-        answers = by_block.cogroup(pairs.groupBy("block")).applyInArrow(send_words, known)
-        return settle(by_block.cogroup(answers.groupBy("block")).applyInArrow(verify, known), "line-matches")
+        pairs = entries.groupBy("bucket").applyInArrow(lambda t: propose(t, all_), "block int, data binary")
+        answers = by_block.cogroup(pairs.groupBy("block")).applyInArrow(send_words, MARK)
+        return by_block.cogroup(answers.groupBy("block")).applyInArrow(verify, MARK)
 
-    found = round_(gone, FIRST)
-    if not found.where(F.col("kind") == SETS).isEmpty():
-        open_ = found.where(F.col("kind") == SETS)
-        found = found.unionByName(round_(gone.unionByName(open_), None))
-    marks = gone.unionByName(found.where(F.col("kind") == GONE))
+    marks = settle(gone.unionByName(round_(gone, False)), "line-marks")
+    if not marks.where(F.col("kind") == OPEN).isEmpty():
+        marks = marks.where(F.col("kind") != OPEN).unionByName(settle(round_(marks, True), "line-marks"))
 
     def cut(texts, marks):
         lines = Lines(texts)
-        out = set(numbers_of(marks, GONE).tolist())
+        out = {i for kind in (GONE, MATCHED) for i in numbers_of(marks, kind).tolist()}
         kept, removed, at = [], [], 0
-        for some in lines.texts:
-            left = [line for i, line in enumerate(some, at) if i not in out]
-            at += len(some)
-            removed.append(len(some) - len(left))
-            kept.append("\n".join(left))
+        for text, n in zip(lines.texts, lines.counts):
+            stay = [i for i in range(at, at + n) if i not in out]
+            at += n
+            removed.append(n - len(stay))
+            kept.append(text if len(stay) == n else b"\n".join([lines.lines[i] for i in stay]).decode("utf-8", "surrogatepass"))
         out = {
             "doc_id": pa.array(lines.doc_ids, pa.int64()),
             "text": pa.array(kept, pa.string()),
             "n_lines": pa.array(lines.counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
         }
-        return pa.table(out | ({"rest": texts.column("rest").take(pa.array(lines.rows, pa.int64()))} if rest else {}))
+        return pa.table(out | ({"rest": lines.table.column("rest").take(pa.array(lines.rows, pa.int64()))} if rest else {}))
 
     schema = T.StructType.fromDDL("doc_id long, text string, n_lines long, n_removed long")
     if rest:

@@ -24,7 +24,7 @@ CAP = 2  # most passes over a source
 BLOCK_WORDS = 2048
 LEAST_BLOCKS = 4096  # a small source has shorter blocks, so that its target is met closely
 SHARD_BLOCKS = 4096
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_000
 #: Multipliers of the two passes' permutations, primes above any number of blocks.
 STRIDES = (2147483647, 2147483629)
 SEED = 17

@@ -23,7 +23,7 @@ WINDOW = 4096
 STEP = 16  # tokens per bin: the most that a piece is padded by
 DEPTH = 3  # pieces in an enumerated combination
 END = 2  # id after each document
-RANK_ROWS = 50_000  # pieces that are ranked in one task, about
+RANK_ROWS = 4_000  # pieces that are ranked in one task, about
 SPECIAL = b"<|"  # texts with this go through the tokenizer whole: special tokens may span words
 
 

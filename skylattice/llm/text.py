@@ -6,6 +6,7 @@ cuts UTF-8 at exactly these characters.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +109,39 @@ def blocked(docs: DataFrame, blocks: int, rest: bool = False) -> DataFrame:
     )
 
 
+def packed(dealt: DataFrame) -> DataFrame:
+    """``block, data``: the documents of each block in compressed pieces.
+
+    A task packs what it reads of a block into one piece, so that texts are compressed before
+    they are moved.
+    """
+    names = [c for c in dealt.columns if c != "block"]
+
+    def pack(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch.take(pc.sort_indices(batch.column("block")))
+            block = batch.column("block").to_numpy()
+            at = np.flatnonzero(np.diff(block, prepend=-1))
+            rows, pieces = batch.select(names), []
+            for a, b in zip(at, np.append(at[1:], len(block))):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
+                    # a copy of the slice: else the buffers of the whole batch are written
+                    writer.write_batch(rows.take(pa.array(np.arange(a, b))))
+                pieces.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(block[at]), pa.array(pieces, pa.binary())], ["block", "data"])
+
+    return dealt.mapInArrow(pack, "block int, data binary")
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """The documents of a block from its pieces."""
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in table.column("data").to_pylist()])
+
+
 def borders(values: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket begins among sorted hashes: bucket b is ``[at[b], at[b + 1])``.
 
@@ -119,5 +153,3 @@ def borders(values: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(values // step, np.arange(buckets + 1, dtype=np.uint64))
 
 
-def binary(parts) -> pa.Array:
-    return pa.array(parts, pa.binary())

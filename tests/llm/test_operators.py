@@ -120,9 +120,21 @@ def brute_lines(rows):
     return out
 
 
-@pytest.mark.parametrize("first", [1, 4])
-def test_line_dedup(docs, rows, first, monkeypatch):
-    monkeypatch.setattr(lines, "FIRST", first)
+def test_word_hashes():
+    text = " a bb\n\nbb\tñandú a\n" + "x" * 300_000 + " y " + "z" * 300 + "\n" + "k l " * 90_000
+    h, line = lines.word_hashes(text.encode())
+    words, where = [], []
+    for i, part in enumerate(text.split("\n")):
+        words += part.split()
+        where += [i] * len(part.split())
+    assert line.tolist() == where
+    by_word = defaultdict(set)
+    for w, x in zip(words, h.tolist()):
+        by_word[w].add(x)
+    assert all(len(x) == 1 for x in by_word.values()) and len(set(h.tolist())) == len(by_word)
+
+
+def test_line_dedup(docs, rows):
     with_id = docs.where("doc_id is not null")
     want = brute_lines([r for r in rows if r[0] is not None])
     assert same(lines.line_dedup(with_id, blocks=4).collect(), want)
