@@ -9,11 +9,15 @@ from skylattice.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "skylattice-tests",
         "local[4]",
-        {"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
+        {
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
