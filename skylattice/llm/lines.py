@@ -12,7 +12,8 @@ comparison is made on the input, so a removed line still counts as an earlier on
    on it, only the number of lines that meet.
 3. Lines that meet at a word pass the length filter, the positional filter, and a bound on
    their difference by the parity of their words' bits. A line proposes the first earlier
-   one that is left, so a group of near copies gives one proposal each and not all pairs.
+   one that is left of each word, and of these the one that most words agree on; so a group
+   of near copies gives one proposal each and not all pairs.
 4. Proposals are verified on the words themselves. A line that found no match and had more
    to propose proposes all of it in a second round, so nothing is missed.
 """
@@ -22,6 +23,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,15 +101,19 @@ class Lines:
         return np.repeat(order, self.counts)
 
     def words(self, numbers: np.ndarray, weight=None) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the different words of the given lines, sorted by weight and hash within
-        a line, and how many each line has."""
-        h, line = word_hashes(b"\n".join([self.lines[i] for i in numbers]))
-        keys = (h, line) if weight is None else (h, weight[(h >> np.uint64(48)).astype(np.int64)], line)
-        at = np.lexsort(keys)
-        h, line = h[at], line[at]
-        first = np.ones(len(h), bool)
-        first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-        return h[first], np.bincount(line[first], minlength=len(numbers))
+        return different_words([self.lines[i] for i in numbers], weight)
+
+
+def different_words(lines: list[bytes], weight=None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the different words of lines, sorted by weight and hash within a line, and
+    how many each line has."""
+    h, line = word_hashes(b"\n".join(lines))
+    keys = (h, line) if weight is None else (h, weight[(h >> np.uint64(48)).astype(np.int64)], line)
+    at = np.lexsort(keys)
+    h, line = h[at], line[at]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    return h[first], np.bincount(line[first], minlength=len(lines))
 
 
 def starts_of(sizes: np.ndarray) -> np.ndarray:
@@ -188,8 +194,9 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(BINS, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                h, _ = word_hashes(text.encode("utf-8", "surrogatepass"))
+            texts = batch.column("text").to_pylist()
+            for i in range(0, len(texts), 128):
+                h, _ = word_hashes("\n".join(texts[i : i + 128]).encode("utf-8", "surrogatepass"))
                 total += np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=BINS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(BINS // CHUNK), pa.int32()), pa.array([c.tobytes() for c in total.reshape(-1, CHUNK)], pa.binary())],
@@ -247,7 +254,7 @@ def send_prefixes(block: int, lines: Lines, gone: np.ndarray, again, weight, buc
 
 
 def propose(table: pa.Table, all_: bool) -> pa.Table:
-    """Pairs of lines that pass the filters, sent to the earlier one's block.
+    """Pairs of lines that pass the filters, sent to the later one's block.
 
     A line proposes the first earlier one of each word, and marks whether there are more; or
     ``all_`` of them.
@@ -268,18 +275,26 @@ def propose(table: pa.Table, all_: bool) -> pa.Table:
     size = np.diff(np.append(begin, len(word)))
     start = np.repeat(begin, size)
     rank = np.arange(len(word)) - start
+    # two lines differ in at most (1 - s) / (1 + s) of the sum of their sizes
+    slack = np.where(n >= LIMIT_N, 64, (1 - SIMILARITY) / (1 + SIMILARITY) * n + 0.01).astype(np.float32)
+
+    def near(a, b):
+        both, least, most = n[a] + n[b], np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        need = np.ceil(SIMILARITY / (1 + SIMILARITY) * both - 1e-9)
+        fit = (least >= SIMILARITY * most - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need)
+        return fit | (most >= LIMIT_N)
+
     live, chosen = np.flatnonzero((rank > 0) & asks), np.full(len(word), -1)
     more, pairs, j = np.zeros(len(word), bool), [], 0
     while len(live):
         span = max(1, min(64, COMPARED // len(live))) if j > 2 else 1
         offset = np.arange(j, j + span)
-        a, b = live[:, None], np.minimum(start[live][:, None] + offset, live[:, None] - 1)
-        both, least, most = n[a] + n[b], np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-        need = np.ceil(SIMILARITY / (1 + SIMILARITY) * both - 1e-9)
-        fits = (least >= SIMILARITY * most - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need)
-        fits |= most >= LIMIT_N
-        fits &= np.bitwise_count(sketch[a] ^ sketch[b]) <= both - 2 * need
+        b = np.minimum(start[live][:, None] + offset, live[:, None] - 1)
+        # the parities rule out nearly all; the other filters look at the rest
+        fits = np.bitwise_count(sketch[live][:, None] ^ sketch[b]) <= slack[live][:, None] + slack[b]
         fits &= offset < rank[live][:, None]
+        row, column = np.nonzero(fits)
+        fits[row, column] = near(live[row], b[row, column])
         if all_:
             row, column = np.nonzero(fits)
             pairs.append((live[row], b[row, column]))
@@ -297,11 +312,34 @@ def propose(table: pa.Table, all_: bool) -> pa.Table:
     if not pairs:
         return routed(np.empty((0, 5), np.int64))
     a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-    return routed(np.unique(np.stack([block[b], number[b], block[a], number[a], more[a]], 1), axis=0))
+    pairs, votes = np.unique(np.stack([block[a], number[a], block[b], number[b], more[a]], 1), axis=0, return_counts=True)
+    return routed(np.column_stack([pairs, votes]))
+
+
+def choose(key, table: pa.Table, all_: bool) -> pa.Table:
+    """Pairs sent to the earlier line's block: of each line's proposals the one that most
+    words made, with a mark if there are others; or ``all_`` of them."""
+    pairs = np.concatenate([np.frombuffer(d, "<i8").reshape(-1, 5) for d in table.column("data").to_pylist()])
+    number, to_block, to_number, more, votes = pairs.T
+    if not all_:
+        order = np.lexsort((to_number, to_block, number))
+        pairs = pairs[order]
+        new = np.insert((pairs[1:, :3] != pairs[:-1, :3]).any(1), 0, True)
+        first = np.flatnonzero(new)
+        number, to_block, to_number = pairs[first, :3].T
+        more, votes = np.maximum.reduceat(pairs[:, 3], first), np.add.reduceat(pairs[:, 4], first)
+        order = np.lexsort((-votes, number))
+        number, to_block, to_number, more = (x[order] for x in (number, to_block, to_number, more))
+        first = np.flatnonzero(np.insert(number[1:] != number[:-1], 0, True))
+        count = np.diff(np.append(first, len(number)))
+        more = np.maximum(np.maximum.reduceat(more, first), count > 1)
+        number, to_block, to_number = number[first], to_block[first], to_number[first]
+    rows = np.stack([to_block, to_number, np.full(len(number), key[0].as_py()), number, more], 1)
+    return routed(np.unique(rows, axis=0))
 
 
 def routed(pairs: np.ndarray) -> pa.Table:
-    """Pairs by the block of their first line, as packed rows."""
+    """Rows by the block in their first column, packed without it."""
     blocks, at = np.unique(pairs[:, 0], return_index=True)
     ends = np.append(at[1:], len(pairs))
     return pa.table({
@@ -311,20 +349,18 @@ def routed(pairs: np.ndarray) -> pa.Table:
 
 
 def send_words(texts: pa.Table, asked: pa.Table) -> pa.Table:
-    """Answers proposals with the words of the earlier line, sent to the later one's block."""
+    """Answers proposals with the earlier line, sent to the later one's block."""
     if not asked.num_rows or not texts.num_rows:
         return control([])
     pairs = np.unique(np.concatenate([np.frombuffer(d, "<i8").reshape(-1, 4) for d in asked.column("data").to_pylist()]), axis=0)
-    lines = Lines(texts)
-    numbers, where = np.unique(pairs[:, 0], return_inverse=True)
-    h, sizes = lines.words(numbers)
-    starts, out = starts_of(sizes), []
-    for to in np.unique(pairs[:, 1]):
-        some = np.flatnonzero(pairs[:, 1] == to)
-        used, local = np.unique(where[some], return_inverse=True)
-        words = np.concatenate([h[starts[u] : starts[u] + sizes[u]] for u in used])
-        head = np.array([len(some), len(used)], "<i8")
-        out.append((int(to), 0, columnar(head, pairs[some, 2], pairs[some, 3], local, sizes[used], words)))
+    lines, out = Lines(texts), []
+    pairs = pairs[np.argsort(pairs[:, 1], kind="stable")]
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for some in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 1])) + 1):
+        used, local = np.unique(some[:, 0], return_inverse=True)
+        text = squeeze.compress(b"\n".join([lines.lines[i] for i in used]))
+        head = np.array([len(some)], "<i8")
+        out.append((int(some[0, 1]), 0, columnar(head, some[:, 2], some[:, 3], local) + text))
     return control(out)
 
 
@@ -336,28 +372,28 @@ def verify(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
     lines = Lines(texts)
     matched, more = set(), set()
     mine: dict[int, np.ndarray] = {}
-    asked = []
+    asked, others = [], []
     for data in answers.column("data").to_pylist():
-        k, u = np.frombuffer(data, "<i8", 2)
-        ints = np.frombuffer(data, "<i8", 3 * k + u, 16)
-        number, flag, local, sizes = ints[:k], ints[k : 2 * k], ints[2 * k : 3 * k], ints[3 * k :]
-        asked.append((number, flag, local, sizes, np.frombuffer(data, "<u8", -1, 16 + 8 * len(ints))))
-    wanted = np.unique(np.concatenate([a[0] for a in asked]))
+        k = int(np.frombuffer(data, "<i8", 1)[0])
+        asked.append(np.frombuffer(data, "<i8", 3 * k, 8).reshape(3, k) + np.array([[0], [0], [len(others)]]))
+        others += zstandard.decompress(data[8 + 24 * k :]).split(b"\n")
+    number, flag, local = np.concatenate(asked, 1)
+    wanted = np.unique(number)
     h, counts = lines.words(wanted)
     begins = starts_of(counts)
-    for i, number in enumerate(wanted):
-        mine[int(number)] = h[begins[i] : begins[i] + counts[i]]
-    for number, flag, local, sizes, words in asked:
-        begin = starts_of(sizes)
-        for a, extra, b in zip(number.tolist(), flag.tolist(), local.tolist()):
-            if extra:
-                more.add(a)
-            if a in matched:
-                continue
-            own, other = mine[a], words[begin[b] : begin[b] + sizes[b]]
-            common = int((own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other).sum())
-            if common >= SIMILARITY * (len(own) + len(other) - common) - 1e-9:
-                matched.add(a)
+    for i, line in enumerate(wanted):
+        mine[int(line)] = h[begins[i] : begins[i] + counts[i]]
+    words, sizes = different_words(others)
+    begin = starts_of(sizes)
+    for a, extra, b in zip(number.tolist(), flag.tolist(), local.tolist()):
+        if extra:
+            more.add(a)
+        if a in matched:
+            continue
+        own, other = mine[a], words[begin[b] : begin[b] + sizes[b]]
+        common = int((own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other).sum())
+        if common >= SIMILARITY * (len(own) + len(other) - common) - 1e-9:
+            matched.add(a)
     block = key[0].as_py()
     marks = [(MATCHED, matched), (OPEN, more - matched)]
     return control([(block, kind, np.array(sorted(s), "<u4").tobytes()) for kind, s in marks if s])
@@ -389,7 +425,8 @@ def line_dedup(docs: DataFrame, blocks: int | None = None, rest: bool = False) -
             return send_prefixes(key[0].as_py(), Lines(texts), numbers_of(marks, GONE), again, weight, buckets)
 
         entries = by_block.cogroup(marks.groupBy("block")).applyInArrow(prefixes, ROW)
-        pairs = entries.groupBy("bucket").applyInArrow(lambda t: propose(t, all_), "block int, data binary")
+        proposed = entries.groupBy("bucket").applyInArrow(lambda t: propose(t, all_), "block int, data binary")
+        pairs = proposed.groupBy("block").applyInArrow(lambda key, t: choose(key, t, all_), "block int, data binary")
         answers = by_block.cogroup(pairs.groupBy("block")).applyInArrow(send_words, MARK)
         return by_block.cogroup(answers.groupBy("block")).applyInArrow(verify, MARK)
 

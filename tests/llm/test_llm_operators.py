@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from conftest import CLASHES, SCHEMA, same
+from llm_corpus import CLASHES, SCHEMA, same
 from pyspark.sql import functions as F
 
 from skylattice.llm import (
@@ -321,7 +321,9 @@ def test_hypergeometric_distribution(spark):
 
 def test_mixed_documents(docs, rows):
     found = mixing.mixed_documents(docs).collect()
-    whole = {r[0]: Counter(split(r[1])) for r in rows}
+    whole = defaultdict(Counter)
+    for r in rows:
+        whole[r[0]] |= Counter(split(r[1]))
     assert found and set(found[0].asDict()) == {"doc_id", "text", "lang", "source", "n_chars"}
     for r in found:
         assert not Counter(split(r.text)) - whole[r.doc_id]

@@ -1,7 +1,7 @@
 """The queries of the subpackage against their SQL, and the pipeline's stages."""
 
 import pytest
-from conftest import SCHEMA
+from llm_corpus import SCHEMA
 
 import corpus_pipeline
 from checks.compare import compare, connect
