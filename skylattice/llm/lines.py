@@ -41,6 +41,7 @@ COMPARED = 1_000_000  # comparisons made at once within a bucket
 BASE = 0x9E3779B97F4A7C15 | 1  # of the words' polynomial hash
 LONG_WORD = 256  # bytes from which on a word is hashed on its own
 STRETCH = 1 << 18  # bytes whose words are hashed in one go
+LONG_LINE = 64  # different words from which on a line sends 256 parities instead of 64
 
 # kinds of rows that blocks send; GONE lines equal an earlier one, MATCHED are similar to one
 LINES, OPEN, GONE, MATCHED = 0, 1, 2, 3
@@ -234,7 +235,12 @@ def send_prefixes(block: int, lines: Lines, gone: np.ndarray, again, weight, buc
     starts = starts_of(sizes)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(h)) - starts[owner]
-    sketch = np.bitwise_xor.reduceat(np.uint64(1) << (mix(h) >> np.uint64(58)), starts)
+    mixed = mix(h)
+    bit = np.uint64(1) << (mixed >> np.uint64(58))
+    lane = (mixed >> np.uint64(56)) & np.uint64(3)
+    # parities of all words, and of those of three of four lanes
+    sketch = np.bitwise_xor.reduceat(bit, starts)
+    lanes = [np.bitwise_xor.reduceat(np.where(lane == k, bit, np.uint64(0)), starts) for k in range(3)]
     length = sizes - np.ceil(SIMILARITY * sizes - 1e-9).astype(np.int64) + 1
     pick = np.flatnonzero(place < length[owner])
     pick = pick[np.argsort(h[pick])]
@@ -245,31 +251,46 @@ def send_prefixes(block: int, lines: Lines, gone: np.ndarray, again, weight, buc
         asks[again] = True
     tag = (number | (asks[number].astype(np.int64) << 31)).astype("<u4")
     form = (np.minimum(sizes[owner], LIMIT_N) << 12 | np.minimum(place, LIMIT_I)).astype("<u4")
-    order, sketch, low = lines.order()[number], sketch[owner], word.astype("<u4")
+    order, low, long_ = lines.order()[number], word.astype("<u4"), sizes[owner] >= LONG_LINE
     at, out = borders(word, buckets), []
     for b in np.flatnonzero(np.diff(at)):
         s = slice(at[b], at[b + 1])
-        out.append((int(b), block, LINES, columnar(low[s], order[s], tag[s], form[s], sketch[s])))
+        more = owner[s][long_[s]]
+        head = np.array([at[b + 1] - at[b]], "<i8")
+        data = columnar(head, low[s], order[s], tag[s], form[s], sketch[owner[s]], *(x[more] for x in lanes))
+        out.append((int(b), block, LINES, data))
     return rows_of(out)
 
 
+def entries_of(data: bytes) -> tuple:
+    """The columns that ``send_prefixes`` packed, and the lanes of the long lines among them."""
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    end = 8 + 28 * n
+    columns = parts(data[8:end], "<u4", "<i8", "<u4", "<u4", "<u8")
+    return *columns, np.frombuffer(data, "<u8", -1, end).reshape(3, -1)
+
+
 def propose(table: pa.Table, all_: bool) -> pa.Table:
     """Pairs of lines that pass the filters, sent to the later one's block.
 
     A line proposes the first earlier one of each word, and marks whether there are more; or
     ``all_`` of them.
     """
-    sent = [(b, *parts(d, "<u4", "<i8", "<u4", "<u4", "<u8")) for b, d in zip(table.column("block").to_pylist(), table.column("data").to_pylist())]
+    sent = [(b, *entries_of(d)) for b, d in zip(table.column("block").to_pylist(), table.column("data").to_pylist())]
     block = np.repeat(np.array([s[0] for s in sent], np.int64), [len(s[1]) for s in sent])
     word, order, tag, form, sketch = (np.concatenate([s[i] for s in sent]) for i in range(1, 6))
+    long_ = np.flatnonzero(form >> 12 >= LONG_LINE)
+    lanes = np.concatenate([s[6] for s in sent], 1)
+    lane_of = np.zeros(len(word), np.int64)
+    lane_of[long_] = np.arange(len(long_))
     # words of one line are left out before anything is ordered
     at = np.argsort(word)
     same = word[at][1:] == word[at][:-1]
     at = at[np.append(same, False) | np.insert(same, 0, False)] if len(at) > 1 else at[:0]
-    block, word, order, tag, form, sketch = (x[at] for x in (block, word, order, tag, form, sketch))
+    block, word, order, tag, form, sketch, lane_of = (x[at] for x in (block, word, order, tag, form, sketch, lane_of))
     number = (tag & np.uint32(0x7FFFFFFF)).astype(np.int64)
     at = np.lexsort((number, block, order, word))
-    block, number, sketch, form, word = block[at], number[at], sketch[at], form[at], word[at]
+    block, number, sketch, form, word, lane_of = (x[at] for x in (block, number, sketch, form, word, lane_of))
     n, place, asks = (form >> 12).astype(np.int64), (form & LIMIT_I).astype(np.int64), tag[at] >> 31 == 1
     begin = np.flatnonzero(np.insert(word[1:] != word[:-1], 0, True)) if len(word) else np.empty(0, np.int64)
     size = np.diff(np.append(begin, len(word)))
@@ -282,6 +303,12 @@ def propose(table: pa.Table, all_: bool) -> pa.Table:
         both, least, most = n[a] + n[b], np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
         need = np.ceil(SIMILARITY / (1 + SIMILARITY) * both - 1e-9)
         fit = (least >= SIMILARITY * most - 1e-9) & (np.minimum(n[a] - place[a], n[b] - place[b]) >= need)
+        deep = np.flatnonzero(fit & (least >= LONG_LINE))
+        x, y = a[deep], b[deep]
+        differ = lanes[:, lane_of[x]] ^ lanes[:, lane_of[y]]
+        rest = sketch[x] ^ sketch[y] ^ differ[0] ^ differ[1] ^ differ[2]
+        far = np.bitwise_count(differ).sum(0, dtype=np.int64) + np.bitwise_count(rest)
+        fit[deep] = far <= both[deep] - 2 * need[deep]
         return fit | (most >= LIMIT_N)
 
     live, chosen = np.flatnonzero((rank > 0) & asks), np.full(len(word), -1)
