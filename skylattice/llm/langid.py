@@ -5,7 +5,9 @@ counts its own documents in numpy and Spark adds the partial counts up. The mode
 table of a fixed number of bins per language, so its size does not depend on the data.
 
 A document is a mixture: each word comes from one of the languages, with a probability per
-language from the n-grams of the word, or from a flat noise source. Expectation-maximisation
+language from the n-grams of the word, or from a noise source. Noise is flat at a level that
+follows the word's likeliest language, as wide alphabets have less likely trigrams than small
+ones. Expectation-maximisation
 estimates the proportions. The languages present are those of the set with the best
 penalised likelihood: starting from the best single one, a language is added while the
 likelihood gains more than the penalty.
@@ -22,7 +24,7 @@ from skylattice.llm.text import documents
 
 BINS = 1 << 16  # bins of hashed n-grams per language
 SMOOTHING = 0.5
-NOISE = -9.0  # log-likelihood of a trigram under the flat noise source
+NOISE = 3.2  # how far noise is below a language's own mean log-likelihood of a trigram
 STEPS = 25  # of expectation-maximisation
 PENALTY = 3.0  # of a further language, times the logarithm of the number of words
 PROBE = 0.02  # proportion at which a further language is tested first
@@ -110,6 +112,17 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, np.log((counts + SMOOTHING) / (total + SMOOTHING * used))
 
 
+def noise_levels(model: np.ndarray) -> np.ndarray:
+    """Log-likelihood of a trigram of noise per language, at least that of a uniform bin.
+
+    Trigrams in uniform bins are at most that likely under any language on average.
+    """
+    seen = np.exp(model) - np.exp(model.min(0))  # in proportion to the counts of training
+    total = seen.sum(0)
+    mean = np.where(total > 0, (seen * model).sum(0) / np.where(total > 0, total, 1), -np.inf)
+    return np.maximum(mean - NOISE, -np.log(BINS))
+
+
 def by_doc(values, starts):
     return np.add.reduceat(values, starts, axis=-1)
 
@@ -196,16 +209,20 @@ def _labeller(spark: SparkSession, langs: list[str], model: np.ndarray):
     """A function from texts to their main language, its share, and all shares."""
     # Spark sends the model, of fixed size, to each executor once
     shared = spark.sparkContext.broadcast(model.T.astype(np.float32).copy())
+    level = noise_levels(model).astype(np.float32)
 
     def label(texts):
-        table = [*shared.value, np.full(BINS, NOISE, np.float32)]
         names, score, sets = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
         usable = ((i, t) for i, t in enumerate(texts) if langs and t and any(map(str.isalpha, t)))
         for at, some in chunks(usable):
             bins, begin, doc = trigrams(some)
-            like = np.stack([np.add.reduceat(t[bins], begin) for t in table])
-            for i, row in zip(at, infer(like, doc, len(some)).T):
-                best = int(row[: len(langs)].argmax())
+            like = np.stack([np.add.reduceat(t[bins], begin) for t in shared.value])
+            alone = by_doc(like.astype(np.float64), np.searchsorted(doc, np.arange(len(some))))
+            noise = level[like.argmax(0)] * np.diff(np.append(begin, len(bins)))
+            like = np.concatenate([like, noise[None].astype(np.float32)])
+            for i, row, single in zip(at, infer(like, doc, len(some)).T, alone.T):
+                # under noise alone no language has a share: the likeliest one then
+                best = int((row[: len(langs)] if row[: len(langs)].any() else single).argmax())
                 names[i], score[i] = langs[best], min(1.0, row[best])
                 sets[i] = [(langs[k], float(row[k])) for k in np.flatnonzero(row[: len(langs)] > 0)]
         return names, score, sets
@@ -217,7 +234,8 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     """``doc_id, lang_pred, score, languages`` per document.
 
     ``lang_pred`` is the language of the largest proportion, ``score`` that proportion,
-    ``languages`` all proportions of the chosen set. A null text, one without letters, or a
+    ``languages`` all proportions of the chosen set. Where all is noise, ``lang_pred`` is the
+    likeliest language and ``score`` 0. A null text, one without letters, or a
     model without languages gives ``und`` with score 0. Repeated rows are labelled alike.
     Other columns are ignored; an empty table gives no rows.
     """
