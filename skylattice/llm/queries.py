@@ -1,6 +1,8 @@
 """The operators of this subpackage as named queries, with SQL where SQL can say the same."""
 
-from skylattice.llm import exact_dedup, langid, licenses, lines, mixing, packing, quality, secrets, simhash, substring
+from skylattice.llm import (
+    collocations, conversations, exact_dedup, langid, licenses, lines, minhash, mixing, packing, quality, secrets, simhash, substring,
+)
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -13,6 +15,9 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_packing": packing.query,
     "op10_quality_rules": quality.query,
+    "op11_prefix_trie": conversations.query,
+    "op12_collocations": collocations.query,
+    "op13_minhash": minhash.query,
 }
 
 ORACLE_SQL = {
@@ -22,4 +27,7 @@ ORACLE_SQL = {
     "op5_line_dedup": lines.SQL,
     "op6_substring_dedup": substring.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op11_prefix_trie": conversations.SQL,
+    "op12_collocations": collocations.SQL,
+    "op13_minhash": minhash.SQL,
 }
