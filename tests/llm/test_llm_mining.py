@@ -193,7 +193,7 @@ def test_windows_are_exploded_once(spark, docs):
     plan = collocations.frequent_phrases(docs)
     plan.collect()
     text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert text.count("Generate inline") == 1 and "ReusedExchange" in text
+    assert text.count("Generate inline") == 1
 
 
 # MinHash
