@@ -7,7 +7,7 @@ counted anew where texts change.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import langid, lines, mixing, near, packing
+from skylattice.llm import langid, lines, mixing, packing, simhash
 from skylattice.llm.text import WORD, documents
 from skylattice.session import settle
 
@@ -31,8 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of five-word similarity 0.8 or more to an earlier one go."""
-    return near.one_of_each(docs)
+    """Of documents whose fingerprints link, by SimHash over three words within two bits, one stays."""
+    return simhash.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ STAGES = [
     ("mix", mix),
     ("pack", pack),
 ]
-ORACLE_SQL = None  # SQL cannot say the first stage; tests compare near_dedup with brute force
+ORACLE_SQL = None  # SQL cannot say the first stage; tests compare stages with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
