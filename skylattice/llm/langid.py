@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm.text import documents
+from skylattice.llm.text import documents, slices
 
 BINS = 1 << 16  # bins of hashed n-grams per language
 SMOOTHING = 0.5
@@ -242,7 +242,7 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     label = _labeller(docs.sparkSession, langs, model)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             names, score, sets = label(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -267,7 +267,7 @@ def keep_known(docs: DataFrame, langs: list[str], model: np.ndarray, least: floa
     label = _labeller(docs.sparkSession, langs, model)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             _, _, sets = label(batch.column("text").to_pylist())
             known = [sum(share for _, share in found) >= least for found in sets]
             yield batch.filter(pa.array(known, pa.bool_()))

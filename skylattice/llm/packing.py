@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylattice.llm.text import WordTable, documents
+from skylattice.llm.text import WordTable, documents, slices
 from skylattice.session import settle
 
 WINDOW = 4096
@@ -105,7 +105,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
 
     def cut(batches):
         encode = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encode(text or "") + end

@@ -16,11 +16,11 @@ the smallest fingerprint of a key. That is linear in the group.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.llm.components import components
-from skylattice.llm.text import documents, whole, words_of
+from skylattice.llm.text import documents, slices, whole, words_of
 from skylattice.session import settle
 
 BITS = 64
@@ -53,16 +53,21 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fp``: the fingerprint as a signed long; null texts count as empty."""
 
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return _with_fingerprints(rows, "doc_id long", shingle)
+
+
+def _with_fingerprints(rows: DataFrame, kept: str, shingle: int) -> DataFrame:
+    """The columns before ``text``, described by ``kept``, and ``fp``; few texts are Python objects at a time."""
+    names = rows.columns[:-1]
+
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t or "", shingle) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(found, np.uint64).view(np.int64))],
-                ["doc_id", "fp"],
-            )
+            fp = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), fp], [*names, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(count, "doc_id long, fp long")
+    return rows.mapInArrow(count, f"{kept}, fp long")
 
 
 def partition_bits(distinct: DataFrame, partitions: int = PARTITIONS) -> list[list[int]]:
@@ -214,6 +219,13 @@ def links(distinct: DataFrame, partitions: int = PARTITIONS, crowd: int = CROWD)
     return settle(pairs.unionByName(crowded).distinct(), "simhash-links")
 
 
+def _classes(distinct: DataFrame) -> DataFrame:
+    """``fp, root``: the smallest fingerprint that each of a written table's ``fp`` reaches."""
+    labels = components(links(distinct))
+    named = distinct.join(labels, distinct["fp"] == labels["node"], "left")
+    return named.select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fingerprint, component_id`` per document.
 
@@ -224,10 +236,7 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """
     found = settle(fingerprints(docs, shingle), "simhash")
     distinct = settle(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    labels = components(links(distinct))
-    named = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    named = _classes(distinct)
     roots = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.select("fp", "root").join(roots, "root").select("fp", "component_id")
     return found.join(named, "fp").select(
@@ -238,21 +247,25 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The documents without those that are near copies of a kept one, all columns kept.
 
-    Of each component the smallest id stays. Rows without an id stand behind all others,
-    ordered by a hash of their text; of rows that repeat an id the one of the smallest text
-    hash stays.
+    Of each component the row of the smallest doc_id stays, rows without an id behind all
+    others, ties by a digest of the text. Rows of one id with unlike texts are of different
+    components, so each stays or goes with its own. Of rows that repeat id and text one stays,
+    whichever has the smallest hash of all its columns. A null text counts as an empty one.
     """
-    text = whole()
-    late = F.xxhash64(text).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
+    late = F.lit((1 << 63) - 1)
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce(F.col("doc_id").cast("long"), late).alias("key"),
-        F.xxhash64(text).alias("form"),
+        F.struct(F.coalesce(F.col("doc_id").cast("long"), late).alias("place"), F.unhex(F.md5(whole())).alias("form")).alias("key"),
+    )
+    found = _with_fingerprints(
+        keyed.select("key.place", "key.form", whole("row.text").alias("text")), "place long, form binary", shingle
     )
-    found = near_dedup(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), shingle)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
-    turn = F.row_number().over(Window.partitionBy("key").orderBy("form"))
-    return keyed.join(stay, "key", "left_semi").withColumn("turn", turn).where("turn = 1").select("row.*")
+    found = settle(found, "simhash")
+    distinct = settle(found.groupBy("fp").agg(F.min(F.struct("place", "form")).alias("key")), "simhash-distinct")
+    named = _classes(distinct).groupBy("root").agg(F.min("key").alias("key"))
+    stay = settle(named.select("key"), "simhash-kept")
+    left = keyed.join(stay, "key", "left_semi")
+    return left.groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 BLOCK_CHARS = 2_000_000  # text in one block of documents: bounds what a task holds
 KNOWN_WORDS = 500_000  # entries of a task's word table before it starts afresh
+KNOWN_BYTES = 64  # words longer than this are not remembered
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,18 +28,27 @@ def whole(text="text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def slices(batches, rows: int = 512):
+    """The batches in slices of a few rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
 class WordTable(dict):
-    """Remembers a value per word, with bounded memory."""
+    """Remembers a value per word; short words and few of them, so that its memory is bounded."""
 
     def __init__(self, value):
         super().__init__()
         self.value = value
 
     def __missing__(self, word):
+        if len(word) > KNOWN_BYTES:
+            return self.value(word)
         if len(self) >= KNOWN_WORDS:
             self.clear()
         found = self[word] = self.value(word)
