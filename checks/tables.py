@@ -192,10 +192,9 @@ def scene_files(spark, sf) -> DataFrame:
     return optical.unionByName(radar)
 
 
-def file_tiles(spark, sf) -> list[str]:
+def file_tiles(spark, sf) -> DataFrame:
     """All tiles of ``scene_files``: as many as the tables have suppliers and customers."""
-    tile = F.split_part("path", F.lit("/"), F.lit(1))
-    return sorted(r[0] for r in scene_files(spark, sf).select(tile).distinct().collect())
+    return scene_files(spark, sf).select(F.split_part("path", F.lit("/"), F.lit(1)).alias("tile")).distinct()
 
 
 def roi_files(spark, sf) -> DataFrame:

@@ -4,7 +4,7 @@ A catalog has one row per file. A patch with several yearly files has several ro
 are not packed into one array, so no task has to hold all files of a patch.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skylattice.constants import (
@@ -16,6 +16,7 @@ from skylattice.constants import (
     SCENE_SUFFIX,
     SMALL_FILE_KIB,
 )
+from skylattice.session import settle
 
 
 def list_files(spark: SparkSession, root: str, glob="*") -> DataFrame:
@@ -33,29 +34,45 @@ def _file_name(path: str) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def _in_requested_tile(files: DataFrame, tiles: list[str]) -> DataFrame:
+def tile_table(spark: SparkSession, tiles: list[str] | DataFrame) -> DataFrame:
+    """The different requested tiles as a written table ``s2_tile``; a table's first column counts.
+
+    Its true size is known, so Spark broadcasts it only if it is small.
+    """
+    if isinstance(tiles, DataFrame):
+        named = tiles.select(F.col(tiles.columns[0]).alias("s2_tile")).where("s2_tile is not null")
+    else:
+        named = spark.createDataFrame([(t,) for t in tiles], "s2_tile string")
+    return settle(named.distinct(), "tiles")
+
+
+def _in_requested_tile(files: DataFrame, tiles: DataFrame) -> DataFrame:
     """Rows with the requested tile that names one of the path's directories, as ``s2_tile``,
-    and the directories below it, as ``_below``. A path that names two of them is in both."""
+    and the directories below it, as ``_below``. A path that names two of them is in both.
+
+    Directories are joined with the tiles, so a file costs its depth and not the number of
+    tiles.
+    """
     parts = F.split("path", "/")
-    dirs = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    found = F.array_intersect(dirs, F.array(*[F.lit(t) for t in tiles]))
-    rows = files.withColumn("s2_tile", F.explode(found))
-    at = F.array_position(dirs, F.col("s2_tile")).cast("int")
-    return rows.withColumn("_below", F.slice(dirs, at + 1, F.size(dirs)))
+    rows = files.withColumn("_dirs", F.slice(parts, F.lit(1), F.size(parts) - 1))
+    rows = rows.withColumn("s2_tile", F.explode(F.array_distinct("_dirs"))).join(tiles, "s2_tile")
+    at = F.array_position("_dirs", F.col("s2_tile")).cast("int")
+    return rows.withColumn("_below", F.slice("_dirs", at + 1, F.size("_dirs"))).drop("_dirs")
 
 
-def scene_catalog(files: DataFrame, modality: str, tiles: list[str]) -> DataFrame:
+def scene_catalog(files: DataFrame, modality: str, tiles: list[str] | DataFrame) -> DataFrame:
     """Clipped scene files of one modality in the requested tiles."""
     return build_catalog(files, [modality], tiles)
 
 
-def build_catalog(files: DataFrame, modalities: list[str], tiles: list[str]) -> DataFrame:
+def build_catalog(files: DataFrame, modalities: list[str], tiles: list[str] | DataFrame) -> DataFrame:
     """(mod, patch_id, s2_tile, sits_path) for several modalities in one pass.
 
     A file belongs to a modality if a directory below the tile contains its token. The
     tokens are a literal list, so this is a per-row test and not a join.
     """
-    scenes = _in_requested_tile(files.where(F.col("path").endswith(SCENE_SUFFIX)), tiles)
+    wanted = tile_table(files.sparkSession, tiles)
+    scenes = _in_requested_tile(files.where(F.col("path").endswith(SCENE_SUFFIX)), wanted)
     known = F.array(
         *[
             F.struct(F.lit(m).alias("mod"), F.lit(MODALITY_TOKENS[m]).alias("token"))
@@ -83,19 +100,25 @@ def catalog_summary(catalog: DataFrame) -> DataFrame:
     )
 
 
-def missing_scenes(catalog: DataFrame, tiles: list[str]) -> DataFrame:
+def missing_scenes(catalog: DataFrame, tiles: list[str] | DataFrame) -> DataFrame:
     """(mod, patch_id, s2_tile) for each requested tile that lacks a patch found elsewhere.
 
-    Patches of all tiles of the catalog count, requested or not.
-    Only patches that some tile lacks are expanded to the requested tiles - a literal list,
-    so the fan-out per patch is its length.
+    Patches of all tiles of the catalog count, requested or not. Requested tiles are numbered,
+    and what lies between two neighbouring numbers of a patch is missing, so the work is that
+    of the scenes at hand and of the gaps; a complete patch makes no rows.
     """
+    wanted = tile_table(catalog.sparkSession, tiles)
+    # one row per tile of the survey: a small table in one task
+    numbered = wanted.withColumn("_n", F.row_number().over(Window.orderBy("s2_tile")) - 1)
+    numbered = settle(numbered, "numbered-tiles")
+    end = numbered.count()
     present = catalog.select("mod", "patch_id", "s2_tile").distinct()
-    requested = F.count_if(F.col("s2_tile").isin(tiles))
-    counts = present.groupBy("mod", "patch_id").agg(requested.alias("n_tiles"))
-    incomplete = counts.where(F.col("n_tiles") < len(tiles)).select("mod", "patch_id")
-    wanted = incomplete.withColumn("s2_tile", F.explode(F.array(*[F.lit(t) for t in tiles])))
-    return wanted.join(present, ["mod", "patch_id", "s2_tile"], "left_anti")
+    have = present.join(numbered, "s2_tile").select("mod", "patch_id", "_n")
+    before_all = present.select("mod", "patch_id", F.lit(-1).alias("_n")).distinct()
+    after = F.lead("_n", 1, end).over(Window.partitionBy("mod", "patch_id").orderBy("_n"))
+    gaps = have.unionByName(before_all).withColumn("_next", after).where("_next > _n + 1")
+    lacking = gaps.select("mod", "patch_id", F.explode(F.expr("sequence(_n + 1, _next - 1)")).alias("_n"))
+    return lacking.join(numbered, "_n").select("mod", "patch_id", "s2_tile")
 
 
 def distinct_patches(catalog: DataFrame) -> DataFrame:
