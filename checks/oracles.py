@@ -650,6 +650,24 @@ from (select *, (x * 10 + 5 - x0) / 38 + (y * 10 + 5 - y0) / 44 < 1 as inside
   from region_cube r join rois on r.tile = rois.tile and roi = patch_id
   where x * 10 + 5 between x0 and x0 + 38 and y * 10 + 5 between y0 and y0 + 44) c
 group by c.tile, patch_id, t, x0, y0""",
+    "clip_stored": """select tile, roi, t, count(*) as n, round(sum(b03), 2) as b03
+from in_roi group by all""",
+    "clip_geojson": """select c.tile, roi, patch_id, t,
+  cast(floor((y0 + 44) / 10 - 0.5) - ceil(y0 / 10 - 0.5) + 1 as int) as h,
+  cast(floor((x0 + 38) / 10 - 0.5) - ceil(x0 / 10 - 0.5) + 1 as int) as w,
+  count(*) as n, count(*) filter (inside) as n_inside, sum(b02) filter (inside) as b02
+from (select r.*, roi, x0, y0, (x * 10 + 5 - x0) / 38 + (y * 10 + 5 - y0) / 44 < 1 as inside
+  from region_cube r join rois on r.tile = rois.tile
+  where x * 10 + 5 between x0 and x0 + 38 and y * 10 + 5 between y0 and y0 + 44) c
+group by c.tile, roi, patch_id, t, x0, y0
+having coalesce(sum(clm) filter (inside), 0) < 0.02::double *
+  (floor((y0 + 44) / 10 - 0.5) - ceil(y0 / 10 - 0.5) + 1) *
+  (floor((x0 + 38) / 10 - 0.5) - ceil(x0 / 10 - 0.5) + 1)""",
+    "missing_scenes_everywhere": """select c.mod, c.patch_id, r.s2_tile
+from (select distinct mod, patch_id from file_catalog where length > 5000) c,
+  (select distinct s2_tile from file_catalog) r
+where not exists (select 1 from file_catalog f where f.length > 5000 and f.mod = c.mod
+  and f.patch_id = c.patch_id and f.s2_tile = r.s2_tile)""",
     "sample_shortfall": """select w.tile, count(path) as n_scenes
 from (select 'T' || i as tile from range(0, 200, 3) r(i)) w
 left join scene_files f on split_part(path, '/', 1) = w.tile group by 1 having count(path) < 60""",

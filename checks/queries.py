@@ -1075,6 +1075,61 @@ def clip_tile_grid(spark, sf):
     )
 
 
+def _placed_regions(spark, sf):
+    """The regions as lon/lat rings of UTM zone 31, 400 km east and 5,000 km north of their pixels."""
+
+    def point(p):
+        lon, lat = geometry.to_lonlat(p["x"] + 400_000.0, p["y"] + 5_000_000.0, F.lit(31), F.lit(False))
+        return F.struct(lon.alias("x"), lat.alias("y"))
+
+    return tb.rois(spark, sf).withColumn("ring", F.transform("ring", point))
+
+
+@query
+def clip_geojson(spark, sf):
+    """Regions of GeoJSON collections, projected and cut from a cube in curve order.
+
+    Each tile's grid has its own origin, which shifts its rows and columns.
+    """
+    number = F.substring("tile", 2, 9).cast("int")
+    cube = tb.region_cube(spark, sf)
+    cube = cube.withColumns({"y": F.lit(999) + number - F.col("y"), "x": F.col("x") + 1000 * number})
+    path = cube_files.write_curve_cube(cube, new_folder(spark, "curve-cube"))
+    geojson = rois.write_roi_collections(_placed_regions(spark, sf), new_folder(spark, "geojson"))
+    grids = cube.select("tile").distinct().withColumns(
+        {"x0": F.lit(400_000.0) - number * 10_000.0, "y0": F.lit(5_010_000.0) + number * 10.0}
+    )
+    schema = cube_schema(["b02"]).add("clm", T.IntegerType())
+    cut = regions.clip_geojson(spark, geojson, path, schema, grids, ["b02", "clm"], 0.02)
+    return cut.groupBy("tile", "roi", "patch_id", "t", "h", "w").agg(
+        F.count("*").alias("n"), F.count("b02").alias("n_inside"), F.sum("b02").alias("b02")
+    )
+
+
+@query
+def clip_stored(spark, sf):
+    """Polygons cut from a cube in curve order, as from one in memory."""
+    cube = tb.cube_s2(spark, sf)
+    path = cube_files.write_curve_cube(cube, new_folder(spark, "curve-cube"), block_bits=3)
+    schema = cube_schema(OPTICAL_BANDS)
+    for mask in ("clm", "scl"):
+        schema = schema.add(mask, T.IntegerType())
+    ranges = spatial.curve_ranges(tb.rois(spark, sf), PIXEL_GRID, 20)
+    stored = cube_files.read_curve_cube(spark, path, schema, ranges, block_bits=3)
+    inside = spatial.sample_by_feature(stored, tb.rois(spark, sf), PIXEL_GRID)
+    return inside.groupBy("tile", "roi", "t").agg(
+        F.count("*").alias("n"), F.round(F.sum("b03"), 2).alias("b03")
+    )
+
+
+@query
+def missing_scenes_everywhere(spark, sf):
+    """Gaps among all tiles of the listing."""
+    files = tb.scene_files(spark, sf).where("length > 5000")
+    tiles = tb.file_tiles(spark, sf)
+    return catalog.missing_scenes(catalog.build_catalog(files, ["s2", "s1_asc"], tiles), tiles)
+
+
 @query
 def project_rings(spark, sf):
     """Regions written as lon/lat GeoJSON come back to the metres they were made in."""

@@ -1,8 +1,9 @@
 """Spatial operators: crops, regions of interest, polygon selection."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skylattice.functions.curve import OFFSET, position
 from skylattice.functions.draws import uniform, uniform_between, uniform_int
 from skylattice.functions.geometry import PixelGrid, box_ring, ring_bounds, ring_crossings
 from skylattice.session import settle
@@ -122,6 +123,7 @@ def validate_rois(rois: DataFrame, size: float) -> DataFrame:
 # ---------------------------------------------------------------- polygon selection
 
 CELL_COLUMNS = 64
+CURVE_RANGES = 256  # stretches of the curve that a scan takes as predicates
 
 
 def roi_segments(rois: DataFrame, grid: PixelGrid) -> DataFrame:
@@ -249,6 +251,46 @@ def clip_polygon(cube, rois, bands, grid: PixelGrid, own=False) -> DataFrame:
     )
 
 
+def curve_ranges(rois: DataFrame, grid: PixelGrid, limit=CURVE_RANGES) -> DataFrame:
+    """``tile, low, high``: stretches of the curve that hold all pixels of the regions.
+
+    A region's box is covered by at most 16 squares, each one stretch; stretches of a tile that
+    overlap or touch are one. While there are more than ``limit``, the squares are made twice
+    as wide and merged again, down to one stretch per tile; so what a scan takes as predicates
+    has at most ``limit`` rows, or one row per tile if there are more tiles than that.
+    """
+    regions = _with_bounds(rois)
+    first_y, last_y = grid.range_y("ymin", "ymax")
+    first_x, last_x = grid.range_x("xmin", "xmax")
+    boxes = regions.select("tile", first_y.alias("y0"), last_y.alias("y1"), first_x.alias("x0"), last_x.alias("x1"))
+    boxes = boxes.where("y0 <= y1 and x0 <= x1")
+    side = F.greatest(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")) + 1
+    level = F.greatest(F.lit(0), F.ceil(F.log2(side / F.lit(3)))).cast("int")
+    boxes = boxes.withColumn("level", level)
+
+    def steps(low, high):  # corners of the squares, as pixel indices
+        at = f"transform(sequence(shiftright({low} + {OFFSET}, level), shiftright({high} + {OFFSET}, level)), i -> shiftleft(i, level) - {OFFSET})"
+        return F.explode(F.expr(at))
+
+    cells = boxes.withColumn("y", steps("y0", "y1")).withColumn("x", steps("x0", "x1"))
+    low = position(F.col("y"), F.col("x"))
+    spans = cells.select("tile", low.alias("low"), (low + F.expr("shiftleft(1L, 2 * level)") - 1).alias("high"))
+
+    def merged(spans):
+        order = Window.partitionBy("tile").orderBy("low", "high")
+        reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        begins = (F.coalesce(reach, F.lit(-2)) + 1 < F.col("low")).cast("int")
+        runs = spans.distinct().withColumn("_new", begins).withColumn("_run", F.sum("_new").over(order))
+        return settle(runs.groupBy("tile", "_run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("_run"), "curve-ranges")
+
+    found, bits = merged(spans), 0
+    while found.count() > limit and bits < 62:
+        bits += 2
+        wide = F.expr(f"shiftleft(shiftright(low, {bits}), {bits})").alias("low")
+        found = merged(found.select("tile", wide, F.col("high").bitwiseOR(F.lit((1 << bits) - 1)).alias("high")))
+    return found
+
+
 def match_rois(rois: DataFrame, files: DataFrame) -> DataFrame:
     """Pair region ``roi`` of a tile with the scene files ``.../openEO_{roi}.nc`` of that tile."""
     number = F.regexp_extract("path", r"/openEO_(\d+)\.nc$", 1)

@@ -1,9 +1,16 @@
 """Cube and sample tables on disk."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skylattice.functions.curve import position
+
+BLOCK_BITS = 9  # a block of a curve-ordered cube is a square of 2^9 pixels
+
 
 def write_cube(cube: DataFrame, path: str, mode="error") -> str:
     """Parquet under modality / tile / year.
@@ -42,6 +49,51 @@ def read_cube(
     return cube
 
 
+def write_curve_cube(cube: DataFrame, path: str, mode="error", block_bits=BLOCK_BITS) -> str:
+    """Parquet under modality / tile / year / block, in the order of a space-filling curve.
+
+    A block is a square of pixels, so a region's surroundings are the only directories it
+    needs, and within a block row groups hold narrow ranges of ``curve``. A large directory is
+    split over several tasks, and so over files.
+    """
+    keys = ["modality", "tile", "year", "block"]
+    placed = cube.withColumn("year", F.year("t")).withColumn("curve", position(F.col("y"), F.col("x")))
+    (
+        placed.withColumn("block", F.shiftright("curve", 2 * block_bits))
+        .hint("rebalance", *keys)
+        .sortWithinPartitions(*keys, "curve", "t")
+        .write.mode(mode)
+        .partitionBy(*keys)
+        .parquet(path)
+    )
+    return path
+
+
+def read_curve_cube(
+    spark: SparkSession, path: str, schema, ranges: DataFrame | None = None, block_bits=BLOCK_BITS
+) -> DataFrame:
+    """Scan of a curve-ordered cube, of the stretches ``tile, low, high`` of the curve only.
+
+    ``ranges`` comes from ``operators.spatial.curve_ranges``, which bounds the number of its
+    rows; they become predicates on tile and block, which prune directories, and on ``curve``,
+    which row groups are skipped by. More pixels than asked for may come back, never fewer.
+    """
+    more = [("curve", T.LongType()), ("year", T.IntegerType()), ("block", T.LongType())]
+    stored = T.StructType([*schema.fields, *[T.StructField(*f) for f in more]])
+    cube = spark.read.schema(stored).parquet(path)
+    if ranges is not None:
+        by_tile: dict[str, list] = {}
+        for r in ranges.select("tile", "low", "high").collect():
+            by_tile.setdefault(r.tile, []).append((r.low, r.high))
+        wanted = [
+            (F.col("tile") == tile)
+            & reduce(or_, [F.col("block").between(a >> 2 * block_bits, b >> 2 * block_bits) & F.col("curve").between(a, b) for a, b in spans])
+            for tile, spans in sorted(by_tile.items())
+        ]
+        cube = cube.where(reduce(or_, wanted, F.lit(False)))
+    return cube.select(*schema.names)
+
+
 def write_samples(samples: DataFrame, path: str, mode="error") -> str:
     """Sample rows (frames, heads or nested samples) under modality / tile.
 
