@@ -772,6 +772,31 @@ BODIES["crop_time_random"] = BODIES["crop_time"]
 BODIES["ingest_stream"] = "select modality, tile, patch_id, t, y, x, b02, b03, b04, b08 from usable_s2"
 
 
+CTES["item_dates"] = f"""
+select m.modality, m.longest, d.* from (
+    select p.tile, p.patch_id, p.t, sum(value) as s, count(*) filter (value > 0) as pos,
+      sum((least(greatest(value, qmin), qmax) - med) / (qmax - qmin)) as z
+    from frame_pixels p cross join pixel_stats where y between 2 and 5 and x between 2 and 5
+    group by p.tile, p.patch_id, p.t) d
+  cross join (values ('s2', 10), ('s1_asc', 6), ('s1_desc', 4), ('agera5', null)) m(modality, longest)
+where (modality not like 's1%' or day(t) % 2 = 0) and (modality <> 's1_desc' or tile <> 'T1')
+qualify longest is null or row_number() over (partition by modality, tile, patch_id
+  order by {_rank_hash('dates', 'tile', 'patch_id', 'modality', 't')}, t) <= longest"""
+CTES["item_series"] = """
+select modality, tile, patch_id, count(*)::int as n_dates,
+  greatest(coalesce(any_value(longest), 0) - count(*), 0)::int as padded,
+  round(sum(case modality when 's2' then z when 's1_asc' then 6 * s when 's1_desc' then 2 * s
+    else s / 2 end), 4) as total,
+  sum(date_diff('day', date '2014-03-03', t))::bigint as days,
+  (case modality when 's1_asc' then sum(pos) end)::bigint as masked
+from item_dates group by modality, tile, patch_id
+union all
+select 'dem', tile, patch_id, 1, 0, round(s, 4), 0, null from item_dates where modality = 'agera5'
+qualify row_number() over (partition by tile, patch_id order by t) = 1"""
+BODIES["load_items"] = """select i.tile, i.patch_id, m.modality, n_dates, padded, total, days, masked
+from (select distinct tile, patch_id from frames) i
+cross join (values ('s2'), ('s1_asc'), ('s1_desc'), ('agera5'), ('dem')) m(modality)
+left join item_series s on s.tile = i.tile and s.patch_id = i.patch_id and s.modality = m.modality"""
 BODIES["project_rings"] = f"""select tile, roi, 5120.0::double as w, 5120.0::double as h,
   0.0::double as away from ({BODIES["generate_rois"]})"""
 BODIES["read_user_stats"] = f"""select * from ({BODIES["stats_roundtrip"]})"""

@@ -1,5 +1,7 @@
 """One query per operator, over the given tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +22,14 @@ from skylattice.operators import (
 )
 from skylattice.plans import convert as conv
 from skylattice.plans import cubes as cube_plans
+from skylattice.plans import items as item_plans
 from skylattice.plans import load, regions, statistics
+from skylattice.plans.items import ItemOption
 from skylattice.schema import FRAME, PIXEL, cube_schema
 from skylattice.session import new_folder
 from skylattice.sources import catalog, manifests, rois, stats_files
 from skylattice.sources import cubes as cube_files
+from skylattice.sources.items import ItemStore
 from skylattice.streaming import ingest
 
 SEED = 7
@@ -1022,6 +1027,58 @@ def load_stored(spark, sf):
     return _rounded(_sample_rows(rows), ["value"])
 
 
+def _item_store(spark, sf):
+    """Five stored modalities with dates, bands and masks of their own; one lacks a tile."""
+    fr = tb.frames(spark, sf).drop("modality")
+
+    def times(k):
+        return F.transform("pixels", lambda v: v * F.lit(k).cast("float"))
+
+    radar = fr.where("day(t) % 2 = 0").select(
+        "tile", "patch_id", "t", "h", "w", times(2.0).alias("vv"), times(4.0).alias("vh"),
+        F.transform("pixels", lambda v: (v > 0).cast("int")).alias("clm"),
+    )
+    made = ItemStore(spark, new_folder(spark, "items"), f"items_{uuid.uuid4().hex}", 8)
+    made.write("s2", fr)
+    made.write("s1_asc", radar)
+    made.write("s1_desc", radar.where("tile <> 'T1'"))
+    made.write("agera5", fr.withColumn("temp", times(0.5)).drop("pixels"))
+    first = fr.groupBy("tile", "patch_id", "h", "w").agg(F.min_by("pixels", "t").alias("height"))
+    made.write("dem", first.withColumn("t", F.lit(None).cast("date")))
+    return made
+
+
+@query
+def load_items(spark, sf):
+    """Five modalities of an item in one row, each with its bands, length, masks and statistics."""
+    fr = tb.frames(spark, sf)
+    pixel_stats = stats.band_stats(samples.from_frames(fr, ["pixels"]), ["pixels"])
+    pixel_stats = pixel_stats.withColumns({s: F.round(s, 2) for s in stats.STAT_NAMES})
+    options = [
+        ItemOption("s2", ("pixels",), 10, stats=pixel_stats),
+        ItemOption("s1_asc", ("vv", "vh"), 6, masks=("clm",)),
+        ItemOption("s1_desc", ("vv",), 4),
+        ItemOption("agera5", ("temp",)),
+        ItemOption("dem", ("height",), 3),
+    ]
+    loaded = item_plans.load_items(_item_store(spark, sf), options, 8, 8, 4, SEED)
+
+    def digest(o):
+        m = F.col(o.modality)
+        sum_of = lambda a: F.aggregate(F.flatten(F.flatten(a)), F.lit(0.0), lambda x, v: x + v.cast("double"))
+        days = F.aggregate(m["doy"], F.lit(0).cast("bigint"), lambda x, v: x + F.coalesce(v, F.lit(0)))
+        return F.struct(
+            F.lit(o.modality).alias("modality"),
+            m["n_dates"].alias("n_dates"),
+            F.when(m.isNotNull(), F.size(F.filter(m["padd_mask"], lambda v: v))).alias("padded"),
+            F.round(sum_of(m["sits"]), 4).alias("total"),
+            days.alias("days"),
+            (sum_of(m["masks"]).cast("bigint") if o.masks else F.lit(None).cast("bigint")).alias("masked"),
+        )
+
+    return loaded.select("tile", "patch_id", F.inline(F.array(*[digest(o) for o in options])))
+
+
 @query
 def dataset_stats(spark, sf):
     cube = tb.region_cube(spark, sf).withColumn("b04", F.col("clm") * 2.0)
@@ -1115,7 +1172,7 @@ def clip_stored(spark, sf):
     for mask in ("clm", "scl"):
         schema = schema.add(mask, T.IntegerType())
     ranges = spatial.curve_ranges(tb.rois(spark, sf), PIXEL_GRID, 20)
-    stored = cube_files.read_curve_cube(spark, path, schema, ranges, block_bits=3)
+    stored = cube_files.read_curve_cube(spark, path, schema, ranges)
     inside = spatial.sample_by_feature(stored, tb.rois(spark, sf), PIXEL_GRID)
     return inside.groupBy("tile", "roi", "t").agg(
         F.count("*").alias("n"), F.round(F.sum("b03"), 2).alias("b03")

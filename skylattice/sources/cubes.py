@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from skylattice.functions.curve import position
 
+BLOCK = "block_"
 BLOCK_BITS = 9  # a block of a curve-ordered cube is a square of 2^9 pixels
 
 
@@ -54,12 +55,13 @@ def write_curve_cube(cube: DataFrame, path: str, mode="error", block_bits=BLOCK_
 
     A block is a square of pixels, so a region's surroundings are the only directories it
     needs, and within a block row groups hold narrow ranges of ``curve``. A large directory is
-    split over several tasks, and so over files.
+    split over several tasks, and so over files. The directory's name tells the block's size.
     """
-    keys = ["modality", "tile", "year", "block"]
+    block = f"{BLOCK}{block_bits}"
+    keys = ["modality", "tile", "year", block]
     placed = cube.withColumn("year", F.year("t")).withColumn("curve", position(F.col("y"), F.col("x")))
     (
-        placed.withColumn("block", F.shiftright("curve", 2 * block_bits))
+        placed.withColumn(block, F.shiftright("curve", 2 * block_bits))
         .hint("rebalance", *keys)
         .sortWithinPartitions(*keys, "curve", "t")
         .write.mode(mode)
@@ -70,7 +72,7 @@ def write_curve_cube(cube: DataFrame, path: str, mode="error", block_bits=BLOCK_
 
 
 def read_curve_cube(
-    spark: SparkSession, path: str, schema, ranges: DataFrame | None = None, block_bits=BLOCK_BITS
+    spark: SparkSession, path: str, schema, ranges: DataFrame | None = None
 ) -> DataFrame:
     """Scan of a curve-ordered cube, of the stretches ``tile, low, high`` of the curve only.
 
@@ -78,7 +80,11 @@ def read_curve_cube(
     rows; they become predicates on tile and block, which prune directories, and on ``curve``,
     which row groups are skipped by. More pixels than asked for may come back, never fewer.
     """
-    more = [("curve", T.LongType()), ("year", T.IntegerType()), ("block", T.LongType())]
+    block = next((c for c in spark.read.parquet(path).columns if c.startswith(BLOCK)), None)
+    if block is None:
+        raise ValueError(f"{path} is not a cube in curve order")
+    block_bits = int(block.removeprefix(BLOCK))
+    more = [("curve", T.LongType()), ("year", T.IntegerType()), (block, T.LongType())]
     stored = T.StructType([*schema.fields, *[T.StructField(*f) for f in more]])
     cube = spark.read.schema(stored).parquet(path)
     if ranges is not None:
@@ -87,7 +93,7 @@ def read_curve_cube(
             by_tile.setdefault(r.tile, []).append((r.low, r.high))
         wanted = [
             (F.col("tile") == tile)
-            & reduce(or_, [F.col("block").between(a >> 2 * block_bits, b >> 2 * block_bits) & F.col("curve").between(a, b) for a, b in spans])
+            & reduce(or_, [F.col(block).between(a >> 2 * block_bits, b >> 2 * block_bits) & F.col("curve").between(a, b) for a, b in spans])
             for tile, spans in sorted(by_tile.items())
         ]
         cube = cube.where(reduce(or_, wanted, F.lit(False)))

@@ -99,7 +99,7 @@ def test_regions_are_read_from_their_blocks_only(spark, tmp_path):
     schema = cube_schema(["v"])
     areas = boxes(spark, [("A", 1, 3.0, 3.0, 9.0, 6.0), ("A", 2, 40.0, 50.0, 44.0, 55.0), ("B", 3, 60.0, 0.0, 63.0, 3.0)])
     ranges = spatial.curve_ranges(areas, GRID)
-    stored = cubes.read_curve_cube(spark, path, schema, ranges, block_bits=3)
+    stored = cubes.read_curve_cube(spark, path, schema, ranges)
     found = spatial.sample_by_feature(stored, areas, GRID)
     key = ["roi", "tile", "y", "x", "v"]
     want = spatial.sample_by_feature(cube, areas, GRID)
