@@ -772,6 +772,47 @@ BODIES["crop_time_random"] = BODIES["crop_time"]
 BODIES["ingest_stream"] = "select modality, tile, patch_id, t, y, x, b02, b03, b04, b08 from usable_s2"
 
 
+CTES["weather"] = """
+select make_date(year(o_orderdate), 1, 1) as t, cast(o_orderkey % 24 as int) as y,
+  cast(floor(o_custkey / 3)::bigint % 24 as int) as x, min(o_totalprice)::double as temp,
+  max(o_totalprice)::double as rain
+from orders group by all"""
+CTES["warp_grids"] = """
+select 'S' || s_suppkey as tile, 430000 + (s_suppkey % 17) * 5003.0::double as x0,
+  5100000 + (s_suppkey % 13) * 7001.0::double as y0 from supplier"""
+CTES["warp_nodes"] = """
+select tile, jy, jx, (lon - 2.0::double) / 0.1::double - 0.5::double as sx,
+  (46.6::double - lat) / 0.1::double - 0.5::double as sy
+from (select tile, jy, jx, 3 + degrees(atan2(sinh(eta0), cos(xi0))) as lon,
+    degrees(chi + d1 * sin(2*chi) + d2 * sin(4*chi) + d3 * sin(6*chi)) as lat
+  from (select *, asin(sin(xi0) / cosh(eta0)) as chi
+    from (select *, xi - b1 * sin(2*xi) * cosh(2*eta) - b2 * sin(4*xi) * cosh(4*eta)
+        - b3 * sin(6*xi) * cosh(6*eta) as xi0,
+        eta - b1 * cos(2*xi) * sinh(2*eta) - b2 * cos(4*xi) * sinh(4*eta)
+        - b3 * cos(6*xi) * sinh(6*eta) as eta0
+      from (select *, (y0 - (jy * 8 + 0.5::double) * 2500) / k as xi,
+          (x0 + (jx * 8 + 0.5::double) * 2500 - 500000) / k as eta
+        from warp_grids, range(4) a(jy), range(4) b(jx), series_terms))))"""
+CTES["warp_pixels"] = """
+select tile, y, x, a.sy + (b.sy - a.sy) * fx + ((c.sy + (d.sy - c.sy) * fx) - (a.sy + (b.sy - a.sy) * fx)) * fy as sy,
+  a.sx + (b.sx - a.sx) * fx + ((c.sx + (d.sx - c.sx) * fx) - (a.sx + (b.sx - a.sx) * fx)) * fy as sx
+from (select y, x, y // 8 as cy, x // 8 as cx, (y % 8) / 8.0::double as fy, (x % 8) / 8.0::double as fx
+  from range(20) u(y), range(20) v(x)) p
+join warp_nodes a on a.jy = cy and a.jx = cx
+join warp_nodes b using (tile) join warp_nodes c using (tile) join warp_nodes d using (tile)
+where b.jy = cy and b.jx = cx + 1 and c.jy = cy + 1 and c.jx = cx and d.jy = cy + 1 and d.jx = cx + 1"""
+_WARP_DIGEST = """select tile, t, count(*) as n, round(sum(temp * (y * 20 + x + 1)), 1) as temp,
+  round(sum(rain * (y * 20 + x + 1)), 1) as rain"""
+BODIES["warp_near"] = f"""{_WARP_DIGEST.replace('1)), 1)', '1)), 2)')}
+from (select p.tile, p.y, p.x, t, temp, rain from warp_pixels p
+  join weather w on w.y = floor(sy + 0.5::double) and w.x = floor(sx + 0.5::double)) group by tile, t"""
+BODIES["warp_cubic"] = f"""{_WARP_DIGEST}
+from (select tile, y, x, t, sum(weight * temp) / sum(weight) as temp, sum(weight * rain) / sum(weight) as rain
+  from (select p.tile, p.y, p.x, t, temp, rain,
+      ({_keys_weight('abs(sy - w.y)')}) * ({_keys_weight('abs(sx - w.x)')}) as weight
+    from warp_pixels p, range(-1, 3) i(i), range(-1, 3) j(j), weather w
+    where w.y = floor(sy) + i and w.x = floor(sx) + j)
+  group by tile, y, x, t having sum(weight) >= 0.5::double) group by tile, t"""
 CTES["item_dates"] = f"""
 select m.modality, m.longest, d.* from (
     select p.tile, p.patch_id, p.t, sum(value) as s, count(*) filter (value > 0) as pos,

@@ -19,6 +19,7 @@ from skylattice.operators import (
     spatial,
     stats,
     timeline,
+    warp,
 )
 from skylattice.plans import convert as conv
 from skylattice.plans import cubes as cube_plans
@@ -603,6 +604,28 @@ def resample_near(spark, sf):
     return resample.resample_near(tb.coarse_grid(spark, sf), 3.0, 3 * rows, 60)
 
 
+WEATHER_GRID = warp.LonLatGrid(2.0, 46.6, 0.1)
+
+
+def _warped(spark, sf, bands, method, digits):
+    cube, grids = tb.weather(spark, sf), tb.warp_grids(spark, sf)
+    out = warp.warp_to(cube, bands, WEATHER_GRID, grids, ["t"], method).where(F.col(bands[0]).isNotNull())
+    place = F.col("y") * 20 + F.col("x") + 1
+    sums = [F.round(F.sum(F.col(b) * place), digits).alias(b) for b in bands]
+    return out.groupBy("tile", "t").agg(F.count("*").alias("n"), *sums)
+
+
+@query
+def warp_cubic(spark, sf):
+    """Weather of 0.1 degrees on metric grids whose origins differ."""
+    return _warped(spark, sf, ["temp", "rain"], "cubic", 1)
+
+
+@query
+def warp_near(spark, sf):
+    return _warped(spark, sf, ["temp", "rain"], "near", 2)
+
+
 @query
 def resample_resolution(spark, sf):
     rows = tb.table(spark, sf, "part").count() // 20

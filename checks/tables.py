@@ -113,6 +113,32 @@ def coarse_grid(spark, sf) -> DataFrame:
     )
 
 
+def weather(spark, sf) -> DataFrame:
+    """Yearly layers on a lon/lat grid of 0.1 degrees from orders: 24 x 24 cells with gaps."""
+    rows = table(spark, sf, "orders").select(
+        F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("t"),
+        (F.col("o_orderkey") % 24).cast("int").alias("y"),
+        (_div("o_custkey", 3) % 24).cast("int").alias("x"),
+        F.col("o_totalprice").cast("double").alias("v"),
+    )
+    return rows.groupBy("t", "y", "x").agg(F.min("v").alias("temp"), F.max("v").alias("rain"))
+
+
+def warp_grids(spark, sf) -> DataFrame:
+    """20 x 20 target grids of 2.5 km in UTM zone 31, one per supplier, each with its own origin."""
+    s = F.col("s_suppkey")
+    return table(spark, sf, "supplier").select(
+        F.concat(F.lit("S"), s.cast("string")).alias("tile"),
+        (F.lit(430000.0) + (s % 17) * 5003.0).alias("x0"),
+        (F.lit(5100000.0) + (s % 13) * 7001.0).alias("y0"),
+        F.lit(2500.0).alias("res"),
+        F.lit(20).alias("h"),
+        F.lit(20).alias("w"),
+        F.lit(31).alias("zone"),
+        F.lit(False).alias("south"),
+    )
+
+
 def frames(spark, sf) -> DataFrame:
     """8 x 8 single-band frames from embeddings; series have different lengths."""
     return table(spark, sf, "embeddings").select(
