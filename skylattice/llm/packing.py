@@ -8,6 +8,7 @@ fixed. Pieces then get their places by their rank within their bin.
 """
 
 import re
+import struct
 import zlib
 from functools import cache
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylattice.llm.text import WordTable, documents, slices
+from skylattice.llm.text import KNOWN_BYTES, WordTable, documents, slices
 from skylattice.session import settle
 
 WINDOW = 4096
@@ -24,6 +25,7 @@ STEP = 16  # tokens per bin: the most that a piece is padded by
 DEPTH = 3  # pieces in an enumerated combination
 END = 2  # id after each document
 RANK_ROWS = 4_000  # pieces that are ranked in one task, about
+KNOWN = 400_000  # words in each of an encoder's two generations
 SPECIAL = b"<|"  # texts with this go through the tokenizer whole: special tokens may span words
 
 
@@ -68,6 +70,30 @@ def _plain_words(tokenizer):
     return ids if right else None
 
 
+class RecentWords(WordTable):
+    """A word table that keeps what was asked for lately.
+
+    A full generation becomes the old one, and words that are asked for again move to the
+    new one, so that frequent words are never computed anew and memory stays bounded.
+    """
+
+    def __init__(self, value):
+        super().__init__(value)
+        self.old = {}
+
+    def __missing__(self, word):
+        found = self.old.get(word)
+        if found is None:
+            found = self.value(word)
+            if len(word) > KNOWN_BYTES:
+                return found
+        if len(self) >= KNOWN:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 def encoder(path: str):
     """A function from a text to its ids as little-endian unsigned 32-bit integers.
 
@@ -83,9 +109,9 @@ def encoder(path: str):
     def one(word):
         text = word.decode()
         ids = plain(text) if plain else None
-        return whole(text) if ids is None else np.array(ids, "<u4").tobytes()
+        return whole(text) if ids is None else struct.pack(f"<{len(ids)}I", *ids)
 
-    known = WordTable(one)
+    known = RecentWords(one)
 
     def encode(text: str) -> bytes:
         data = text.encode("utf-8", "replace")
