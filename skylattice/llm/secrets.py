@@ -31,6 +31,7 @@ RULES = {
     "pem": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
 }
 BASE = ("assign", "access", "hex")
+CHUNK = 256  # spans that are gathered before they are set aside: appending copies what it appends to
 
 
 def build_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
@@ -79,19 +80,23 @@ def rule_spans(text: Column, kind: int, pattern: str, group: int, least: int) ->
         F.transform(found, lambda x: F.length(x)).alias("size"),
         F.transform(measured, lambda x: F.length(x)).alias("measure"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,measure:int>>").alias("out"))
+    spans = "array<struct<start:int,kind:int,end:int>>"
+    none = F.array().cast(spans)
+    start = F.struct(F.lit(0).alias("at"), none.alias("last"), F.array().cast(f"array<{spans}>").alias("full"))
 
     def step(acc, x):
         begin = acc["at"] + x["gap"]
         end = begin + x["size"]
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["measure"].alias("measure"))
-        return F.struct(F.coalesce(end, begin).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        long = end.isNotNull() & (x["measure"] >= least)
+        crowded = long & (F.size(acc["last"]) >= CHUNK)
+        return F.struct(
+            F.coalesce(end, begin).alias("at"),
+            F.when(crowded, F.array(span)).when(long, F.concat(acc["last"], F.array(span))).otherwise(acc["last"]).alias("last"),
+            F.when(crowded, F.concat(acc["full"], F.array(acc["last"]))).otherwise(acc["full"]).alias("full"),
+        )
 
-    spans = F.aggregate(lengths, start, step)["out"]
-    return F.transform(
-        F.filter(spans, lambda s: s["end"].isNotNull() & (s["measure"] >= least)),
-        lambda s: F.struct(s["start"], s["kind"], s["end"]),
-    )
+    return F.aggregate(lengths, start, step, lambda acc: F.concat(F.flatten(acc["full"]), acc["last"]))
 
 
 def scan(docs: DataFrame, rules: dict = RULES) -> DataFrame:

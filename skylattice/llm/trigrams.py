@@ -7,6 +7,7 @@ which must occur in the lower-cased text. A string occurs only where all its tri
 from re import _constants as op
 from re import _parser
 
+MEMBERS = 5  # a class of more members than this is not followed
 WIDE = 64  # more strings than this in a clause are not followed further
 
 
@@ -68,11 +69,11 @@ def _members(value) -> set[str] | None:
     for kind, x in value:
         if kind is op.LITERAL:
             found.add(chr(x).lower())
-        elif kind is op.RANGE and x[1] - x[0] < 4:
+        elif kind is op.RANGE and x[1] - x[0] < MEMBERS:
             found |= {chr(c).lower() for c in range(x[0], x[1] + 1)}
         else:
             return None
-    return found if len(found) <= 4 else None
+    return found if len(found) <= MEMBERS else None
 
 
 def clauses(pattern: str) -> list[set[str]]:

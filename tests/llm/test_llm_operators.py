@@ -265,10 +265,31 @@ def test_trigram_queries():
     assert clauses("AKIA[A-Z0-9]+") == [{"akia"}]
     assert clauses("[0-9a-f]+") == []
     assert clauses(secrets.ASSIGN) == [{"password", "passwd", "secret", "token", "apikey", "api_key"}]
-    assert clauses("gh[oprsu]_[a-z]+") == []
+    assert clauses("gh[oprsu]_[a-z]+") == [{f"gh{c}_" for c in "oprsu"}]
+    assert clauses("gh[a-z]_[a-z]+") == []  # a wide class leaves two letters
     assert clauses("(abc)+x(def)?") == [{"abc"}]
 
 
+def test_secrets_of_long_texts(spark):
+    """Many short runs are passed over, and more spans than a chunk are all found, in order."""
+    key, prose = "0123456789abcdef" * 2, "a deaf bee faded, a bad cab " * 40_000
+    texts = [(1, prose + key + prose), (2, f"{key} x " * 3_000), (3, f"{key} x " * secrets.CHUNK), (4, f"{key} x " * (secrets.CHUNK + 1))]
+    found = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for doc_id, text in texts:
+        want = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        assert [(s.start, s.end) for s in found[doc_id]] == want
+
+
+def test_packing_words_that_come_again(monkeypatch):
+    """Generations change with every third word; ids stay those of the whole text."""
+    monkeypatch.setattr(packing, "KNOWN", 3)
+    path = packing.tokenizer_path()
+    text = "the cat, the dog; the cat the bird the cat, Über the ÉTÉ! the cat niño " + "z" * 70 + " the cat,"
+    whole = packing._tokenizer(path).encode(text, add_special_tokens=False).ids
+    encode = packing.encoder(path)
+    assert all(np.frombuffer(encode(text), "<u4").tolist() == whole for _ in range(3))
+
+
 def test_mixing_targets(docs, rows):
     found, spans = mixing.mix(docs)
     found = found.withColumn("key", F.coalesce("source", F.lit("~"))).collect()
