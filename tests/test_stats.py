@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skylattice.operators import normalize, quantiles, stats
 from skylattice.operators.quantiles import Quantile, exact_quantiles
+from skylattice.operators.sketches import refined_quantiles, sketch
 from skylattice.plans import statistics
 from skylattice.sources import stats_files
 
@@ -50,12 +51,10 @@ def test_quantiles_are_exact(spark, method):
         assert got[g] == pytest.approx(expected(vs), rel=1e-9), g
 
 
-def test_located_does_not_depend_on_the_sketch(spark):
-    """With a sketch this coarse the brackets miss; the result is exact all the same."""
-    df = values_df(spark, GROUPS).select("g", F.col("v").alias("value"))
-    df = df.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    brackets = quantiles._brackets(df, ["g"], QS, accuracy=3)
-    out = quantiles._located(df, ["g"], QS, brackets, cells=4)
+def test_located_does_not_depend_on_the_cells(spark):
+    """With cells divided this coarsely many rounds follow; the result is exact all the same."""
+    df = values_df(spark, GROUPS)
+    out = refined_quantiles(df, sketch(df, ["g"], "v"), ["g"], "v", QS, most=5, parts=64)
     for r in out.collect():
         assert [r.med, r.low, r.a, r.z] == pytest.approx(expected(GROUPS[r.g]), rel=1e-9), r.g
 
@@ -68,7 +67,7 @@ def test_groups_of_any_size_are_located(spark, monkeypatch):
 
 
 def test_small_integers_need_no_sketch(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "_brackets", None)
+    monkeypatch.setattr(quantiles, "sketch", None)
     df = spark.range(1000).select(F.lit("a").alias("g"), (F.col("id") % 7).cast("smallint").alias("v"))
     assert exact_quantiles(df, ["g"], "v", QS).first().med == 3.0
 
