@@ -31,7 +31,7 @@ from skylattice.session import new_folder
 from skylattice.sources import catalog, manifests, rois, stats_files
 from skylattice.sources import cubes as cube_files
 from skylattice.sources.items import ItemStore
-from skylattice.streaming import ingest
+from skylattice.streaming import ingest, sketch_store
 
 SEED = 7
 MAX_CLOUD = 0.5
@@ -1119,6 +1119,28 @@ def sample_stats(spark, sf):
     return _rounded(table, ["vv", "vh", "ratio"]).drop("modality")
 
 
+@query
+def stored_sample_stats(spark, sf):
+    """Stored samples drawn on their keys; statistics of their top-left windows."""
+    table = statistics.stored_sample_stats(tb.frames(spark, sf), ["pixels"], 3, SEED, 4)
+    return _rounded(table, ["pixels"]).drop("modality")
+
+
+@query
+def sketched_stats(spark, sf):
+    """Files arrive in two parts, each sketched when it comes; exact figures start from the sketches."""
+    cube, folder = tb.cube_s2(spark, sf), new_folder(spark, "sketched")
+    store = sketch_store.SketchStore(new_folder(spark, "sketches"))
+    later = F.col("tile") == "T2"
+    for part in (cube.where(~later), cube.where(later)):
+        part.write.mode("append").parquet(folder)
+        source = spark.readStream.schema(cube.schema).parquet(folder)
+        sketch_store.sketch_new_files(source, store, OPTICAL_BANDS, ["modality"]).awaitTermination()
+    stored = spark.read.schema(cube.schema).parquet(folder)
+    out = sketch_store.stored_stats(spark, store, OPTICAL_BANDS, ["modality"], cube=stored)
+    return _rounded(out, stats.STAT_NAMES)
+
+
 @query
 def clip_scenes(spark, sf):
     cut = regions.clip_scenes(
