@@ -42,7 +42,7 @@ def to_frames(cube, bands, h: int, w: int, fill=0, complete=False, fills=None) -
     is collected per frame is the grid and not the rows. Pixels that are absent or NULL
     become ``fill``, or what ``fills`` names for a band. A pixel off the grid is an error.
     ``complete`` promises that every frame has all its pixels, which spares
-    laying out the empty grid.
+    looking for absent ones. The cube is read once.
     """
     keys = frame_keys(cube)
     on_grid = F.col("y").between(0, h - 1) & F.col("x").between(0, w - 1)
@@ -51,14 +51,15 @@ def to_frames(cube, bands, h: int, w: int, fill=0, complete=False, fills=None) -
         F.raise_error(off).cast("int")
     )
     rows = cube.select(*keys, pos.alias("pos"), *bands)
-    if not complete:
-        empty = rows.select(*keys).distinct().withColumn(
-            "pos", F.explode(F.sequence(F.lit(0), F.lit(h * w - 1)))
-        )
-        rows = rows.unionByName(empty, allowMissingColumns=True)
     pixels = rows.groupBy(*keys, "pos").agg(*[F.max(b).alias(b) for b in bands])
-    grid = F.array_sort(F.collect_list(F.struct("pos", *bands)))
-    frames = pixels.groupBy(*keys).agg(grid.alias("_grid"))
+    frames = pixels.groupBy(*keys).agg(F.collect_list(F.struct("pos", *bands)).alias("_grid"))
+    if not complete:
+        # absent pixels are laid out within the frame's row: none of them is shuffled
+        absent = F.array_except(F.sequence(F.lit(0), F.lit(h * w - 1)), F.col("_grid.pos"))
+        nothing = [F.lit(None).cast(cube.schema[b].dataType).alias(b) for b in bands]
+        absent = F.transform(absent, lambda p: F.struct(p.alias("pos"), *nothing))
+        frames = frames.withColumn("_grid", F.concat("_grid", absent))
+    frames = frames.withColumn("_grid", F.array_sort("_grid"))
 
     def layer(band: str) -> Column:
         values = F.col("_grid")[band]

@@ -264,3 +264,18 @@ def test_one_hot_frame(spark):
         for c in (raw(spark), many)
     )
     assert plain == heavy
+
+
+def test_frames_read_the_cube_once(spark, tmp_path):
+    """Absent pixels are laid out after the exchanges: the plan has one scan and no union."""
+    rows = [("T1", 1, "s2", dt.date(2018, 1, 1), y, x, float(y * 3 + x), None) for y in range(2) for x in range(2)]
+    rows.append(("T1", 1, "s2", dt.date(2018, 1, 2), 2, 2, None, 5))
+    schema = "tile string, patch_id int, modality string, t date, y int, x int, a double, b int"
+    path = str(tmp_path / "cube")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    out = samples.to_frames(spark.read.parquet(path), ["a", "b"], 3, 3, fill=-1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    found = {r.t.day: (r.a, r.b) for r in out.collect()}
+    assert found[1] == ([0.0, 1.0, -1.0, 3.0, 4.0, -1.0, -1.0, -1.0, -1.0], [-1] * 9)
+    assert found[2] == ([-1.0] * 9, [-1] * 8 + [5])
