@@ -769,15 +769,6 @@ select s_suppkey, '{"properties":{"title":"Sentinel2_' || s_name ||
   s_suppkey || '"},"stac.json":{"href":"s"}}}' as manifest
 from supplier"""
 BODIES["crop_time_random"] = BODIES["crop_time"]
-BODIES["sketched_stats"] = BODIES["band_stats_located"]
-BODIES["stored_sample_stats"] = f"""select stat, round(v, 6) as pixels
-from (unpivot (select quantile_disc(value::double, 0.5) as med, quantile_cont(value::double, 0.05) as qmin,
-    quantile_cont(value::double, 0.95) as qmax
-  from frame_pixels
-  semi join (select tile, patch_id from (select distinct tile, patch_id from frames)
-    qualify row_number() over (partition by tile
-      order by {_rank_hash('scenes', "tile || '/' || patch_id")}, tile || '/' || patch_id) <= 3) using (tile, patch_id)
-  where y < 4 and x < 4) on med, qmin, qmax into name stat value v)"""
 BODIES["ingest_stream"] = "select modality, tile, patch_id, t, y, x, b02, b03, b04, b08 from usable_s2"
 
 
