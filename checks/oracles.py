@@ -772,7 +772,7 @@ BODIES["crop_time_random"] = BODIES["crop_time"]
 BODIES["ingest_stream"] = "select modality, tile, patch_id, t, y, x, b02, b03, b04, b08 from usable_s2"
 
 
-CTES["weather"] = """
+CTES["weather_grid"] = """
 select make_date(year(o_orderdate), 1, 1) as t, cast(o_orderkey % 24 as int) as y,
   cast(floor(o_custkey / 3)::bigint % 24 as int) as x, min(o_totalprice)::double as temp,
   max(o_totalprice)::double as rain
@@ -805,12 +805,12 @@ _WARP_DIGEST = """select tile, t, count(*) as n, round(sum(temp * (y * 20 + x +
   round(sum(rain * (y * 20 + x + 1)), 1) as rain"""
 BODIES["warp_near"] = f"""{_WARP_DIGEST.replace('1)), 1)', '1)), 2)')}
 from (select p.tile, p.y, p.x, t, temp, rain from warp_pixels p
-  join weather w on w.y = floor(sy + 0.5::double) and w.x = floor(sx + 0.5::double)) group by tile, t"""
+  join weather_grid w on w.y = floor(sy + 0.5::double) and w.x = floor(sx + 0.5::double)) group by tile, t"""
 BODIES["warp_cubic"] = f"""{_WARP_DIGEST}
 from (select tile, y, x, t, sum(weight * temp) / sum(weight) as temp, sum(weight * rain) / sum(weight) as rain
   from (select p.tile, p.y, p.x, t, temp, rain,
       ({_keys_weight('abs(sy - w.y)')}) * ({_keys_weight('abs(sx - w.x)')}) as weight
-    from warp_pixels p, range(-1, 3) i(i), range(-1, 3) j(j), weather w
+    from warp_pixels p, range(-1, 3) i(i), range(-1, 3) j(j), weather_grid w
     where w.y = floor(sy) + i and w.x = floor(sx) + j)
   group by tile, y, x, t having sum(weight) >= 0.5::double) group by tile, t"""
 CTES["item_dates"] = f"""

@@ -608,7 +608,7 @@ WEATHER_GRID = warp.LonLatGrid(2.0, 46.6, 0.1)
 
 
 def _warped(spark, sf, bands, method, digits):
-    cube, grids = tb.weather(spark, sf), tb.warp_grids(spark, sf)
+    cube, grids = tb.weather_grid(spark, sf), tb.warp_grids(spark, sf)
     out = warp.warp_to(cube, bands, WEATHER_GRID, grids, ["t"], method).where(F.col(bands[0]).isNotNull())
     place = F.col("y") * 20 + F.col("x") + 1
     sums = [F.round(F.sum(F.col(b) * place), digits).alias(b) for b in bands]

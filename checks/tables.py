@@ -113,7 +113,7 @@ def coarse_grid(spark, sf) -> DataFrame:
     )
 
 
-def weather(spark, sf) -> DataFrame:
+def weather_grid(spark, sf) -> DataFrame:
     """Yearly layers on a lon/lat grid of 0.1 degrees from orders: 24 x 24 cells with gaps."""
     rows = table(spark, sf, "orders").select(
         F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("t"),
