@@ -769,7 +769,39 @@ select s_suppkey, '{"properties":{"title":"Sentinel2_' || s_name ||
   s_suppkey || '"},"stac.json":{"href":"s"}}}' as manifest
 from supplier"""
 BODIES["crop_time_random"] = BODIES["crop_time"]
+CTES["deliveries"] = """
+select *, t >= '1998-01-01' and t < '2001-01-01' as one, month(t) < 10 and t >= '1996-06-01' as two
+from unique_s2"""
+CTES["first_limit"] = "select max(t) - 1500 as after_one from deliveries where one"
+CTES["second_limit"] = """
+select after_one, max(t) - 1500 as after_two from deliveries, first_limit
+where one or (two and t >= after_one) group by after_one"""
+CTES["delivered"] = """
+select d.*, one or (two and t >= after_one) or t >= after_two as taken,
+  (two and t < after_one) or t < after_two as late
+from deliveries d, second_limit"""
 BODIES["ingest_stream"] = "select modality, tile, patch_id, t, y, x, b02, b03, b04, b08 from usable_s2"
+CTES["files"] = """
+select tile, patch_id, t, y, x, b02, case when x = i * 3 then b03 + i else b03 end as b03
+from unique_s2, range(3) r(i)
+where (i = 0 and month(t) <= 5) or (i = 1 and month(t) >= 4 and t < '1998-01-01') or (i = 2 and y % 3 = 0)"""
+BODIES["merge_into_stored"] = """select tile, patch_id, t, y, x,
+  case when min(b02) = max(b02) then min(b02) end as b02,
+  case when min(b03) = max(b03) then min(b03) end as b03 from files group by all"""
+BODIES["merge_into_conflicts"] = """select tile, patch_id, t, y, x, 'b03' as band from files group by all
+having min(b03) <> max(b03)"""
+BODIES["load_collection_stored"] = """select tile, patch_id, t, y, x, b04, b02 from unique_s2
+where t >= '1996-03-01' and t < '1998-01-01' and tile in (
+  select 'T' || (s_suppkey % 5) from supplier where s_suppkey % 5 < 3)"""
+BODIES["ingest_redelivered"] = """
+select modality, tile, patch_id, t, y, x, b02, b03, b04, b08, false as late
+from (select * from delivered where taken) join (
+  select modality, tile, patch_id, t from delivered where taken group by all
+  having count(*) filter (b02 is null) < 0.3::double * count(*)
+    and sum(clm) < 0.5::double * count(*) and count(*) filter (scl = 0) < 0.5::double * count(*))
+  using (modality, tile, patch_id, t)
+union all
+select modality, tile, patch_id, t, y, x, b02, b03, b04, b08, true from delivered where late"""
 
 
 CTES["weather_grid"] = """

@@ -28,7 +28,7 @@ from skylattice.plans import load, regions, statistics
 from skylattice.plans.items import ItemOption
 from skylattice.schema import FRAME, PIXEL, cube_schema
 from skylattice.session import new_folder
-from skylattice.sources import catalog, manifests, rois, stats_files
+from skylattice.sources import catalog, manifests, rois, series, stats_files
 from skylattice.sources import cubes as cube_files
 from skylattice.sources.items import ItemStore
 from skylattice.streaming import ingest
@@ -93,6 +93,33 @@ def merge_conflicts(spark, sf):
     return merge.merge_conflicts(cube).drop("modality")
 
 
+FILES = ("month(t) <= 5", "month(t) >= 4 and t < '1998-01-01'", "y % 3 = 0")
+
+
+def _merged_files(spark, sf):
+    """Three overlapping deliveries merged into a stored cube, one after the other."""
+    raw = tb.unique_s2(spark, sf)
+    cube = select.select_bands(raw, ["b02", "b03"])
+    path = new_folder(spark, "series")
+    for i, part in enumerate(FILES):
+        # the last one says otherwise for some pixels
+        b03 = F.when(F.col("x") == i * 3, F.col("b03") + i).otherwise(F.col("b03"))
+        series.merge_into(cube.where(part).withColumn("b03", b03), path)
+    return path, cube.schema
+
+
+@query
+def merge_into_stored(spark, sf):
+    path, schema = _merged_files(spark, sf)
+    return cube_files.read_cube(spark, path, schema).drop("modality", "year")
+
+
+@query
+def merge_into_conflicts(spark, sf):
+    path, schema = _merged_files(spark, sf)
+    return series.stored_conflicts(spark, path, schema).drop("modality", "year")
+
+
 @query
 def pending(spark, sf):
     work = tb.cube_s2(spark, sf).select(*FRAME).distinct()
@@ -206,6 +233,16 @@ def load_collection(spark, sf):
     return cube.drop("modality")
 
 
+@query
+def load_collection_stored(spark, sf):
+    """Dates and the tiles of the regions, of a stored cube."""
+    cube = tb.unique_s2(spark, sf)
+    path = cube_files.write_cube(cube, new_folder(spark, "cube"))
+    stored = cube_files.read_cube(spark, path, cube.schema, "s2")
+    regions = tb.rois(spark, sf).where("tile < 'T3'")
+    return select.load_collection(stored, "1996-03-01", "1998-01-01", ["b04", "b02"], regions).drop("modality")
+
+
 @query
 def filter_props(spark, sf):
     return select.filter_props(
@@ -1315,3 +1352,18 @@ def ingest_stream(spark, sf):
     ingest.ingest_stream(source, target, OPTICAL_BANDS, "b02").awaitTermination()
     usable = ingest.ingested_usable(spark, target, 0.3, MAX_CLOUD)
     return usable.select(*PIXEL, *OPTICAL_BANDS)
+
+
+@query
+def ingest_redelivered(spark, sf):
+    """Years in three deliveries that repeat earlier ones; the first years come after the watermark."""
+    target = ingest.IngestTarget(new_folder(spark, "ingest"))
+    staged = new_folder(spark, "arrivals")
+    cube = tb.unique_s2(spark, sf)
+    for arrives in ("t >= '1998-01-01' and t < '2001-01-01'", "month(t) < 10 and t >= '1996-06-01'", "true"):
+        cube.where(arrives).write.mode("append").parquet(staged)
+        source = spark.readStream.schema(cube.schema).parquet(staged)
+        ingest.ingest_stream(source, target, OPTICAL_BANDS, "b02", delay_days=1500).awaitTermination()
+    usable = ingest.ingested_usable(spark, target, 0.3, MAX_CLOUD).withColumn("late", F.lit(False))
+    late = ingest.ingested_late(spark, target).withColumn("late", F.lit(True))
+    return merge.union_all(usable, late).select(*PIXEL, *OPTICAL_BANDS, "late")

@@ -9,21 +9,42 @@ from pyspark.sql import functions as F
 
 from skylattice.constants import OPTIONS, WEATHER_SHORT_NAMES
 from skylattice.schema import PIXEL
+from skylattice.session import settle
 
 
 def _keys(cube: DataFrame) -> list[str]:
     return [c for c in PIXEL if c in cube.columns]
 
 
-def load_collection(cube, start=None, end=None, bands=None) -> DataFrame:
-    """Dates in the half-open range [start, end) and the listed bands."""
+def load_collection(cube, start=None, end=None, bands=None, tiles: DataFrame | None = None) -> DataFrame:
+    """Dates in the half-open range [start, end), the listed bands and the tiles of ``tiles``.
+
+    Of a stored cube, whose directories are years, the range is also stated on ``year``, so
+    that directories outside it are not listed.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    stored = "year" in cube.columns
     if start is not None:
-        cube = cube.where(F.col("t") >= F.lit(start).cast("date"))
+        cube = cube.where(F.col("t") >= first)
+        cube = cube.where(F.col("year") >= F.year(first)) if stored else cube
     if end is not None:
-        cube = cube.where(F.col("t") < F.lit(end).cast("date"))
+        cube = cube.where(F.col("t") < last)
+        cube = cube.where(F.col("year") <= F.year(F.date_sub(last, 1))) if stored else cube
+    if tiles is not None:
+        cube = of_tiles(cube, tiles)
     return cube if bands is None else select_bands(cube, bands)
 
 
+def of_tiles(cube: DataFrame, tiles: DataFrame, keys=("tile",)) -> DataFrame:
+    """Rows whose tile (or other ``keys``) occurs in ``tiles``.
+
+    The distinct keys are written first. While they are small enough to be broadcast, the
+    predicate on their count lets Spark prune a stored cube's directories by them at run time.
+    """
+    wanted = settle(tiles.groupBy(*keys).agg(F.count("*").alias("n")), "tiles").where("n > 0")
+    return cube.join(wanted, list(keys), "left_semi")
+
+
 def filter_props(cube: DataFrame, props: dict) -> DataFrame:
     """Keep rows whose scene properties equal the given values."""
     for name, value in props.items():

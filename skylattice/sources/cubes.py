@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from skylattice.functions.curve import position
 
+DIRECTORIES = ["modality", "tile", "year"]
 BLOCK = "block_"
 BLOCK_BITS = 9  # a block of a curve-ordered cube is a square of 2^9 pixels
 
@@ -20,17 +21,19 @@ def write_cube(cube: DataFrame, path: str, mode="error") -> str:
     one task, so a hot tile becomes several files. Rows are sorted by patch and date within
     each task, which gives row groups narrow ranges to skip by.
     """
-    (
-        cube.withColumn("year", F.year("t"))
-        .hint("rebalance", "modality", "tile", "year")
-        .sortWithinPartitions("modality", "tile", "year", "patch_id", "t")
-        .write.mode(mode)
-        .partitionBy("modality", "tile", "year")
-        .parquet(path)
-    )
+    by_year(cube.withColumn("year", F.year("t"))).mode(mode).parquet(path)
     return path
 
 
+def by_year(rows: DataFrame):
+    """Writer of rows that have their ``year``."""
+    return (
+        rows.hint("rebalance", *DIRECTORIES)
+        .sortWithinPartitions(*DIRECTORIES, "patch_id", "t")
+        .write.partitionBy(*DIRECTORIES)
+    )
+
+
 def read_cube(
     spark: SparkSession, path: str, schema, modality=None, tiles=None, years=None
 ) -> DataFrame:

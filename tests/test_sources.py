@@ -222,6 +222,71 @@ def test_stream_equals_batch_over_several_runs(spark, tmp_path):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def deliver(spark, rows, source, target, delay_days):
+    rows.repartition(2).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(cube(spark).schema).parquet(source)
+    ingest.ingest_stream(stream, target, ["b02"], "b02", delay_days=delay_days).awaitTermination()
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_repeated_deliveries_change_nothing(spark, tmp_path):
+    """A file twice in one batch and again in later ones, with a layer that has no date."""
+    source, target = str(tmp_path / "in"), ingest.IngestTarget(str(tmp_path / "out"))
+    static = cube(spark, 4).withColumn("t", F.lit(None).cast("date")).withColumn("modality", F.lit("dem"))
+    everything = cube(spark).unionByName(static)
+    early = everything.where("t is null or t < '2018-03-01'")
+    deliver(spark, early.unionByName(early), source, target, 400)
+    deliver(spark, early, source, target, 400)
+    deliver(spark, everything, source, target, 400)
+    back = ingest.ingested_pixels(spark, target)
+    assert rows_of(back) == rows_of(everything)
+    want = quality.date_quality(everything, "b02", "clm", "scl")
+    assert rows_of(ingest.ingested_quality(spark, target).select(want.columns)) == rows_of(want)
+    assert ingest.ingested_late(spark, target).count() == ingest.ingested_revised(spark, target).count() == 0
+
+
+def test_late_and_revised_rows_are_listed(spark, tmp_path):
+    source, target = str(tmp_path / "in"), ingest.IngestTarget(str(tmp_path / "out"))
+    young = cube(spark).where("t >= '2018-01-01'")
+    deliver(spark, young, source, target, 30)
+    # the latest date is 2018-05-30: rows before 2018-04-30 are late from now on
+    other = young.where("x = 1").withColumn("b02", F.col("b02") + 1000)
+    old = cube(spark).where("t < '2018-01-01'")
+    deliver(spark, old.unionByName(old).unionByName(other), source, target, 30)
+    assert rows_of(ingest.ingested_pixels(spark, target)) == rows_of(young)
+    late = old.unionByName(other.where("t < '2018-04-30'"))
+    assert rows_of(ingest.ingested_late(spark, target)) == rows_of(late)
+    revised = other.where("t >= '2018-04-30' and b02 is not null")
+    assert rows_of(ingest.ingested_revised(spark, target)) == rows_of(revised) != []
+
+
+def test_rows_of_one_batch_that_differ(spark, tmp_path):
+    source, target = str(tmp_path / "in"), ingest.IngestTarget(str(tmp_path / "out"))
+    more = cube(spark).where("x = 2").withColumn("b02", F.col("b02") + 1000)
+    deliver(spark, cube(spark).unionByName(more), source, target, 30)
+    assert rows_of(ingest.ingested_pixels(spark, target)) == rows_of(cube(spark))
+    assert rows_of(ingest.ingested_revised(spark, target)) == rows_of(more.where("b02 is not null"))
+
+
+def test_pixels_that_never_came_are_missing(spark, tmp_path):
+    source, target = str(tmp_path / "in"), ingest.IngestTarget(str(tmp_path / "out"))
+    for part in (0, 1):
+        deliver(spark, cube(spark).where(F.col("x") % 2 == part), source, target, 400)
+    want = quality.date_quality(cube(spark), "b02", "clm", "scl", area=6)
+    got = ingest.ingested_quality(spark, target, area=6).select(want.columns)
+    assert rows_of(got) == rows_of(want)
+
+
+def test_a_batch_without_counts_is_not_read(spark, tmp_path):
+    source, target = str(tmp_path / "in"), ingest.IngestTarget(str(tmp_path / "out"))
+    deliver(spark, cube(spark), source, target, None)
+    cube(spark).write.parquet(f"{target.pixels}/batch=1")
+    assert ingest.ingested_pixels(spark, target).count() == 40
+
+
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
