@@ -793,6 +793,45 @@ having min(b03) <> max(b03)"""
 BODIES["load_collection_stored"] = """select tile, patch_id, t, y, x, b04, b02 from unique_s2
 where t >= '1996-03-01' and t < '1998-01-01' and tile in (
   select 'T' || (s_suppkey % 5) from supplier where s_suppkey % 5 < 3)"""
+CTES["dense_pixels"] = """
+select 's2' as modality, tile, patch_id, t, y, x, value as v, (value > 0.1::double)::int as clm
+from frame_pixels where value >= -0.065::double
+union all
+select 's1_asc', tile, patch_id, t, y, x, value * 3, null from frame_pixels where value >= -0.075::double
+union all
+select 'dem', tile, patch_id, null, y, x, max(value), null from frame_pixels group by all"""
+CTES["dense_counts"] = """
+select modality, tile, patch_id, t, count(v) > 0.7::double * 64 as whole, coalesce(sum(clm), 0) < 0.12::double * 64 as clear
+from dense_pixels group by all"""
+CTES["dense_crops"] = """
+select d.modality, d.tile, d.patch_id, d.t, y // 4 as crop_id, round(sum(v), 3) as total,
+  (16 - count(v))::int as n_nan, any_value(whole) as whole, any_value(clear) as clear
+from dense_pixels d join dense_counts c on d.modality = c.modality and d.tile = c.tile
+  and d.patch_id = c.patch_id and d.t is not distinct from c.t
+where y // 4 = x // 4 group by all"""
+BODIES["convert_whole"] = """select tile, patch_id, modality, t, crop_id, total, n_nan from dense_crops
+where modality <> 's2' or (whole and clear)"""
+BODIES["yearly_whole"] = """select tile, patch_id, modality, t, crop_id, cast(year(t) as int) as year, total, n_nan
+from dense_crops where year(t) in (2016, 2017) and (modality <> 's2' or (whole and clear))"""
+CTES["dense_windows"] = """
+select tile, patch_id, rep, win_start, win_start + days as win_end from (
+  select *, date '2017-01-01' + cast(floor(u2 *
+    (date_diff('day', date '2017-01-01', date '2018-06-30') - days + 1)) as int) as win_start
+  from (select *, 30 * (6 + cast(floor(u1 * 7) as int)) as days from (
+    select *, {u1} as u1, {u2} as u2
+    from (select distinct tile, patch_id from frames), (select cast(i as int) as rep from range(4) r(i)))))
+""".format(
+    u1=_u("months", "tile", "patch_id", "rep"), u2=_u("start", "tile", "patch_id", "rep")
+)
+BODIES["windows_whole"] = """select tile, patch_id, modality, t, crop_id, rep, total, n_nan
+from dense_crops join dense_windows using (tile, patch_id)
+where (t is null or t between win_start and win_end) and (modality = 'dem' or whole)
+  and (modality <> 's2' or clear)"""
+BODIES["crop_time_many"] = """select modality, tile, patch_id, rep, win_start, count(*) as n,
+  count(distinct t) as dates, max(t) as last
+from dense_pixels join (select distinct tile, patch_id from frames) using (tile, patch_id)
+join (select cast(i as int) as rep, date '2016-11-20' + cast(i * 23 as int) as win_start from range(20) r(i))
+  on t is null or (t >= win_start and t <= win_start + rep * 9 - 9) group by all"""
 BODIES["ingest_redelivered"] = """
 select modality, tile, patch_id, t, y, x, b02, b03, b04, b08, false as late
 from (select * from delivered where taken) join (

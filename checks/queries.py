@@ -959,6 +959,47 @@ def yearly_convert(spark, sf):
     return _modal_sums(fr)
 
 
+DENSE = [conv.Modality("s2", ["v"], "v", "clm", "scl", "double"), conv.Modality("s1_asc", ["v"]), conv.Modality("dem", ["v"])]
+
+
+def _dense_sums(fr):
+    total = F.aggregate("v", F.lit(0.0), lambda acc, v: acc + v)
+    nan = F.aggregate(F.col("mask_nan").cast("array<int>"), F.lit(0), lambda acc, v: acc + v)
+    return fr.select(*samples.frame_keys(fr), F.round(total, 3).alias("total"), nan.alias("n_nan"))
+
+
+@query
+def convert_whole(spark, sf):
+    """Dates judged on whole frames: absent pixels are missing ones."""
+    return _dense_sums(conv.convert(tb.dense_cube(spark, sf), DENSE, 8, 8, 4, max_cloud=0.12))
+
+
+@query
+def yearly_whole(spark, sf):
+    return _dense_sums(conv.yearly_convert(tb.dense_cube(spark, sf), DENSE[:2], [2016, 2017], 8, 8, 4, 0.12))
+
+
+@query
+def windows_whole(spark, sf):
+    """Random windows over whole frames; the layer without a date is part of each repetition."""
+    fr = conv.multimodal_windows(
+        tb.dense_cube(spark, sf), DENSE, 8, 8, 4, SEED, begin="2017-01-01", end="2018-06-30", max_cloud=0.12
+    )
+    return _dense_sums(fr)
+
+
+@query
+def crop_time_many(spark, sf):
+    """Overlapping windows per item, the first one empty, and layers without a date."""
+    starts = F.date_add(F.lit("2016-11-20").cast("date"), F.col("rep") * 23)
+    windows = timeline.repeat_items(tb.frames(spark, sf).select("tile", "patch_id").distinct(), 20)
+    windows = windows.withColumn("win_start", starts).withColumn("win_end", F.date_add(starts, F.col("rep") * 9 - 9))
+    cut = timeline.crop_time(tb.dense_cube(spark, sf), windows)
+    return cut.groupBy("modality", "tile", "patch_id", "rep", "win_start").agg(
+        F.count("*").alias("n"), F.count_distinct("t").alias("dates"), F.max("t").alias("last")
+    )
+
+
 def _modal_sums(fr):
     keys = samples.frame_keys(fr)
     value = F.coalesce("b03", "vv")

@@ -152,6 +152,28 @@ def frames(spark, sf) -> DataFrame:
     )
 
 
+def dense_cube(spark, sf) -> DataFrame:
+    """Cube of nearly whole 8 x 8 frames, from embeddings: optical and radar dates with absent
+    pixels, and one layer without a date per patch."""
+    pixels = frames(spark, sf).select("tile", "patch_id", "t", F.posexplode("pixels").alias("pos", "e"))
+    pixels = pixels.withColumns(
+        {"y": _div("pos", 8).cast("int"), "x": (F.col("pos") % 8).cast("int"), "v": F.col("e").cast("double")}
+    )
+    where = ["y", "x"]
+    cloud = F.when(F.col("v") > 0.1, 1).otherwise(0).alias("clm")
+
+    def layer(name, rows, value):
+        return rows.select(F.lit(name).alias("modality"), "tile", "patch_id", "t", *where, value.alias("v"), cloud, F.lit(4).alias("scl"))
+
+    static = pixels.groupBy("tile", "patch_id", *where).agg(F.max("v").alias("v"))
+    static = static.withColumn("t", F.lit(None).cast("date"))
+    return (
+        layer("s2", pixels.where("v >= -0.065D"), F.col("v"))
+        .unionByName(layer("s1_asc", pixels.where("v >= -0.075D"), F.col("v") * 3))
+        .unionByName(layer("dem", static, F.col("v")))
+    )
+
+
 def tiles_metric(spark, sf) -> DataFrame:
     """Square footprints in metres, one per customer."""
     x = (F.col("c_custkey") % 100).cast("double") * 109800.0

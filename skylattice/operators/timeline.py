@@ -1,5 +1,8 @@
 """Temporal operators on the frames of a series."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -8,6 +11,8 @@ from skylattice.functions.draws import choose, draw_hash, uniform, uniform_int
 from skylattice.operators.quality import keep_frames
 from skylattice.schema import FRAME, KEY
 
+WINDOW_BIN = 120  # days of a calendar bin in which dates meet windows
+
 
 def slice_years(cube: DataFrame, years: list[int]) -> DataFrame:
     """Rows of the listed years with a ``year`` column (one series per year).
@@ -55,14 +60,29 @@ def repeat_items(items: DataFrame, repeat: int) -> DataFrame:
     return items.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeat - 1))))
 
 
-def crop_time(cube: DataFrame, windows: DataFrame, on=("tile", "patch_id")) -> DataFrame:
+def crop_time(cube: DataFrame, windows: DataFrame, on=("tile", "patch_id"), bin_days=WINDOW_BIN) -> DataFrame:
     """Rows with win_start <= t <= win_end for every window of their item.
 
-    ``windows`` is any table of windows; the equality on the item keys keeps this a hash or
-    sort-merge join with the interval as residual condition.
+    ``windows`` is any table of windows. Each is listed for the calendar bins it reaches, and
+    rows meet the windows of their own bin: a date is compared with windows near it only,
+    however many its item has. A window is listed once per ``bin_days``. A static layer has no
+    date and is part of every window.
     """
-    inside = F.col("t").between(F.col("win_start"), F.col("win_end"))
-    return cube.join(windows, list(on)).where(inside)
+    day = lambda c: F.date_diff(F.col(c), F.lit(SERIES_START).cast("date"))
+    bin_of = lambda d: F.floor(d / bin_days).cast("int")
+    bins = F.sequence(bin_of(day("win_start")), bin_of(day("win_end")))
+    # an empty window has no bins
+    bins = F.when(F.col("win_start") <= F.col("win_end"), bins).otherwise(F.array().cast("array<int>"))
+    static = F.lit(None).cast("int")
+    listed = windows.withColumn("_bin", F.explode(F.concat(bins, F.array(static))))
+    rows = cube.withColumn("_bin", bin_of(day("t"))).alias("c")
+    listed = listed.alias("w")
+    same = [F.col(f"c.{k}") == F.col(f"w.{k}") for k in on]
+    met = rows.join(listed, reduce(and_, same, F.col("c._bin").eqNullSafe(F.col("w._bin"))))
+    met = met.where(F.col("c.t").isNull() | F.col("c.t").between(F.col("w.win_start"), F.col("w.win_end")))
+    rest = [F.col(f"c.{n}") for n in cube.columns if n not in on]
+    extra = [F.col(f"w.{n}") for n in windows.columns if n not in on]
+    return met.select(*[F.col(f"c.{k}") for k in on], *rest, *extra)
 
 
 def crop_time_random(
@@ -78,15 +98,16 @@ def crop_time_random(
 
     The window is a function of the item keys, so each row derives it on the spot; all
     modalities of an item get the same one without a join or a shuffle. Best applied to
-    frame keys, before the pixels join them.
+    frame keys, before the pixels join them. A static layer has no date and is part of every
+    window.
     """
-    in_span = F.col("t").between(F.lit(begin).cast("date"), F.lit(end).cast("date"))
+    in_span = F.col("t").isNull() | F.col("t").between(F.lit(begin).cast("date"), F.lit(end).cast("date"))
     rows = repeat_items(cube.where(in_span), repeat)
     start, stop = _window_columns(seed, months, begin, end, [*on, "rep"])
     return (
         rows.withColumn("win_start", start)
         .withColumn("win_end", stop)
-        .where(F.col("t").between(F.col("win_start"), F.col("win_end")))
+        .where(F.col("t").isNull() | F.col("t").between(F.col("win_start"), F.col("win_end")))
     )
 
 

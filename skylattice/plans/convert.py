@@ -190,10 +190,11 @@ def multimodal_windows(
     """``repeat`` samples per patch, each cut to a random window that all its modalities share.
 
     Tests, repetitions and windows are settled on frame keys; pixels are only repeated for
-    the windows they lie in.
+    the windows they lie in. A static layer is part of every repetition.
     """
     area = h * w if whole_frames else None
-    span = cube.where(F.col("t").between(F.lit(begin).cast("date"), F.lit(end).cast("date")))
+    in_span = F.col("t").between(F.lit(begin).cast("date"), F.lit(end).cast("date"))
+    span = cube.where(F.col("t").isNull() | in_span)
 
     def one(m: Modality) -> DataFrame:
         if m.name in RADAR:

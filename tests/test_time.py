@@ -80,3 +80,32 @@ def test_repeats_differ(spark):
     out = timeline.random_windows(timeline.repeat_items(items, 8), 5)
     assert out.count() == 8
     assert out.select("win_start", "win_end").distinct().count() > 1
+
+
+def test_many_windows_equal_a_plain_test_of_each_date(spark):
+    """Windows of all lengths, empty ones too, against every date; layers without a date are in all."""
+    days = range(-700, 900, 7)
+    cube = series(spark, days).unionByName(series(spark, days, patch=1))
+    static = series(spark, [0]).withColumn("t", F.lit(None).cast("date"))
+    first = dt.date(2016, 1, 1)
+    wins = [("T", p, i, first + dt.timedelta(days=11 * i), first + dt.timedelta(days=11 * i + 5 * i - 20)) for p in (0, 1) for i in range(60)]
+    windows = spark.createDataFrame(wins, "tile string, patch_id int, n int, win_start date, win_end date")
+    rows = cube.unionByName(static)
+    dates = [(r.patch_id, r.t) for r in rows.collect()]
+    want = sorted((p, n, str(t)) for _, p, n, a, b in wins for q, t in dates if p == q and (t is None or a <= t <= b))
+    for bin_days in (1, 50, 10000):
+        got = timeline.crop_time(rows, windows, bin_days=bin_days)
+        assert got.columns == ["tile", "patch_id", "modality", "t", "x", "n", "win_start", "win_end"]
+        assert sorted((r.patch_id, r.n, str(r.t)) for r in got.collect()) == want
+
+
+def test_a_date_meets_near_windows_only(spark):
+    cube = series(spark, range(1000))
+    starts = spark.range(1000).select(
+        F.lit("T").alias("tile"), F.lit(0).alias("patch_id"),
+        F.date_add(F.lit("2018-01-01").cast("date"), F.col("id").cast("int")).alias("win_start"),
+    )
+    out = timeline.crop_time(cube, starts.withColumn("win_end", F.date_add("win_start", 1)), bin_days=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and plan.count("_bin") > 1
+    assert out.count() == 1999
