@@ -25,8 +25,9 @@ BLOCK_WORDS = 2048
 LEAST_BLOCKS = 4096  # a small source has shorter blocks, so that its target is met closely
 SHARD_BLOCKS = 4096
 BUCKET_ROWS = 4_000
-#: Multipliers of the two passes' permutations, primes above any number of blocks.
-STRIDES = (2147483647, 2147483629)
+#: Strides of the two passes' permutations, primes above any number of blocks. Their parts of
+#: a power of two are near 0.61 and 0.65, so that draws spread evenly.
+STRIDES = (2654435761, 2246822519)
 SEED = 17
 
 
@@ -166,6 +167,16 @@ def shard_quotas(sources: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int
     return rows.select("shard", F.col("sid").cast("long"), "quota").where("quota > 0")
 
 
+def permuted(draw: Column, size: Column, key: Column, stride: Column) -> Column:
+    """Place of ``draw`` in the permutation of 0 .. size - 1 that belongs to the text ``key``.
+
+    Steps of a fixed stride from a start given by the key: successive draws lie far apart and
+    any number of them is spread evenly over the source.
+    """
+    start = F.conv(F.substring(F.md5(key.cast("binary")), 1, 7), 16, 10).cast("long")
+    return (draw.cast("long") * stride + start) % size
+
+
 def draws(sources: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:
     """``shard, position, sid, pass, block``: each shard's blocks in its own hash order."""
     quotas = settle(shard_quotas(sources, shard_blocks, seed), "mix-quotas")
@@ -177,14 +188,15 @@ def draws(sources: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED
         .join(sources.select("sid", "blocks"), "sid")
         .withColumn("pass", F.floor(F.col("draw") / F.col("blocks")).cast("int"))
     )
-    stride = F.when(F.col("pass") == 0, STRIDES[0]).otherwise(STRIDES[1]).cast("long")
+    stride = F.when(F.col("pass") == 0, F.lit(STRIDES[0])).otherwise(F.lit(STRIDES[1]))
+    key = F.concat_ws("|", F.lit(str(seed)), F.col("sid").cast("string"), F.col("pass").cast("string"))
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "sid", "draw"), "sid", "draw")
     return rows.select(
         "shard",
         (F.row_number().over(local) - 1).alias("position"),
         "sid",
         "pass",
-        (F.col("draw") % F.col("blocks") * stride % F.col("blocks")).alias("block"),
+        permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), key, stride).alias("block"),
     )
 
 
@@ -241,15 +253,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
     return rows, spans(rows, draws(sources, seed=seed))
 
 
-def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = SEED, ordered=False
+) -> DataFrame:
     """The mix as documents: a row for each document and pass that takes words of it.
 
+    ``ordered`` gives them in mixed order, by the shard and position of the first block that
+    takes words of them; it moves the texts once more.
+
     A document that is taken in part has the words of its drawn blocks, with the white space
     after each word. All columns are kept. Rows that repeat id, source and text stand for
     each other: there is a row for each draw of any of them.
     """
-    rows, taken = mix(docs, weights, share, cap)
+    rows, taken = mix(docs, weights, share, cap, seed)
     taken = taken.groupBy("sid", "start", "pass").agg(
+        F.min(F.struct("shard", "position", "start")).alias("order"),
         F.sum("words").alias("words"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("cuts")
     )
     key = rows.where("size > 0").select("sid", "start", "size", *[F.col(c).alias(f"key_{c}") for c in ("doc_id", "source", "form")])
@@ -267,6 +285,8 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     part = F.rtrim(F.array_join(pieces, ""))
     text = F.when(F.col("words") == F.col("size"), F.col("row.text")).otherwise(part)
     found = found.withColumn("all", F.when(F.col("words") < F.col("size"), words)).withColumn("cut", text)
+    if ordered:
+        found = found.select("row", "cut", "order").orderBy("order", "row.doc_id")
     return found.select(*[F.col("cut").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
@@ -295,8 +315,9 @@ s as (select s2.source, sid, source_size,
         greatest(ceil(source_size / 2048)::bigint, least(source_size, 4096)) as n
       from s2 left join o on true),
 q as (select *, case when source_size > 0 then floor(target * n / source_size + 0.5)::bigint else 0 end as quota from s),
-drawn as (select sid, (case when draw < n then draw % n * 2147483647 else draw % n * 2147483629 end) % n as block, count(*) as times
-          from (select sid, n, unnest(range(0, quota)) as draw from q) group by 1, 2),
+drawn as (select sid, (draw % n * case when draw < n then 2654435761 else 2246822519 end
+          + ('0x' || substr(md5('17|' || sid || '|' || (draw // n)), 1, 7))::bigint) % n as block, count(*) as times
+          from (select sid, n, unnest(range(0, quota)) as draw from q) r group by 1, 2),
 p as (select d.doc_id, size, q.sid, source_size, target, n,
         sum(size) over (partition by q.sid order by place, doc_id)::bigint - size as start
       from d join q on d.source is not distinct from q.source),

@@ -340,6 +340,52 @@ def test_hypergeometric_distribution(spark):
         assert counts.get(k, 0) == pytest.approx(comb(20, k) * comb(30, 10 - k) / comb(50, 10), abs=1e-3)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100, 4096])
+def test_blocks_are_permuted(spark, size):
+    """Every number once; another key gives another order; the first draws are spread evenly."""
+    rows = spark.range(size)
+    place = lambda key: [r[0] for r in rows.select(mixing.permuted(F.col("id"), F.lit(size), F.lit(key), F.lit(mixing.STRIDES[0]))).collect()]
+    one, other = place("17|0|0"), place("18|0|0")
+    assert sorted(one) == sorted(other) == list(range(size))
+    if size == 4096:
+        assert one[:1000] != other[:1000]
+        parts = Counter(x // 256 for x in one[:1000])
+        assert min(parts.values()) > 55 and max(parts.values()) < 70
+
+
+def test_shards_draw_disjoint_blocks_in_their_own_order(spark):
+    sources = spark.createDataFrame(
+        [(0, 900, 1400), (1, 50, 100), (2, 400, 77), (3, 10, 0)], "sid long, blocks long, quota long"
+    )
+    got = mixing.draws(sources, shard_blocks=300).collect()
+    quotas = {(r.shard, r.sid): r.quota for r in mixing.shard_quotas(sources, shard_blocks=300).collect()}
+    assert Counter((r.shard, r.sid) for r in got) == quotas
+    assert len({(r.sid, r["pass"], r.block) for r in got}) == len(got) == 1577
+    whole = {(r.sid, r.block) for r in got if r["pass"] == 0}
+    assert {b for s, b in whole if s == 0} == set(range(900)) and {b for s, b in whole if s == 1} == set(range(50))
+    for shard in {r.shard for r in got}:
+        own = sorted((r for r in got if r.shard == shard), key=lambda r: r.position)
+        assert [r.position for r in own] == list(range(len(own)))
+        blocks = [r.block for r in own if r.sid == 0]
+        assert blocks != sorted(blocks) and len({r.sid for r in own[: len(own) // 4]}) > 1
+    other = mixing.draws(sources, shard_blocks=300, seed=5).collect()
+    assert {(r.shard, r.position, r.block) for r in other} != {(r.shard, r.position, r.block) for r in got}
+
+
+def test_mixed_documents_come_in_mixed_order(docs):
+    found = mixing.mixed_documents(docs, ordered=True).collect()
+    rows, taken = mixing.mix(docs)
+    first = {}
+    for r in taken.collect():
+        key = r.sid, r.start, r["pass"]
+        first[key] = min(first.get(key, (r.shard, r.position, r.start)), (r.shard, r.position, r.start))
+    ids = {(r.sid, r.start): r.doc_id for r in rows.where("size > 0").collect()}
+    want = [ids[key[:2]] for key in sorted(first, key=lambda k: (first[k], k))]
+    assert found and [r.doc_id for r in found if r.doc_id is not None] == [d for d in want if d is not None]
+    other = mixing.mixed_documents(docs, seed=3, ordered=True).collect()
+    assert [r.doc_id for r in other] != [r.doc_id for r in found]
+
+
 def test_mixed_documents(docs, rows):
     found = mixing.mixed_documents(docs).collect()
     whole = defaultdict(Counter)
