@@ -93,3 +93,45 @@ def test_missing_values_and_empty_tables(spark, grids):
     assert warp_to(static, ["v"], SOURCE, grids, ["t"]).where("t is null and abs(v - 2) < 1e-9").count() == 13 * 21 + 8 * 5
     with pytest.raises(ValueError):
         warp_to(cube, ["v"], SOURCE, grids, ["t"], "average")
+
+
+def test_repeated_grids_and_source_cells(spark, grids):
+    """A repeated grid gives its pixels once; repeated source cells all count, the least is nearest."""
+    cube = layer(spark, lambda y, x: y + x)
+    one = {(r.tile, r.y, r.x): r.v for r in warp_to(cube, ["v"], SOURCE, grids, ["t"]).collect()}
+    twice = warp_to(cube.unionByName(cube), ["v"], SOURCE, grids.unionByName(grids), ["t"]).collect()
+    assert len(twice) == len(one)
+    for r in twice:
+        assert r.v == pytest.approx(one[r.tile, r.y, r.x])
+    low = warp_to(cube.unionByName(cube.withColumn("v", F.col("v") - 1)), ["v"], SOURCE, grids, ["t"], "near").collect()
+    near = {(r.tile, r.y, r.x): r.v for r in warp_to(cube, ["v"], SOURCE, grids, ["t"], "near").collect()}
+    assert {(r.tile, r.y, r.x): r.v for r in low} == {k: v - 1 for k, v in near.items()}
+
+
+def test_source_in_a_corner_only(spark, grids):
+    """Lattice cells without a source row in their window have no pixels, the others all."""
+    cells = {(r.tile, r.cy, r.cx): r for r in lattice_cells(grids, SOURCE, 8).collect()}
+    last = cells["A", 1, 2]
+    at = math.floor(max(last.sy)) + 2, math.floor(max(last.sx)) + 2
+    cube = spark.createDataFrame([(DAY, *at, 1.0)], "t date, y int, x int, v double")
+    reached = {
+        k for k, r in cells.items()
+        if all(math.floor(min(c)) - 1 <= i <= math.floor(max(c)) + 2 for c, i in zip((r.sy, r.sx), at))
+    }
+    out = warp_to(cube, ["v"], SOURCE, grids, ["t"], "near").collect()
+    assert {(r.tile, r.y // 8, r.x // 8) for r in out} == reached
+    assert 0 < len(reached) < len(cells)
+
+
+def test_near_moves_blocks_not_windows(spark, grids):
+    """What is stored before the pixels is at most four copies of a source cell, however many
+    lattice cells have it in their window."""
+    many = grids.select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("i"), "*")
+    many = many.withColumn("tile", F.concat("tile", F.col("i").cast("string"))).drop("i")
+    cube = layer(spark, lambda y, x: y)
+    out = warp_to(cube, ["v"], SOURCE, many, ["t"], "near")
+    paths = [f for f in out.inputFiles() if "warp-windows" in f or "warp-blocks" in f]
+    stored = spark.read.parquet(*paths)
+    block = next(c for c in ("_block", "_window") if c in stored.columns)
+    assert stored.agg(F.sum(F.size(block))).first()[0] <= 4 * cube.count()
+    assert out.count() == 50 * (13 * 21 + 8 * 5)
