@@ -135,3 +135,10 @@ def test_near_moves_blocks_not_windows(spark, grids):
     block = next(c for c in ("_block", "_window") if c in stored.columns)
     assert stored.agg(F.sum(F.size(block))).first()[0] <= 4 * cube.count()
     assert out.count() == 50 * (13 * 21 + 8 * 5)
+
+
+def test_cubic_is_not_interpreted_per_pixel(spark, grids):
+    """Weights of all pixels of a batch are one array operation, no lambda over a window per pixel."""
+    out = warp_to(layer(spark, lambda y, x: y), ["v", "u"], SOURCE, grids, ["t"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "MapInArrow" in plan
