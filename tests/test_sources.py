@@ -319,3 +319,15 @@ def test_unknown_arguments():
         from skylattice.operators.select import select_modalities
 
         select_modalities(None, "nothing")
+
+
+def test_regions_of_many_tiles_share_files(spark, tmp_path):
+    """Not a folder and a file per tile: tiles may be as many as regions."""
+    df = spark.range(300).selectExpr(
+        "concat('T', id) as tile", "cast(id % 7 as int) as roi",
+        "array(struct(1D as x, 2D as y), struct(3D as x, 2D as y), struct(3D as x, id / 10D as y), struct(1D as x, 2D as y)) as ring",
+    )
+    path = tmp_path / "out"
+    rois.write_rois(df, str(path))
+    assert len(list(path.rglob("part-*"))) <= 8 and not [p for p in path.iterdir() if p.is_dir()]
+    assert sorted(rois.read_rois(spark, str(path)).collect()) == sorted(df.collect())
