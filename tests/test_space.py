@@ -195,3 +195,17 @@ def test_match_rois(spark):
          ("B/2017/S2/openEO_1.nc", 5)], "path string, length bigint")
     rois = spark.createDataFrame([("A", 1), ("A", 2)], "tile string, roi int")
     assert [r.path for r in spatial.match_rois(rois, files).collect()] == ["A/2017/S2/openEO_1.nc"]
+
+
+def test_pixels_meet_few_runs_they_are_not_in(spark):
+    """Small regions side by side: a pixel is compared with little more than its own regions."""
+    rings = [[(x + 0.1, 0.1), (x + 2.9, 0.1), (x + 2.9, 2.9), (x + 0.1, 2.9), (x + 0.1, 0.1)] for x in range(60)]
+    rois, cube = ring_rows(spark, rings), grid(spark, 3, 64)
+    columns = spatial.cell_columns(rois, GRID)
+    runs = spatial.roi_segments(rois, GRID, columns).where("inside")
+    pixels = cube.withColumn("_cell", F.floor(F.col("x") / columns))
+    met = pixels.join(runs, ["tile", "y", "_cell"]).count()
+    assert met <= 2 * spatial.sample_by_feature(cube, rois, GRID).count()
+    wide = ring_rows(spark, [[(x, 0.0), (x + 5000.0, 0.0), (x, 900.0), (x, 0.0)] for x in (0.0, 7.0)])
+    assert spatial.cell_columns(wide, GRID) == spatial.CELL_COLUMNS
+    assert spatial.cell_columns(rois.limit(0), GRID) == 1 and not spatial.sample_by_feature(cube, rois.limit(0), GRID).count()
