@@ -3,18 +3,24 @@
 Only the longest windows are counted: every word with the words that follow it in its piece,
 lead columns padded with the empty string past the end of the piece. A window's first words
 are a phrase that begins there, so the count of a shorter phrase is the sum over the windows
-that it leads, and one ``ROLLUP`` gives all shorter lengths, down to the words of a language.
-The text is exploded once, whatever the longest length.
+that it leads. The text is exploded once, whatever the longest length.
 
-Windows are combined before they move, so a word or pair that a third of the corpus repeats
-is one row per task. All later steps work on phrases that are frequent enough: a part of a
-candidate is at least as frequent as the candidate.
+A task counts its windows some millions at a time, sums shorter phrases from them, and sends
+each different phrase once, to a bucket by its hash. Most windows are different and do not
+get fewer; so they move as columns of codes, in order and compressed, with the words of the
+codes: a few bytes each. A phrase that a third of the corpus repeats is one row per task, and
+a bucket has no more of it than the tasks. All later steps work on phrases that are frequent
+enough: a part of a candidate is at least as frequent as the candidate.
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylattice.llm.text import documents, whole
+from skylattice.llm.text import block_count, documents, mix, whole
 from skylattice.session import settle
 
 LONGEST = 3  # words of the longest candidate
@@ -23,6 +29,9 @@ INSIDE = 50  # per cent of its occurrences inside one longer candidate that drop
 TOP = 2000
 SCALE = 1_000_000  # scores are whole numbers of this part of one
 SHARES = 256  # parts of a language that are ranked before the language is
+AT_ONCE, AT_ONCE_BYTES = 1 << 21, 1 << 27  # windows, and their bytes, that a task counts at a time
+BUCKET_CHARS = 16_000_000  # text whose phrases meet in one bucket
+BASE = 0x9E3779B97F4A7C15  # of a phrase's polynomial hash
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ENDS = ".,;:!?\n\x0b\f\r"  # end a piece; no word holds one, so a lone "." can stand for them
@@ -53,29 +62,115 @@ def windows(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     return found.where(~ends(1)).select("lang", *shown)
 
 
+def begins(columns: list[np.ndarray]) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def added(columns: list[np.ndarray], f: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different rows in order, each with the sum of its counts; not for empty columns."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    at = begins(columns)
+    return [c[at] for c in columns], np.add.reduceat(f[order], at)
+
+
+def coded(column) -> tuple[np.ndarray, pa.Array, int]:
+    """The codes of a column of strings, their strings, and the code of the empty string."""
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    column = column if pa.types.is_dictionary(column.type) else column.dictionary_encode()
+    strings = column.dictionary
+    empty = pc.index(strings, "").as_py()
+    if empty < 0:
+        empty, strings = len(strings), pa.concat_arrays([strings, pa.array([""])])
+    return column.indices.to_numpy(), strings, empty
+
+
+def send_phrases(table: pa.Table, buckets: int) -> pa.RecordBatch:
+    """``bucket, data``: the phrases of some windows with their counts, packed by hash.
+
+    A phrase that is shorter than the longest is padded by empty strings.
+    """
+    columns, strings, empty = map(list, zip(*(coded(table.column(c)) for c in table.column_names)))
+    columns, f = added(columns, np.ones(table.num_rows, np.int64))
+    parts, counts = [], []
+    for k in range(len(columns) - 1, 0, -1):  # windows are in order, so each phrase is one run
+        at = begins(columns[: k + 1])
+        f_at, at = np.add.reduceat(f, at)[columns[k][at] != empty[k]], at[columns[k][at] != empty[k]]
+        parts.append([c[at] if j <= k else np.full(len(at), empty[j], c.dtype) for j, c in enumerate(columns)])
+        counts.append(f_at)
+    columns, f = [np.concatenate(c) for c in zip(*parts)], np.concatenate(counts)
+    h = np.zeros(len(f), np.uint64)
+    for c, some in zip(columns, strings):
+        of = np.array([xxhash.xxh3_64_intdigest(x) for x in some.cast(pa.binary()).to_pylist()], np.uint64)
+        h *= np.uint64(BASE)
+        h += of[c]
+    bucket = (mix(h) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    at = begins([bucket])
+    options, pieces = pa.ipc.IpcWriteOptions(compression="zstd"), []
+    for rows in np.split(order, at[1:]):
+        arrays = [pa.array(f[rows])]
+        for c, some in zip(columns, strings):
+            used, local = np.unique(c[rows], return_inverse=True)
+            arrays.append(pa.DictionaryArray.from_arrays(pa.array(local.astype(np.int32)), some.take(pa.array(used))))
+        piece, sink = pa.RecordBatch.from_arrays(arrays, ["f", *table.column_names]), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, piece.schema, options=options) as writer:
+            writer.write_batch(piece)
+        pieces.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(pieces, pa.binary())], ["bucket", "data"])
+
+
+def meet_phrases(table: pa.Table, least: int) -> pa.Table:
+    """``lang, phrase, words, f`` of a bucket: frequent phrases, and a row of 0 words per language
+    with the count of all words, frequent or not, that meet here."""
+    found = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in table.column("data").to_pylist()])
+    found = found.unify_dictionaries()
+    columns, strings, empty = map(list, zip(*(coded(found.column(c)) for c in found.column_names[1:])))
+    columns, f = added(columns, found.column("f").to_numpy())
+    words = sum((c != e).astype(np.int32) for c, e in zip(columns[1:], empty[1:]))
+    out = []
+    if (words == 1).any():
+        (lang,), n = added([columns[0][words == 1]], f[words == 1])
+        out.append((strings[0].take(pa.array(lang)), pa.array([""] * len(n)), 0, n))
+    for k in range(1, len(columns)):
+        at = np.flatnonzero((words == k) & (f >= least))
+        lang, *parts = (some.take(pa.array(c[at])) for c, some in zip(columns[: k + 1], strings))
+        out.append((lang, pc.binary_join_element_wise(*parts, " "), k, f[at]))
+    return pa.concat_tables([
+        pa.table({"lang": lang, "phrase": phrase, "words": pa.array(np.full(len(n), k, np.int32)), "f": n})
+        for lang, phrase, k, n in out
+    ])
+
+
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """``lang, phrase, words, f``: the phrases of 1 to ``longest`` words with ``f >= least``.
 
     A row with an empty phrase of 0 words has the count of all words of the language, whatever
     it is. Words are joined by one space.
     """
-    w = [f"w{k}" for k in range(1, longest + 1)]
-    top = windows(docs, longest).groupBy("lang", *w).agg(F.count("*").alias("f"))
-    # a padded window is a shorter phrase at the end of its piece: the roll-up counts it. The test
-    # is one on f, so that both uses keep the same windows and share their exchange.
-    unpadded = F.when(F.col(w[-1]) == "", 0).otherwise(F.col("f"))
-    whole_ = top.where(unpadded >= least).withColumn("words", F.lit(longest))
-    # words that the roll-up has summed over are null, words past the end of a piece are empty
-    sums = top.rollup("lang", *w[:-1]).agg(F.sum("f").alias("f"))
-    depth = sum((F.col(c).isNotNull().cast("int") for c in w[:-1]), F.lit(0))
-    ended = F.lit(False)
-    for c in w[:-1]:
-        ended = ended | F.coalesce(F.col(c) == "", F.lit(False))
-    sums = sums.withColumn("words", depth).where(
-        F.col("lang").isNotNull() & ~ended & ((F.col("words") == 0) | (F.col("f") >= least))
-    )
-    both = whole_.unionByName(sums, allowMissingColumns=True)
-    return both.select("lang", F.concat_ws(" ", *w).alias("phrase"), "words", "f")
+    buckets = block_count(docs, BUCKET_CHARS)
+
+    def send(batches):
+        held, rows, size = [], 0, 0
+        for batch in batches:
+            held, rows, size = [*held, batch], rows + batch.num_rows, size + batch.nbytes
+            if rows >= AT_ONCE or size >= AT_ONCE_BYTES:
+                yield send_phrases(pa.Table.from_batches(held), buckets)
+                held, rows, size = [], 0, 0
+        if rows:
+            yield send_phrases(pa.Table.from_batches(held), buckets)
+
+    sent = windows(docs, longest).mapInArrow(send, "bucket int, data binary")
+    schema = "lang string, phrase string, words int, f long"
+    met = sent.groupBy("bucket").applyInArrow(lambda t: meet_phrases(t, least), schema)
+    # only the counts of all words come from several buckets
+    return met.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
 def _score(a, left, right) -> Column:

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from llm_corpus import SCHEMA, same
 from pyspark.sql import functions as F
@@ -196,6 +197,23 @@ def test_windows_are_exploded_once(spark, docs):
     assert text.count("Generate inline") == 1
 
 
+def test_different_windows_move_packed(spark):
+    """Windows that are all different take some bytes each, not a row with their words."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"word{rng.randrange(2000)}" for _ in range(2000)), "en", "s", 1) for i in range(40)]
+    found = collocations.windows(spark.createDataFrame(rows, SCHEMA).coalesce(1)).toArrow()
+    sent = collocations.send_phrases(found, 4)
+    assert sent.nbytes < 16 * found.num_rows
+    counts = Counter()
+    for _, text, *_ in rows:
+        w = text.split()
+        for k in (1, 2, 3):
+            counts.update(" ".join(w[i : i + k]) for i in range(len(w) - k + 1))
+    met = [collocations.meet_phrases(pa.Table.from_batches([sent]).slice(i, 1), 3).to_pylist() for i in range(sent.num_rows)]
+    assert {r["phrase"]: r["f"] for m in met for r in m if r["words"]} == {p: f for p, f in counts.items() if f >= 3}
+    assert sum(r["f"] for m in met for r in m if not r["words"]) == found.num_rows
+
+
 # MinHash
 
 
