@@ -13,12 +13,18 @@ Only pairs that could join two components are compared. The nodes of a key first
 smallest node, and what that links is one component. The nodes of keys that still hold several
 components go on. Each counts its shingles that other components hold as well; it can share no
 more with any of them, which leaves out most near copies whose changes are their own. The rest
-meet in rounds: a node's level is drawn from its digest, a sixteenth of the nodes of a level
-being one higher, and round by round the nodes of the next lower level meet the nodes of their
-key that are in another component and whose counts allow the similarity. So a group of near
-copies costs a comparison each, and at the end every pair of different components has been
-compared or ruled out. Nodes just under the threshold that share their changes cost the
-comparison of their pairs, spread over the rounds and, by the join, over tasks.
+are compared by what sets them apart from the smallest node of their key: two sets differ in
+the shingles in which their differences from a third differ. Sets of n and m shingles that link
+differ in at most t = (n + m) * 15 / 185, so with the rarest differences first, the first one
+that they share comes after at most t that they do not. Only nodes that share such a difference
+meet; what nearly all have in common is in no difference, so a crowd of sets just under the
+threshold that changed at places of their own makes no pairs. They meet in rounds: a node's
+level is drawn from its digest, a sixteenth of the nodes of a level being one higher, and round
+by round the nodes of the next lower level meet those that share a difference, are in another
+component and whose counts allow the similarity. So a group of near copies costs a comparison
+each, and at the end every pair of different components has been compared or ruled out. Nodes
+just under the threshold that share their changes cost the comparison of their pairs, spread
+over the rounds and, by the join, over tasks.
 """
 
 import hashlib
@@ -223,6 +229,40 @@ def _common_at_most(members: DataFrame, sets: DataFrame) -> DataFrame:
     return held.join(wide, "shingle").groupBy("node").agg(F.count("*").alias("most"))
 
 
+def _differences(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """``head, node, d, i, element``: the first differences of a node's set from that of a head.
+
+    pairs: ``head, node, n``. Of the ``d`` differences, those that no other node has from this head
+    come first, then the rarest; ``i`` is the place, from 0. No set that links differs in more
+    than n * (100 - similarity) / similarity shingles, so differences after as many are left out.
+    The last one, at place d, is the same for all, so that nodes with few differences meet.
+    """
+    both = pairs.join(sets.select(F.col("node").alias("head"), F.col("hashes").alias("x")), "head")
+    both = both.join(sets.select("node", F.col("hashes").alias("y")), "node").select("head", "node", "n", "x", "y")
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                some = batch.slice(at, SLICE)
+                apart = [
+                    np.setxor1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), True)
+                    for x, y in zip(some.column("x").to_pylist(), some.column("y").to_pylist())
+                ]
+                found = [pa.array(apart, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in ("head", "node", "n")), *found], ["head", "node", "n", "apart"])
+
+    apart = settle(both.mapInArrow(run, "head binary, node binary, n long, apart array<long>"), "minhash-apart")
+    rows = apart.select("head", "node", "n", F.size("apart").alias("d"), F.explode("apart").alias("element"))
+    often = rows.groupBy("head", "element").agg(F.count("*").alias("often")).where("often > 1")
+    shared = rows.join(often, ["head", "element"]).groupBy("head", "node", "n", "d")
+    shared = shared.agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("e"))
+    shared = shared.select("head", "node", "n", "d", (F.col("d") - F.size("e")).alias("own"), F.posexplode("e").alias("at", "e"))
+    shared = shared.select("head", "node", "n", "d", (F.col("own") + F.col("at")).alias("i"), "e.element")
+    last = apart.select("head", "node", "n", F.size("apart").alias("d"), F.size("apart").alias("i"), F.lit(0).cast("long").alias("element"))
+    both = shared.unionByName(last).where(f"{similarity} * i <= {100 - similarity} * n")
+    return both.select("head", "node", "d", "i", "element")
+
+
 def links(nodes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``a, b``: links whose components are those of all pairs of that similarity.
 
@@ -249,36 +289,44 @@ def links(nodes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> D
     found = settle(_confirmed(found, _sets(named(ends), texts), similarity), "minhash-links")
     root = components(found)
 
-    def open_keys(rows):
-        apart = rows.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("size"))
-        return apart.where("p != q").select("key", "size")
+    def open_keys(rows, *by):
+        apart = rows.groupBy(*by).agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("size"))
+        return apart.where("p != q").select(*by, "size")
 
     # keys of three nodes or more that still hold several components
-    rest = entries.where("size > 2").join(root, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    rest = settle(rest.join(open_keys(rest).select("key"), "key"), "minhash-open")
+    rest = entries.where("size > 2").join(root, "node", "left").select("key", "head", "node", "n", F.coalesce("root", "node").alias("root"))
+    rest = settle(rest.join(open_keys(rest, "key").select("key"), "key"), "minhash-open")
     if rest.isEmpty():
         return found
     members = settle(rest.select("node", "root").distinct(), "minhash-members")
     sets = _sets(named(members), texts)
     # a node that shares too little with all others together is out
     rest = rest.join(_common_at_most(members, sets), "node").where(f"100 * most >= {similarity} * n")
+    rest = settle(rest, "minhash-rest")
+    rest = rest.join(open_keys(rest, "key").select("key"), "key").select("head", "node", "n", "root", "most").distinct()
     # a node's level: how many zeros its digest begins with
     level = F.length(F.regexp_extract(F.hex("node"), "^0*", 0))
     rest = settle(rest.withColumn("level", level), "minhash-rest")
-    open_ = settle(open_keys(rest), "minhash-open")
-    rest = rest.join(open_.select("key"), "key")
+    rest = rest.join(_differences(rest.select("head", "node", "n"), sets, similarity), ["head", "node"])
+    rest = settle(rest, "minhash-differences")
+    by = ["head", "element"]
+    open_ = settle(open_keys(rest, *by), "minhash-open")
+    rest = settle(rest.join(open_.select(*by), by), "minhash-meeting")
     crowd = open_.agg(F.max("size")).first()[0]
     top = math.ceil(math.log(crowd, 16)) if crowd else -1
     for step in range(top, -1, -1):
         known = rest.drop("root").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
         reached = F.least("level", F.lit(top))
         hubs = known.where(reached == step).select(
-            "key", F.col("node").alias("x"), F.col("n").alias("m"), F.col("root").alias("hub"), F.col("most").alias("common")
+            *by, F.col("node").alias("x"), F.col("n").alias("m"), F.col("root").alias("hub"), F.col("most").alias("common"),
+            F.col("d").alias("e"), F.col("i").alias("j"),
         )
         others = known.where(reached <= step).withColumn("lower", reached < step)
         shared = "least(most, common)"
-        pairs = hubs.join(others, "key").where(
+        differ = "(i + j + abs((d - i) - (e - j)))"  # in so many at least, if no earlier one is shared
+        pairs = hubs.join(others, by).where(
             f"root != hub and (lower or node < x) and 100 * {shared} >= {similarity} * (n + m - {shared})"
+            f" and {100 + similarity} * {differ} <= {100 - similarity} * (n + m)"
         )
         new = candidates(pairs.select("x", F.col("node").alias("y")))
         if not new.isEmpty():

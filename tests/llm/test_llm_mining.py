@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm_corpus import SCHEMA, same
@@ -276,6 +277,53 @@ def test_minhash_components_are_those_of_all_pairs(spark):
     assert same(minhash.near_dedup(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect(), want)
 
 
+def crowd(n, seed=8):
+    """A template whose copies change a tenth at places of their own, a few of them with near copies."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(100_000)}"
+    fixed, texts = [word() for _ in range(150)], []
+    for i in range(n):
+        cut = rng.randrange(3, 25)
+        texts.append(fixed[: -cut] if i % 2 else fixed[cut:])
+        if i % 3 == 0:
+            texts[-1] = [word() if rng.random() < 0.03 else w for w in texts[-1]]
+        for _ in range(i % 10 == 0):
+            copy = list(texts[-1])
+            copy[rng.randrange(len(copy))] = word()
+            texts.append(copy)
+    return [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+
+
+def test_minhash_in_a_crowd_is_that_of_all_pairs(spark):
+    rows = crowd(150)
+    found = minhash.near_dedup(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    want = plain_components(rows)
+    assert 5 < sum(r[3] for r in want) < len(rows) - 20 and same(found, want)
+
+
+def test_what_sets_unlike_copies_apart_makes_no_pairs(spark):
+    """Sets that changed a tenth at places of their own share no difference that could link them."""
+    rng = np.random.default_rng(5)
+    fixed, sets = np.arange(1, 201), {b"head": np.arange(1, 201)}
+    for i in range(100):
+        own = 1000 * (i + 1) + np.arange(20)
+        sets[b"%03d" % i] = np.sort(np.append(np.delete(fixed, rng.choice(200, 20, False)), own))
+    sets[b"copy"] = np.append(sets[b"007"][:-1], 10**6)
+    rows = [(node, x.astype(np.uint64).tobytes()) for node, x in sets.items()]
+    pairs = spark.createDataFrame([(b"head", node, len(x)) for node, x in sets.items()], "head binary, node binary, n long")
+    found = minhash._differences(pairs, spark.createDataFrame(rows, "node binary, hashes binary"), 85).collect()
+    by = defaultdict(list)
+    for r in found:
+        by[r.element].append((bytes(r.node), r.d, r.i))
+    n = {node: len(x) for node, x in sets.items()}
+    met = {
+        tuple(sorted((a, b)))
+        for some in by.values() for a, d, i in some for b, e, j in some
+        if a != b and 185 * (i + j + abs((d - i) - (e - j))) <= 15 * (n[a] + n[b])
+    }
+    assert (b"007", b"copy") in met and len(met) < 10
+
+
 def test_minhash_on_documents(spark, docs, rows, clashing, empty):
     found = minhash.near_dedup(docs).collect()
     assert same(found, plain_components(rows))
