@@ -123,6 +123,9 @@ def validate_rois(rois: DataFrame, size: float) -> DataFrame:
 # ---------------------------------------------------------------- polygon selection
 
 CELL_COLUMNS = 64  # widest block of pixel columns that pixels and runs are joined by
+RUNS_AT_ONCE = 512  # runs of a block that a pixel meets as one row
+DEALS = 4  # tasks that share the pixels of a block, where there are many runs
+MOST_TASKS = 2000  # tasks that pixels are dealt out to
 CURVE_RANGES = 256  # stretches of the curve that a scan takes as predicates
 
 
@@ -151,6 +154,7 @@ def roi_segments(rois: DataFrame, grid: PixelGrid, columns: int = CELL_COLUMNS)
     ``_cell`` is the block of ``columns`` pixel columns a run reaches into, for use as a join key.
     """
     has_ring = "ring" in rois.columns
+    origin = [c for c in (grid.x0, grid.y0) if isinstance(c, str)]
     regions = _with_bounds(rois)
     first_y, last_y = grid.range_y("ymin", "ymax")
     rows = regions.withColumn("y", F.explode(F.when(first_y <= last_y, F.sequence(first_y, last_y))))
@@ -170,7 +174,7 @@ def roi_segments(rois: DataFrame, grid: PixelGrid, columns: int = CELL_COLUMNS)
         "ymin",
         "xmax",
         "ymax",
-        *[c for c in (grid.x0, grid.y0) if isinstance(c, str)],
+        *origin,
         F.posexplode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("_i", "_run"),
     )
     # the part of the run that lies in the box; a run only goes to the blocks it reaches
@@ -194,6 +198,7 @@ def roi_segments(rois: DataFrame, grid: PixelGrid, columns: int = CELL_COLUMNS)
         "ymax",
         "start",
         "end",
+        *origin,
         (F.col("_i") % 2 == 1).alias("inside"),
         F.explode(F.when((F.col("_low") <= F.col("_high")) & (first_x <= last_x), cells)).alias("_cell"),
     )
@@ -221,6 +226,7 @@ def _meet(cube, rois, grid: PixelGrid, how: str, own=False, inside=True) -> Data
     """
     columns = cell_columns(rois, grid)
     segments = roi_segments(rois, grid, columns)
+    segments = segments.drop(*[c for c in (grid.x0, grid.y0) if isinstance(c, str)])
     segments = settle(segments.where("inside") if inside else segments, "regions")
     pixels = cube.withColumn("_cell", F.floor(F.col("x") / columns))
     p, s = pixels.alias("p"), segments.alias("s")
@@ -233,6 +239,54 @@ def _meet(cube, rois, grid: PixelGrid, how: str, own=False, inside=True) -> Data
     return p.join(s, on, how)
 
 
+def _copies(
+    cube, rois, grid: PixelGrid, keep: dict[str, Column], inside=True
+) -> tuple[DataFrame, dict[str, str]]:
+    """A copy of each pixel per run of a region that its centre lies in, and the names that the
+    cube's columns have there.
+
+    The join is that of ``_meet``, but the runs of a block come in rows of ``RUNS_AT_ONCE``, which a
+    pixel meets once and then lays out: its own columns are evaluated per pixel, not per copy, and
+    a copy costs three comparisons and no step of the join. ``keep`` are the columns of a run that
+    its copies get.
+    """
+    columns = cell_columns(rois, grid)
+    segments = roi_segments(rois, grid, columns)
+    segments = segments.where("inside") if inside else segments
+    block = ["tile", "y", "_cell"]
+    # a copy's centre is at ``_low`` or after it, before ``_end`` and not after ``_xmax``
+    start, xmin = F.col("start"), F.col("xmin")
+    low = F.when(start >= xmin, start).when(start < xmin, xmin)
+    bounds = {"_low": low, "_end": F.col("end"), "_xmax": F.col("xmax")}
+    run = F.struct(*[c.alias(n) for n, c in {**bounds, **keep}.items()])
+    order = Window.partitionBy(*block).orderBy("roi")
+    part = F.floor((F.row_number().over(order) - 1) / RUNS_AT_ONCE)
+    packed = segments.select(*block, run.alias("_run"), part.alias("_part"))
+    packed = packed.groupBy(*block, "_part").agg(F.collect_list("_run").alias("_runs")).drop("_part")
+    packed = settle(packed, "regions")
+    pixels = cube.withColumn("_cell", F.floor(F.col("x") / columns))
+    dates = [c for c in ("t",) if c in cube.columns]
+    runs = packed.agg(F.sum(F.size("_runs"))).first()[0] or 0
+    tasks = min(runs // RUNS_AT_ONCE, MOST_TASKS)
+    if tasks > int(cube.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # what a task makes does not show in the bytes it reads: blocks are dealt out by their
+        # runs, the pixels of a block over ``DEALS`` places; so many runs are not broadcast
+        packed = packed.withColumn("_deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
+        packed = packed.hint("merge")
+        pixels = pixels.withColumn("_deal", F.pmod(F.hash(*dates, "x"), F.lit(DEALS)))
+        block = [*block, "_deal"]
+        pixels = pixels.repartition(tasks, *block)
+    # a block's pixels follow each other date by date, so their copies reach the same few groups of
+    # what comes next; the condition, always true, keeps the order from being left out before a join
+    pixels = pixels.sortWithinPartitions(*block, *dates).where(F.spark_partition_id() >= 0)
+    p, s = pixels.alias("p"), packed.alias("s")
+    met = p.join(s, [F.col(f"p.{k}") == F.col(f"s.{k}") for k in block])
+    names = {c: f"_p{i}" for i, c in enumerate(cube.columns)}
+    px = grid.center_x(F.col("p.x"))
+    met = met.select(*[F.col(f"p.{c}").alias(n) for c, n in names.items()], px.alias("_px"), F.inline("s._runs"))
+    return met.where("_px >= _low and _px < _end and _px <= _xmax"), names
+
+
 def filter_spatial(cube: DataFrame, rois: DataFrame, grid: PixelGrid) -> DataFrame:
     """Pixels whose centre lies in any region of their tile."""
     return _meet(cube, rois, grid, "left_semi").drop("_cell")
@@ -240,8 +294,8 @@ def filter_spatial(cube: DataFrame, rois: DataFrame, grid: PixelGrid) -> DataFra
 
 def sample_by_feature(cube: DataFrame, rois: DataFrame, grid: PixelGrid) -> DataFrame:
     """One copy of a pixel per region that contains it, with the region's ``roi``."""
-    met = _meet(cube, rois, grid, "inner")
-    return met.select(*[F.col(f"p.{c}") for c in cube.columns], F.col("s.roi"))
+    met, names = _copies(cube, rois, grid, {"_roi": F.col("roi")})
+    return met.select(*[F.col(n).alias(c) for c, n in names.items()], F.col("_roi").alias("roi"))
 
 
 def clip_polygon(cube, rois, bands, grid: PixelGrid, own=False) -> DataFrame:

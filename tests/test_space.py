@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -209,3 +210,49 @@ def test_pixels_meet_few_runs_they_are_not_in(spark):
     wide = ring_rows(spark, [[(x, 0.0), (x + 5000.0, 0.0), (x, 900.0), (x, 0.0)] for x in (0.0, 7.0)])
     assert spatial.cell_columns(wide, GRID) == spatial.CELL_COLUMNS
     assert spatial.cell_columns(rois.limit(0), GRID) == 1 and not spatial.sample_by_feature(cube, rois.limit(0), GRID).count()
+
+
+def join_rows(df):
+    """Rows that the joins of a query that has run gave on."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name.endswith("Join"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def crowd(spark, n):
+    """Regions over each other, every other one repeated."""
+    rings = [[(x, 0.2), (x + 6.0, 0.2), (x, 7.9), (x, 0.2)] for x in (0.3 * (i // 2 % 9) for i in range(n))]
+    return ring_rows(spark, rings)
+
+
+def copies_of(spark, n, cut):
+    cube, rois = grid(spark, 12, 12), crowd(spark, n)
+    df = cut(cube, rois)
+    rows = df.collect()
+    rings = [[(p.x, p.y) for p in r.ring] for r in rois.orderBy("roi").collect()]
+    inside = {(i, y, x) for i, ring in enumerate(rings) for y in range(12) for x in range(12) if even_odd(x + 0.5, y + 0.5, ring)}
+    return rows, inside, join_rows(df)
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_sample_meets_runs_once_per_pixel(spark, monkeypatch, dealt):
+    """Copies of a pixel are laid out after the join, also if blocks are dealt out and their runs in several rows."""
+    if dealt:
+        monkeypatch.setattr(spatial, "RUNS_AT_ONCE", 16, raising=False)
+    rows, inside, met = copies_of(spark, 60, lambda c, r: spatial.sample_by_feature(c, r, GRID))
+    assert sorted((r.roi, r.y, r.x) for r in rows) == sorted(inside)
+    assert {r.v for r in rows if (r.y, r.x) == (3, 2)} == {38.0}
+    parts = 4 if dealt else 1  # rows that the runs of a block come in
+    assert met <= 144 * parts < len(rows)
