@@ -306,16 +306,24 @@ def clip_polygon(cube, rois, bands, grid: PixelGrid, own=False) -> DataFrame:
     but the region join moves data. ``own`` is for cubes that are stored per region
     (``patch_id`` is the region's number): each patch meets its own region only.
     """
-    met = _meet(cube, rois, grid, "inner", own, inside=False)
-    first_y, last_y = grid.range_y("s.ymin", "s.ymax")
-    first_x, last_x = grid.range_x("s.xmin", "s.xmax")
-    changed = {b: F.when(F.col("s.inside"), F.col(f"p.{b}")) for b in bands}
-    changed["y"], changed["x"] = F.col("p.y") - first_y, F.col("p.x") - first_x
+    at = "s." if own else ""
+    first_y, last_y = grid.range_y(f"{at}ymin", f"{at}ymax")
+    first_x, last_x = grid.range_x(f"{at}xmin", f"{at}xmax")
+    box = {"y": first_y, "x": first_x, "h": last_y - first_y + 1, "w": last_x - first_x + 1}
+    if own:
+        met, names = _meet(cube, rois, grid, "inner", own, inside=False), {c: f"p.{c}" for c in cube.columns}
+        run = {"inside": F.col("s.inside"), "roi": F.col("s.roi"), **box}
+    else:
+        kept = {"_inside": F.col("inside"), "_roi": F.col("roi"), **{f"_{n}": c for n, c in box.items()}}
+        met, names = _copies(cube, rois, grid, kept, inside=False)
+        run = {n: F.col(f"_{n}") for n in ("inside", "roi", *box)}
+    changed = {b: F.when(run["inside"], F.col(names[b])) for b in bands}
+    changed["y"], changed["x"] = F.col(names["y"]) - run["y"], F.col(names["x"]) - run["x"]
     return met.select(
-        *[changed.get(c, F.col(f"p.{c}")).alias(c) for c in cube.columns],
-        F.col("s.roi"),
-        (last_y - first_y + 1).alias("h"),
-        (last_x - first_x + 1).alias("w"),
+        *[changed.get(c, F.col(names[c])).alias(c) for c in cube.columns],
+        run["roi"].alias("roi"),
+        run["h"].alias("h"),
+        run["w"].alias("w"),
     )
 
 

@@ -256,3 +256,15 @@ def test_sample_meets_runs_once_per_pixel(spark, monkeypatch, dealt):
     assert {r.v for r in rows if (r.y, r.x) == (3, 2)} == {38.0}
     parts = 4 if dealt else 1  # rows that the runs of a block come in
     assert met <= 144 * parts < len(rows)
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_clip_meets_runs_once_per_pixel(spark, monkeypatch, dealt):
+    if dealt:
+        monkeypatch.setattr(spatial, "RUNS_AT_ONCE", 32, raising=False)
+    rows, inside, met = copies_of(spark, 60, lambda c, r: spatial.clip_polygon(c, r, ["v"], GRID))
+    first = [math.ceil(0.3 * (i // 2 % 9) - 0.5) for i in range(60)]  # a box's first column; its rows begin at 0
+    assert {(r.roi, r.y, r.x + first[r.roi]) for r in rows if r.v is not None} == inside
+    assert len(rows) == sum(8 * r.w for r in {r.roi: r for r in rows}.values()) and {r.h for r in rows} == {8}
+    parts = 4 if dealt else 1
+    assert met <= 144 * parts < len(rows)
